@@ -119,8 +119,8 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
     percent = F.min(F.when(F.col("header").contains("PORCENTAJE DE PROMEDIO"), F.col("col")))
     shared = titles.groupBy(*grid.SHEET).agg(
         percent.alias("percent_col"),
-        F.first("MOMENTO").alias("MOMENTO"),
-        F.first("AREA_EVALUACION").alias("AREA_EVALUACION"),
+        F.min("MOMENTO").alias("MOMENTO"),
+        F.min("AREA_EVALUACION").alias("AREA_EVALUACION"),
     )
     layout = (
         grid.layouts(titles)
