@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 _EDGE_SPACE = r"^[\p{IsWhite_Space}\x1c-\x1f]+|[\p{IsWhite_Space}\x1c-\x1f]+$"
 _NON_ASCII = r"[^\x00-\x7F]"
+# No character in these common ranges unfolds to several letters: a quick way out.
+_MAY_UNFOLD = r"[^\x00-\xBB\xBF-\x{131}\x{250}-\x{2024}\x{2027}-\x{203B}]"
 
 
 @lru_cache(maxsize=1)
@@ -36,6 +38,17 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(source), "".join(target), tuple(longer)
 
 
+def _ranges(pairs: tuple[tuple[str, str], ...]) -> str:
+    """Character-class body covering the first elements, as ranges (they are in order)."""
+    runs: list[list[str]] = []
+    for char, _ in pairs:
+        if runs and ord(char) == ord(runs[-1][1]) + 1:
+            runs[-1][1] = char
+        else:
+            runs.append([char, char])
+    return "".join(a if a == b else f"{a}-{b}" for a, b in runs)
+
+
 def strip_accents(c: Column) -> Column:
     """Accent folding: compatibility-decompose, then drop whatever is not ASCII.
 
@@ -44,17 +57,12 @@ def strip_accents(c: Column) -> Column:
     case, only pays for one regular-expression test.
     """
     source, target, longer = _fold_tables()
-    unfold = F.create_map(*[F.lit(x) for pair in longer for x in pair])
-    long_class = "[" + "".join(char for char, _ in longer) + "]"
+    # One text literal read as a map; Spark folds it into a constant when it plans the query.
+    entries = "\x02".join(f"{char}\x01{letters}" for char, letters in longer)
+    table = F.str_to_map(F.lit(entries), F.lit("\x02"), F.lit("\x01"))
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(f"([{_ranges(longer)}])"), F.lit(1)))
     unfolded = F.when(
-        c.rlike(long_class),
-        F.array_join(
-            F.transform(
-                F.regexp_extract_all(c, F.lit("((?s).)"), F.lit(1)),
-                lambda ch: F.coalesce(unfold[ch], ch),
-            ),
-            "",
-        ),
+        c.rlike(_MAY_UNFOLD), F.aggregate(found, c, lambda text, ch: F.replace(text, ch, table[ch]))
     ).otherwise(c)
     folded = F.regexp_replace(F.translate(unfolded, source, target), _NON_ASCII, "")
     return F.when(c.rlike(_NON_ASCII), folded).otherwise(c)

@@ -15,10 +15,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
-    from aulario.queries import measures
+    from aulario.queries import columns, grids, measures, tables
 
     out: dict[str, tuple[Query, str | None]] = {}
-    for module in (measures,):
+    for module in (measures, tables, columns, grids):
         for name, pair in module.REGISTRY.items():
             if name in out:
                 raise ValueError(f"query {name} registered twice")

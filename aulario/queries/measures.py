@@ -400,7 +400,7 @@ def topics_if_single_area(spark, sf):
     cte("curriculum")
     + """, w AS (SELECT CENTRO__c, AREA__c, count(*) AS n FROM curriculum WHERE STATUS__c = 'AVANZADO' GROUP BY 1, 2),
     p AS (SELECT CENTRO__c, AREA__c, TEMAS__c, count(*) AS c FROM curriculum
-      WHERE STATUS__c = 'AVANZADO' AND DOCENTE__c = '1' GROUP BY 1, 2, 3)
+      WHERE STATUS__c = 'AVANZADO' AND NIVEL__c = 'ALTO' GROUP BY 1, 2, 3)
     SELECT CENTRO__c, AREA__c, TEMAS__c,
       c || ' (' || printf('%.1f%%', round(100 * (c / n::DOUBLE), 1)) || ')' AS curriculum_label
     FROM p JOIN w USING (CENTRO__c, AREA__c)"""
@@ -408,7 +408,7 @@ def topics_if_single_area(spark, sf):
 def label_n_pct(spark, sf):
     ctx = FilterContext(
         ("CENTRO__c", "AREA__c", "TEMAS__c"),
-        {"STATUS__c": lambda c: c == "AVANZADO", "DOCENTE__c": lambda c: c == "1"},
+        {"STATUS__c": lambda c: c == "AVANZADO", "NIVEL__c": lambda c: c == "ALTO"},
     )
     return D.measure("3.17", {"curriculum": fact(spark, sf, "curriculum")}, ctx)
 
@@ -580,8 +580,9 @@ def hours_total(spark, sf):
 
 
 @query(
-    """SELECT sum(l_quantity) AS learning_hours_selected FROM lineitem WHERE l_suppkey % 30 = 7
-    UNION ALL SELECT sum(l_quantity) FROM lineitem"""
+    """WITH hours AS (SELECT 'NATION_' || (l_suppkey % 30) AS centre, l_quantity AS v FROM lineitem)
+    SELECT sum(v) AS learning_hours_selected FROM hours WHERE centre = 'NATION_7'
+    UNION ALL SELECT sum(v) FROM hours"""
 )
 def hours_selected(spark, sf):
     tables = {

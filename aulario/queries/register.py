@@ -69,7 +69,7 @@ CURRICULUM = {
     "STATUS__c": "case when p_size > 25 then 'AVANZADO' else 'INICIADO' end",
     "CICLO__c": "cast(p_size % 3 as string)",
     "BIMESTRE__c": "cast(p_size % 4 as string)",
-    "DOCENTE__c": "cast(p_partkey % 3 as string)",
+    "NIVEL__c": "case when p_retailprice > 950 then 'ALTO' else 'BASE' end",
 }
 SOURCES = {
     "attendance": ("events", REGULAR),
