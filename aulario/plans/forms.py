@@ -28,26 +28,24 @@ def _date(df: DataFrame, name: str) -> Column:
     return parse_date(c) if dict(df.dtypes)[name] == "string" else c.cast("date")
 
 
-def _with_tiebreak(df: DataFrame) -> DataFrame:
-    """Content hash that decides between answers with the same timestamp."""
-    return df.withColumn("_tie", F.xxhash64(*[_named(df, c) for c in df.columns]))
-
-
-def _latest(df: DataFrame, key: str, keep_null_keys: bool) -> DataFrame:
+def _latest(df: DataFrame, key: str, keep_null_keys: bool, tiebreak: Sequence[str] | None) -> DataFrame:
     # Titles such as ``Número de Documento.1`` would be read as nested fields.
     plain = [f"c{i}" for i in range(len(df.columns))]
-    position = {c: p for c, p in zip(df.columns, plain)}
-    narrow = _with_tiebreak(df.toDF(*plain))
+    position = dict(zip(df.columns, plain))
+    narrow = df.toDF(*plain)
+    ties = [position[c] for c in tiebreak] if tiebreak else ["_tie"]
+    if not tiebreak:
+        # A content hash decides between answers with the same timestamp.
+        narrow = narrow.withColumn("_tie", F.xxhash64(*plain))
     pick = latest_keep_null_keys if keep_null_keys else latest_per_key
-    out = pick(narrow, position[key], position[K.STAMP], ["_tie"]).drop("_tie")
-    return out.toDF(*df.columns)
+    return pick(narrow, position[key], position[K.STAMP], ties).select(*plain).toDF(*df.columns)
 
 
-def parent_survey(df: DataFrame) -> DataFrame:
+def parent_survey(df: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Latest answer per guardian; answers without an id count as one guardian.
 
     ISO timestamps are read as ISO (year first), other text day first. Equal timestamps are
-    decided by content, not by row order.
+    decided by the ``tiebreak`` columns, or by content, never by row order.
     """
     df = df.toDF(*[K.SURVEY_RENAMES.get(c, c) for c in df.columns])
     types = dict(df.dtypes)
@@ -61,7 +59,7 @@ def parent_survey(df: DataFrame) -> DataFrame:
         elif types[c] == "string":
             value = null_tokens(norm_text(value), K.UPPER_NULLS)
         columns.append(value.alias(c))
-    latest = _latest(df.select(*columns), K.SURVEY_KEY, keep_null_keys=False)
+    latest = _latest(df.select(*columns), K.SURVEY_KEY, keep_null_keys=False, tiebreak=tiebreak)
     return latest.withColumn(K.STAMP, F.col(f"`{K.STAMP}`").cast("date"))
 
 
@@ -76,7 +74,7 @@ def number_repeated_columns(names: Sequence[str]) -> list[str]:
     return out
 
 
-def social_record(df: DataFrame) -> DataFrame:
+def social_record(df: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Latest answer per child; answers without an id count as one child."""
     df = df.toDF(*number_repeated_columns(df.columns))
     columns = []
@@ -87,10 +85,10 @@ def social_record(df: DataFrame) -> DataFrame:
         elif c == K.STAMP:
             value = _stamp(df)
         columns.append(value.alias(c))
-    return _latest(df.select(*columns), K.SOCIAL_KEY, keep_null_keys=False)
+    return _latest(df.select(*columns), K.SOCIAL_KEY, keep_null_keys=False, tiebreak=tiebreak)
 
 
-def enrolment_request(df: DataFrame, as_of: str) -> DataFrame:
+def enrolment_request(df: DataFrame, as_of: str, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Latest request per child, requests without an id all kept.
 
     Ids are cleaned of a trailing ``.0`` and non-digits. ``as_of`` (ISO date) is the day ages
@@ -119,5 +117,5 @@ def enrolment_request(df: DataFrame, as_of: str) -> DataFrame:
     table = df.select(*columns)
     if K.REQUEST_BIRTH in df.columns:
         table = table.withColumn("EDAD", age_years(_named(table, K.REQUEST_BIRTH), F.lit(as_of).cast("date")))
-    latest = _latest(table, K.REQUEST_KEY, keep_null_keys=True)
+    latest = _latest(table, K.REQUEST_KEY, keep_null_keys=True, tiebreak=tiebreak)
     return latest.withColumn(K.STAMP, F.col(f"`{K.STAMP}`").cast("date"))
