@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from aulario.functions.dates import date_like
 from aulario.functions.text import norm_key, strip
 from aulario.operators.joins import join_lookup
+from aulario.sources.stages import stage
 
 SHEET = ["file", "sheet"]
 
@@ -140,14 +141,6 @@ def duplicate_headers(headers: DataFrame, mark: str | None = None) -> DataFrame:
     return ranked.withColumn("header", F.when(F.col("_n") == 1, F.col("header")).otherwise(numbered)).drop("_n")
 
 
-def role_columns(headers: DataFrame, roles: Mapping[str, str]) -> DataFrame:
-    """Column position of each role: the first heading whose normalised text matches."""
-    key = norm_key(F.col("header"))
-    return headers.groupBy(*SHEET).agg(
-        *[F.min(F.when(key.rlike(p), F.col("col"))).alias(f"role_{r}") for r, p in roles.items()]
-    )
-
-
 def role_cell(role: str) -> Column:
     """Value of a data record in the column that plays a role, null without such a column."""
     return F.col("cells")[F.col(f"role_{role}")]
@@ -247,13 +240,21 @@ def positional_headers(headers: DataFrame, base: Sequence[str]) -> DataFrame:
 # --- records -----------------------------------------------------------------------------
 
 
-def layouts(headers: DataFrame) -> DataFrame:
+def layouts(headers: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame:
     """One row per sheet: heading -> column position, and the date columns in order.
 
-    Headings must be unique per sheet (see :func:`duplicate_headers`).
+    Headings must be unique per sheet (see :func:`duplicate_headers`). ``roles`` maps a role
+    to a pattern; the first ordinary heading whose normalised text matches plays the role.
     """
     has_dates = "date" in headers.columns
+    ordinary = F.lit(True)
+    for column in ("date", "offset"):
+        if column in headers.columns:
+            ordinary = ordinary & F.col(column).isNull()
+    if roles:
+        headers = headers.withColumn("_key", F.when(ordinary, norm_key(F.col("header"))))
     aggregates = [
+        *[F.min(F.when(F.col("_key").rlike(p), F.col("col"))).alias(f"role_{r}") for r, p in (roles or {}).items()],
         F.min("header_row").alias("header_row"),
         F.map_from_entries(F.collect_list(F.struct("header", "col"))).alias("columns"),
         F.min("col").alias("first_col"),
@@ -287,10 +288,19 @@ def records(cells: DataFrame) -> DataFrame:
     )
 
 
+def with_layout(cells: DataFrame, layout: DataFrame, entries: Column | None = None) -> DataFrame:
+    """Records joined to their sheet's layout, which is computed and written once.
+
+    ``entries`` is the number of headings a layout row holds; their total decides whether the
+    layouts are broadcast.
+    """
+    written = stage(layout, "layouts")
+    return join_lookup(records(cells), written, SHEET, "inner", entries=F.size("columns") if entries is None else entries)
+
+
 def data_records(cells: DataFrame, layout: DataFrame) -> DataFrame:
-    """Records below each sheet's header row, joined to the sheet's layout."""
-    joined = join_lookup(records(cells), layout, SHEET, "inner")
-    return joined.filter(F.col("row") > F.col("header_row"))
+    """Records below each sheet's header row, with the sheet's layout."""
+    return with_layout(cells, layout).filter(F.col("row") > F.col("header_row"))
 
 
 def cell(title: str) -> Column:

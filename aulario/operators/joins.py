@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it is known to hold no more rows than this. The rows
-# concerned are short (a header, a code, a label), so the bound is a few tens of megabytes.
-BROADCAST_ROWS = 100_000
+from aulario.sources.stages import stage
+
+# A lookup side is broadcast only when it is known to hold no more rows than this (or, for
+# rows that hold lists, no more entries in all). A row or entry is a short text and a number
+# or two, so the bound is some tens of megabytes.
+BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
-def fits_broadcast(small: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a lookup side has at most ``rows`` rows; reads no further than that."""
-    return small.limit(rows + 1).count() <= rows
+def fits_broadcast(small: DataFrame, rows: int = BROADCAST_ROWS, entries: Column | None = None) -> bool:
+    """Whether a lookup side has at most ``rows`` rows, or ``entries`` summed over its rows.
+
+    The row check reads no further than the bound.
+    """
+    if entries is None:
+        return small.limit(rows + 1).count() <= rows
+    return (small.agg(F.sum(entries)).first()[0] or 0) <= rows
 
 
 def join_lookup(
@@ -24,6 +32,7 @@ def join_lookup(
     keys: Sequence[str],
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
+    entries: Column | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup with at most one row per key.
 
@@ -32,7 +41,7 @@ def join_lookup(
     key holding a large part of the table is spread over that many tasks.
     """
     keys = list(keys)
-    if fits_broadcast(small, rows):
+    if fits_broadcast(small, rows, entries):
         return big.join(F.broadcast(small), keys, how)
     others = [c for c in big.columns if c not in keys]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*(others or keys)), F.lit(SALTS)))
@@ -84,8 +93,9 @@ def group_total_back(
 
     Rows with a null in the keys get a null total, since such groups are dropped first. The
     totals are pre-aggregated before they meet the detail, so one large group costs one
-    partial sum per task and no sorting of the detail by group.
+    partial sum per task and no sorting of the detail by group. The totals are written once,
+    as both the size check and the join read them.
     """
     base = df.dropna(subset=list(keys)) if skip_null_keys else df
-    totals = base.groupBy(*keys).agg(F.sum(column).alias(name))
+    totals = stage(base.groupBy(*keys).agg(F.sum(column).alias(name)), "totals")
     return join_lookup(df, totals, keys, "left")

@@ -67,11 +67,8 @@ def _long(
 ) -> DataFrame:
     dated = grid.within_date_range(grid.with_dates(headers))
     titled = grid.duplicate_headers(dated.withColumn("header", clean_header(F.col("header"))))
-    layout = (
-        grid.layouts(titled)
-        .join(grid.role_columns(dated.filter("date is null and offset is null"), roles), grid.SHEET, "left")
-        .join(grid.neighbour_of_label(cells, K.TUTOR_LABEL, "TUTOR"), grid.SHEET, "left")
-    )
+    tutors = grid.neighbour_of_label(cells, K.TUTOR_LABEL, "TUTOR")
+    layout = grid.layouts(titled, roles).join(tutors, grid.SHEET, "left")
     data = grid.data_records(cells, layout)
 
     def upper(title: str) -> Column:

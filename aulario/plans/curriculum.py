@@ -11,6 +11,7 @@ from aulario.functions.text import norm_text
 from aulario.operators import grid
 from aulario.plans import constants as K
 from aulario.sources.readers import sheet_in
+from aulario.sources.stages import stage
 
 
 def curriculum_progress(cells: DataFrame, sheets: Sequence[str], header_row: int = 0) -> DataFrame:
@@ -21,7 +22,7 @@ def curriculum_progress(cells: DataFrame, sheets: Sequence[str], header_row: int
     cells = cells.filter(sheet_in(sheets))
     titles = grid.fixed_header_cells(cells, header_row)
     titles = titles.withColumn("header", norm_text(F.col("header"), collapse_spaces=False))
-    titles = grid.duplicate_headers(titles.filter(~F.col("header").isin(*K.CURRICULUM_DROP)))
+    titles = stage(grid.duplicate_headers(titles.filter(~F.col("header").isin(*K.CURRICULUM_DROP))), "titles")
     names = grid.heading_list(titles)
     if not names:
         raise ValueError("no listed sheet found")

@@ -13,6 +13,7 @@ from aulario.operators import grid
 from aulario.operators.schema import find_named
 from aulario.plans import constants as K
 from aulario.sources.readers import sheet_numbered
+from aulario.sources.stages import stage
 
 
 def enrolment(cells: DataFrame, year: int, exact_status: bool = True) -> DataFrame:
@@ -28,7 +29,7 @@ def enrolment(cells: DataFrame, year: int, exact_status: bool = True) -> DataFra
 
     titles = grid.fixed_header_cells(cells, K.ENROLMENT_HEADER_ROW, K.ENROLMENT_FIRST_COL)
     titles = grid.duplicate_headers(grid.with_data(titles, body), ".")
-    titles = titles.withColumn("header", clean_header(F.col("header")))
+    titles = stage(titles.withColumn("header", clean_header(F.col("header"))), "titles")
     base, extra = grid.common_layout(titles)
     names = [*base, *extra]
     layout = grid.layouts(grid.duplicate_headers(grid.positional_headers(titles, base)))

@@ -9,7 +9,6 @@ from aulario.functions.dates import month_name, parse_date
 from aulario.functions.numbers import to_number
 from aulario.functions.text import split_two
 from aulario.operators import grid
-from aulario.operators.joins import join_lookup
 from aulario.plans import constants as K
 
 
@@ -38,7 +37,7 @@ def experiential_attendance(cells: DataFrame, year: int, skip: int = 2) -> DataF
         F.sort_array(F.collect_list(F.struct("col", "header"))).alias("activities")
     )
     layout = activities.join(top, grid.SHEET).join(width, grid.SHEET)
-    data = join_lookup(grid.records(cells), layout, grid.SHEET, "inner").filter(
+    data = grid.with_layout(cells, layout, F.size("activities")).filter(
         (F.col("row") > F.col("header_row")) & F.col("cells")[id_col].isNotNull()
     )
     ids = {name: F.col("cells")[col] for name, col in K.EXPERIENTIAL_ID_COLS.items()}

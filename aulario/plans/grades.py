@@ -13,6 +13,7 @@ from aulario.operators.joins import join_lookup, join_null_safe, with_equivalenc
 from aulario.operators.schema import project
 from aulario.plans import constants as K
 from aulario.sources.readers import sheet_in
+from aulario.sources.stages import stage
 
 # Target field of each sheet column.
 LAYOUT = {
@@ -103,6 +104,8 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
             "position": sheets[F.col("sheet")]["i"],
         }
     )
+    # Several small tables are derived from the headings: they are read from the grid once.
+    titles = stage(titles, "titles")
     code = capture_code(F.col("header"))
     pairs = (
         titles.withColumn("code", code)

@@ -18,6 +18,7 @@ from aulario.plans.load import prepare_load
 from aulario.plans.skills import skills
 from aulario.queries.cells import row_cells, single_cells, title_cells
 from aulario.queries.register import Registry, table
+from aulario.sources.stages import stage
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -46,6 +47,11 @@ def mixed_date(d: Column, index: Column) -> Column:
 # --- regular attendance ------------------------------------------------------------------
 
 
+def workbook(*parts):
+    """Stack the parts of a grid and write it, as grids reach the plans as files."""
+    return stage(union_aligned(parts), "cells")
+
+
 def regular_cells(spark, sf):
     """Seven workbooks: children are users, dates the days with events, marks the day's event."""
     e = table(spark, sf, "events").selectExpr(
@@ -84,8 +90,8 @@ def regular_cells(spark, sf):
     totals = children.join(last, "f")
     at = first + F.col("last")
     tail = [(1, F.col("n")), (2, F.col("k")), (3, F.col("k") / F.col("n")), (4, F.lit("obs"))]
-    return union_aligned(
-        [
+    return workbook(
+        *[
             title_cells(files, 2, {3: "TUTORA:", 4: "  Rosa  "}),
             title_cells(files, 6, titles),
             single_cells(e.select("f", "d").distinct(), name, sheet, 6, first + day, mixed_date(F.col("d"), day % 3)),
@@ -193,8 +199,8 @@ def entity_extracurricular_attendance(spark, sf):
     }
     marks = o.groupBy("f", "o_custkey", "d").agg(F.min("s").alias("mark"))
     totals = children.join(last, "f")
-    cells = union_aligned(
-        [
+    cells = workbook(
+        *[
             row_cells(last, name, sheet, 1, {1: F.when(F.col("f") > 4, "tutor: ").otherwise("nombre:"), 2: F.lit("Luis")}),
             row_cells(last, name, sheet, 0, {0: F.lit("DNI")}),
             row_cells(last, name, sheet, top, titles),
@@ -246,8 +252,8 @@ def entity_enrolment(spark, sf):
         10: F.when(F.col("i") == 2, F.concat(F.lit("9"), "c_custkey")),
     }
     repeated = {k: F.lit(v) for k, v in titles.items()} | {3: F.lit("DNI 1")}
-    cells = union_aligned(
-        [
+    cells = workbook(
+        *[
             title_cells(sheets.filter("i = 0"), 4, titles),
             title_cells(sheets.filter("i = 1"), 4, other),
             title_cells(sheets.filter("i = 2"), 4, titles | {10: "Teléfono"}),
@@ -316,8 +322,8 @@ def grade_cells(spark, sf):
         titles |= {6 + 2 * c: f"Promedio C{c}", 7 + 2 * c: f"Nivel de logro  C{c}"}
         values |= {6 + 2 * c: F.col(f"q{c}"), 7 + 2 * c: F.col(f"l{c}")}
     sheets = per_child.select(F.lit("comparativa").alias("file"), sheet.alias("sheet"), index.alias("i")).distinct()
-    return union_aligned(
-        [
+    return workbook(
+        *[
             title_cells(sheets, 0, {0: "REPORTE"}),
             title_cells(sheets, 3, titles),
             title_cells(sheets.filter("i in (0, 4, 6, 8)"), 3, {7: "Permanencia"}),
@@ -447,8 +453,8 @@ def entity_curriculum_progress(spark, sf):
     sheet = choose(F.col("i"), _SITES)
     sheets = p.select(F.lit("f").alias("file"), sheet.alias("sheet"), "i").distinct()
     values = {0: F.col("p_type"), 1: F.col("p_name"), 2: F.col("p_size"), 3: F.lit("se quita")}
-    cells = union_aligned(
-        [
+    cells = workbook(
+        *[
             title_cells(sheets.filter("i < 5"), 0, {0: "Área ", 1: "Temas", 2: "Grado", 3: "Capacidad"}),
             title_cells(sheets.filter("i >= 5"), 0, {0: "AREA", 1: "Tema", 2: "GRADO", 3: "Capacidad"}),
             row_cells(p, "f", sheet, F.col("p_partkey") + 1, values),
@@ -491,8 +497,8 @@ def entity_timetable_hours(spark, sf):
         lines[2 + i] = F.when(label.isNull(), F.coalesce(hours, (F.col("p_size") + i).cast("string")))
     variables = {1: "VARIABLES", 2: "INICIAL", 3: "1ER Y 2DO GRADO", 4: "3ER Y 4TO GRADO", 5: "Multigrado"}
     files = p.select(name.alias("file"), F.lit(sheet).alias("sheet")).distinct()
-    cells = union_aligned(
-        [
+    cells = workbook(
+        *[
             title_cells(files, 2, {1: "VARIABLES", 2: "se descarta"}),
             title_cells(files, 5, variables),
             title_cells(files, 65, {1: "CUSCO"}),
@@ -528,8 +534,8 @@ def entity_experiential_attendance(spark, sf):
     row, at = F.col("user_id") + 6, 7 + F.col("last")
     totals = children.join(last, "f")
     tail = [F.col("n"), F.col("k"), F.col("k") / F.col("n"), F.when(F.col("k") > 20, "REGULAR")]
-    cells = union_aligned(
-        [
+    cells = workbook(
+        *[
             title_cells(files, 0, {1: "REGISTRO"}),
             single_cells(days, name, sheet, 2, 7 + day, activity),
             single_cells(days, name, sheet, 3, 7 + day, mixed_date(F.col("d"), day % 3)),
@@ -592,5 +598,5 @@ def entity_skills(spark, sf):
         6: base,
         7: F.when(balance > 5000, "Sobresaliénte").when(balance > 0, "en proceso"),
     }
-    cells = title_cells(sheets, 0, titles).unionByName(row_cells(c, "f", sheet, F.col("c_custkey") + 1, values))
+    cells = workbook(title_cells(sheets, 0, titles), row_cells(c, "f", sheet, F.col("c_custkey") + 1, values))
     return skills(cells, 2025)
