@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from aulario.functions.dates import date_like
 from aulario.functions.text import norm_key, strip
-from aulario.operators.joins import join_lookup
+from aulario.operators.joins import fits_broadcast, join_lookup
 from aulario.sources.stages import stage
 
 SHEET = ["file", "sheet"]
@@ -148,7 +148,7 @@ def role_cell(role: str) -> Column:
 
 def with_data(headers: DataFrame, cells: DataFrame) -> DataFrame:
     """Headings whose column holds at least one cell below the header row."""
-    used = cells.groupBy(*SHEET, "col").agg(F.max("row").alias("_deepest"))
+    used = cells.groupBy(*SHEET, "col").agg(F.max(F.when(F.col("value").isNotNull(), F.col("row"))).alias("_deepest"))
     return headers.join(used, [*SHEET, "col"]).filter(F.col("_deepest") > F.col("header_row")).drop("_deepest")
 
 
@@ -276,31 +276,35 @@ def layouts(headers: DataFrame, roles: Mapping[str, str] | None = None) -> DataF
 
 
 def records(cells: DataFrame) -> DataFrame:
-    """One row per spreadsheet row with its cells as ``col -> value``.
+    """One row per spreadsheet row with its cells as ``col -> value``; empty rows vanish.
 
     The only shuffle of the cells; a row's cells lie together in the input, so most of the
-    grouping happens before it.
+    grouping happens before it. Empty cells are left out while grouping, not by a filter: a
+    filter on a cleaned value would be moved below the cleaning and run it twice.
     """
+    entry = F.when(F.trim("value") != "", F.struct("col", "value"))
     return (
-        filled(cells)
-        .groupBy(*SHEET, "row")
-        .agg(F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("cells"))
+        cells.groupBy(*SHEET, "row")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+        .filter(F.size("cells") > 0)
     )
 
 
 def with_layout(cells: DataFrame, layout: DataFrame, entries: Column | None = None) -> DataFrame:
-    """Records joined to their sheet's layout, which is computed and written once.
+    """Records below each sheet's header row, with the sheet's layout.
 
-    ``entries`` is the number of headings a layout row holds; their total decides whether the
-    layouts are broadcast.
+    The layouts are computed and written once. ``entries`` is the number of headings a layout
+    row holds; their total decides whether they are broadcast. If so, cells of other sheets
+    and above the header are dropped before the shuffle that builds the records.
     """
     written = stage(layout, "layouts")
-    return join_lookup(records(cells), written, SHEET, "inner", entries=F.size("columns") if entries is None else entries)
-
-
-def data_records(cells: DataFrame, layout: DataFrame) -> DataFrame:
-    """Records below each sheet's header row, with the sheet's layout."""
-    return with_layout(cells, layout).filter(F.col("row") > F.col("header_row"))
+    entries = F.size("columns") if entries is None else entries
+    below = F.col("row") > F.col("header_row")
+    if fits_broadcast(written, entries=entries):
+        heads = written.select(*SHEET, "header_row")
+        body = cells.join(F.broadcast(heads), SHEET).filter(below).drop("header_row")
+        return records(body).join(F.broadcast(written), SHEET)
+    return join_lookup(records(cells), written, SHEET, "inner", rows=0).filter(below)
 
 
 def cell(title: str) -> Column:

@@ -69,7 +69,7 @@ def _long(
     titled = grid.duplicate_headers(dated.withColumn("header", clean_header(F.col("header"))))
     tutors = grid.neighbour_of_label(cells, K.TUTOR_LABEL, "TUTOR")
     layout = grid.layouts(titled, roles).join(tutors, grid.SHEET, "left")
-    data = grid.data_records(cells, layout)
+    data = grid.with_layout(cells, layout)
 
     def upper(title: str) -> Column:
         return null_tokens(strip(F.upper(grid.cell(title))), K.UPPER_NULLS)
@@ -102,16 +102,16 @@ def regular_attendance(cells: DataFrame) -> DataFrame:
     Headings are compared without accents and case. Ids lose a trailing ``.0`` before other
     characters, and a missing code stays null. In these sheets ``M`` stands for mujer.
     """
-    cells = cells.filter(sheet_like("asist") | (sheet_like("asis") & sheet_like("ist")))
+    # Names are tested on the header row only: other sheets have no layout and drop out there.
     headers = grid.fixed_header_cells(cells, K.REGULAR_HEADER_ROW, K.REGULAR_FIRST_COL)
-    cells = cells.filter((F.col("col") >= K.REGULAR_FIRST_COL) | (F.col("row") < 10))
+    headers = headers.filter(sheet_like("asist") | (sheet_like("asis") & sheet_like("ist")))
     return _long(cells, headers, REGULAR_ROLES, _child_name(), K.SEX_REGULAR, centre_before_dash(F.col("file")))
 
 
 def extracurricular_attendance(cells: DataFrame, year: int) -> DataFrame:
     """Attendance sheets whose header row is searched in the top twenty rows."""
-    cells = cells.filter(sheet_like("asist"))
     rows = grid.header_row_with_titles(cells, K.EXTRA_REQUIRED_TITLES, K.EXTRA_NAME_TITLES)
+    rows = rows.filter(sheet_like("asist"))
     headers = grid.header_cells(cells, rows)
     centre = centre_from_file(F.col("file"), K.EXTRA_FILE_PREFIX, [K.EXTRA_FILE_SUFFIX.format(year=year)])
     return _long(cells, headers, EXTRA_ROLES, collapse(grid.role_cell("single")), K.SEX_EXTRA, centre)

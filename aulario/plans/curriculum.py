@@ -26,6 +26,6 @@ def curriculum_progress(cells: DataFrame, sheets: Sequence[str], header_row: int
     names = grid.heading_list(titles)
     if not names:
         raise ValueError("no listed sheet found")
-    data = grid.data_records(cells, grid.layouts(titles))
+    data = grid.with_layout(cells, grid.layouts(titles))
     table = grid.wide(data, names, ("sheet",))
     return table.withColumn("SEDE", norm_text(F.col("sheet"), collapse_spaces=False)).drop("sheet")

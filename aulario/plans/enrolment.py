@@ -24,8 +24,11 @@ def enrolment(cells: DataFrame, year: int, exact_status: bool = True) -> DataFra
     words are read whole unless ``exact_status`` is off.
     """
     cells = cells.filter(sheet_numbered() & (F.col("col") >= K.ENROLMENT_FIRST_COL))
-    value = null_tokens(null_tokens(clean_cell(F.col("value"), separators=False), K.TEXT_NULLS), K.EXCEL_ERRORS)
-    body = cells.filter(F.col("row") > K.ENROLMENT_HEADER_ROW).withColumn("value", value).dropna(subset=["value"])
+    body = (
+        cells.filter(F.col("row") > K.ENROLMENT_HEADER_ROW)
+        .withColumn("value", clean_cell(F.col("value"), separators=False))
+        .withColumn("value", null_tokens(F.col("value"), (*K.TEXT_NULLS, *K.EXCEL_ERRORS)))
+    )
 
     titles = grid.fixed_header_cells(cells, K.ENROLMENT_HEADER_ROW, K.ENROLMENT_FIRST_COL)
     titles = grid.duplicate_headers(grid.with_data(titles, body), ".")
@@ -33,7 +36,7 @@ def enrolment(cells: DataFrame, year: int, exact_status: bool = True) -> DataFra
     base, extra = grid.common_layout(titles)
     names = [*base, *extra]
     layout = grid.layouts(grid.duplicate_headers(grid.positional_headers(titles, base)))
-    table = grid.wide(grid.data_records(body, layout), names, ("sheet",)).withColumnRenamed("sheet", "HOJA_ORIGEN")
+    table = grid.wide(grid.with_layout(body, layout), names, ("sheet",)).withColumnRenamed("sheet", "HOJA_ORIGEN")
 
     id_column = find_named(names, "DNI DEL NIÑO", "DNI")
     if id_column:

@@ -37,9 +37,7 @@ def experiential_attendance(cells: DataFrame, year: int, skip: int = 2) -> DataF
         F.sort_array(F.collect_list(F.struct("col", "header"))).alias("activities")
     )
     layout = activities.join(top, grid.SHEET).join(width, grid.SHEET)
-    data = grid.with_layout(cells, layout, F.size("activities")).filter(
-        (F.col("row") > F.col("header_row")) & F.col("cells")[id_col].isNotNull()
-    )
+    data = grid.with_layout(cells, layout, F.size("activities")).filter(F.col("cells")[id_col].isNotNull())
     ids = {name: F.col("cells")[col] for name, col in K.EXPERIENTIAL_ID_COLS.items()}
     ids["DNI"] = F.regexp_replace(F.trim(ids["DNI"]), r"^(\d+)\.0+$", "$1")
     n = len(K.EXPERIENTIAL_TOTALS)

@@ -42,7 +42,7 @@ def equivalences(cells: DataFrame, sheet: str = "Equivalencias Competencias", he
     """Competence texts by area and competence code, from their sheet."""
     cells = cells.filter(F.col("sheet") == sheet)
     layout = grid.layouts(grid.duplicate_headers(grid.fixed_header_cells(cells, header_row)))
-    return grid.data_records(cells, layout).select(
+    return grid.with_layout(cells, layout).select(
         *[grid.cell(title).alias(name) for title, name in K.EQUIVALENCE_HEADINGS.items()]
     )
 
@@ -90,14 +90,13 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
             for x in (F.lit(sheet), F.struct(F.lit(area).alias("a"), F.lit(moment).alias("m"), F.lit(i).alias("i")))
         ]
     )
-    value = null_tokens(clean_cell(F.col("value")), K.GRADES_NULLS)
-    cells = (
-        cells.filter(sheet_in([s for s, _, _ in K.GRADE_SHEETS]))
-        .withColumn("value", value)
-        .dropna(subset=["value"])
+    raw = cells.filter(sheet_in([s for s, _, _ in K.GRADE_SHEETS]))
+    cells = raw.withColumn("value", clean_cell(F.col("value"))).withColumn(
+        "value", null_tokens(F.col("value"), K.GRADES_NULLS)
     )
-    titles = grid.header_cells(cells, grid.header_row_containing(cells, "DNI"))
-    titles = grid.duplicate_headers(titles.withColumn("header", F.upper("header"))).withColumns(
+    titles = grid.header_cells(raw, grid.header_row_containing(raw, "DNI"))
+    titles = titles.withColumn("header", F.upper(clean_cell(F.col("header"))))
+    titles = grid.duplicate_headers(titles).withColumns(
         {
             "MOMENTO": sheets[F.col("sheet")]["m"],
             "AREA_EVALUACION": sheets[F.col("sheet")]["a"],
@@ -132,7 +131,7 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
         .join(shared, grid.SHEET)
         .join(_years(cells, titles), grid.SHEET, "left")
     )
-    data = grid.data_records(cells, layout)
+    data = grid.with_layout(cells, layout)
     per_row = data.select(
         *grid.SHEET,
         *[grid.cell(t).alias(t) for t in META],

@@ -27,7 +27,7 @@ def skills(cells: DataFrame, year: int, header_row: int = 0) -> DataFrame:
     cells = cells.filter(sheet_in(list(K.SKILL_SHEETS)))
     titles = grid.fixed_header_cells(cells, header_row)
     titles = grid.duplicate_headers(titles.withColumn("header", strip(strip_accents(F.col("header")))))
-    data = grid.data_records(cells, grid.layouts(titles))
+    data = grid.with_layout(cells, grid.layouts(titles))
     table = data.select(
         F.col("sheet"),
         *[grid.cell(t).alias(name) for t, name in K.SKILL_COLUMNS.items()],

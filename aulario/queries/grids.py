@@ -173,7 +173,7 @@ def grid_to_wide(spark, sf):
     )
     cells = title_cells(sheets, 4, {1: "CLAVE", 2: "NOMBRE", 3: "SEGMENTO"}).unionByName(body)
     layout = grid.layouts(grid.fixed_header_cells(cells, 4))
-    return grid.wide(grid.data_records(cells, layout), ["CLAVE", "NOMBRE", "SEGMENTO", "AUSENTE"], ("sheet",))
+    return grid.wide(grid.with_layout(cells, layout), ["CLAVE", "NOMBRE", "SEGMENTO", "AUSENTE"], ("sheet",))
 
 
 @query(
