@@ -43,7 +43,8 @@ def join_lookup(
     keys = list(keys)
     if fits_broadcast(small, rows, entries):
         return big.join(F.broadcast(small), keys, how)
-    others = [c for c in big.columns if c not in keys]
+    # Maps cannot be hashed; any other column that tells rows of one key apart will do.
+    others = [c for c, kind in big.dtypes if c not in keys and "map<" not in kind]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*(others or keys)), F.lit(SALTS)))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")

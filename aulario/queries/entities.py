@@ -23,7 +23,9 @@ from aulario.sources.stages import stage
 REGISTRY = Registry()
 query = REGISTRY.query
 
-EPOCH = F.lit("1899-12-30").cast("date")
+def serial(date) -> Column:
+    """Spreadsheet serial of a date."""
+    return F.datediff(date, F.lit("1899-12-30").cast("date"))
 
 
 def choose(index: Column, values) -> Column:
@@ -40,7 +42,7 @@ def mixed_date(d: Column, index: Column) -> Column:
     return (
         F.when(index == 0, F.date_format(d, "yyyy-MM-dd"))
         .when(index == 1, F.date_format(d, "dd/MM/yyyy"))
-        .otherwise(F.datediff(d, EPOCH).cast("string"))
+        .otherwise(serial(d).cast("string"))
     )
 
 
@@ -82,7 +84,7 @@ def regular_cells(spark, sf):
         5: F.upper("t"),
         6: F.lit("1ER GRADO"),
         7: F.when(F.col("k") > 25, "m").when(F.col("k") > 20, "H ").when(F.col("k") > 15, "otro"),
-        8: F.datediff("d0", EPOCH),
+        8: serial("d0"),
         9: F.when(F.col("n") > 65, " activo").otherwise("nan"),
         10: F.date_format("d1", "dd/MM/yyyy"),
     }
