@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 # Each format is tried only on text of its shape, so bad cells cost a regular-expression
 # test, not a parse exception. ISO text is read as ISO; everything else is day first.
 FORMATS: tuple[tuple[str, str], ...] = (
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{4}-\d{2}-\d{2}[ T]\d{1,2}:\d{2}$", "yyyy-MM-dd H:mm"),
-    (r"^\d{4}-\d{2}-\d{2}[ T]\d{1,2}:\d{2}:\d{2}(\.\d+)?$", "yyyy-MM-dd H:mm:ss"),
-    (r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4} \d{1,2}:\d{2}$", "d/M/yyyy H:mm"),
-    (r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4} \d{1,2}:\d{2}:\d{2}$", "d/M/yyyy H:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$", "yyyy-MM-dd[ H:mm[:ss]]"),
+    (r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}( \d{1,2}:\d{2}(:\d{2})?)?$", "d/M/yyyy[ H:mm[:ss]]"),
     (r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{2}$", "d/M/yy"),
 )
 

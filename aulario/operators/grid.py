@@ -332,7 +332,16 @@ def dated_marks(data: DataFrame, ids: Mapping[str, Column]) -> DataFrame:
     marks = F.transform(
         F.col("dates"), lambda d: F.struct(d["date"].alias("fecha"), F.col("cells")[d["col"]].alias("asistencia"))
     )
-    return data.select(*[c.alias(n) for n, c in ids.items()], F.inline(marks))
+    return unroll(data, ids, marks)
+
+
+def unroll(data: DataFrame, ids: Mapping[str, Column], marks: Column) -> DataFrame:
+    """One row per element of an array of structs, beside the ids.
+
+    The ids are computed in a step of their own, once per record and not once per element.
+    """
+    once = data.select(*[c.alias(n) for n, c in ids.items()], marks.alias("_marks"))
+    return once.select(*[F.col(f"`{n}`") for n in ids], F.inline("_marks"))
 
 
 def titled_marks(
@@ -343,7 +352,7 @@ def titled_marks(
     marks = F.transform(
         chosen, lambda e: F.struct(e["key"].alias(name), F.col("cells")[e["value"]].alias(value))
     )
-    return data.select(*[c.alias(n) for n, c in ids.items()], F.inline(marks))
+    return unroll(data, ids, marks)
 
 
 def is_repeated_header(titles: Sequence[str], values: Column) -> Column:

@@ -112,16 +112,11 @@ def backfill(
     """
     partition = list(partition)
     blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)).cast("bigint"))
-    firsts = (
-        blocked.filter(F.col(column).isNotNull())
-        .groupBy(*partition, "_block")
-        .agg(F.min_by(F.col(column), F.col(order)).alias("_first"))
+    blocks = blocked.groupBy(*partition, "_block").agg(
+        F.min_by(F.col(column), F.when(F.col(column).isNotNull(), F.col(order))).alias("_first")
     )
-    blocks = blocked.select(*partition, "_block").distinct()
     following = Window.partitionBy(*partition).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
-    below = join_null_safe(blocks, firsts, [*partition, "_block"], "left").withColumn(
-        "_below", F.first("_first", ignorenulls=True).over(following)
-    ).drop("_first")
+    below = blocks.withColumn("_below", F.first("_first", ignorenulls=True).over(following)).drop("_first")
     inside = Window.partitionBy(*partition, "_block").orderBy(order).rowsBetween(0, Window.unboundedFollowing)
     return (
         join_null_safe(blocked, below, [*partition, "_block"], "left")

@@ -22,6 +22,9 @@ from aulario.operators import grid
 from aulario.plans import constants as K
 from aulario.sources.readers import sheet_like
 
+# Sheet-name patterns on the normalised text; the first tolerates a slip.
+REGULAR_SHEETS = "asist|asis.*ist|ist.*asis"
+EXTRA_SHEETS = "asist"
 # Heading patterns on the normalised text, first matching column wins.
 REGULAR_ROLES = {
     "dni": r"\bdni\b|\bn[_\. ]*dni\b",
@@ -104,14 +107,14 @@ def regular_attendance(cells: DataFrame) -> DataFrame:
     """
     # Names are tested on the header row only: other sheets have no layout and drop out there.
     headers = grid.fixed_header_cells(cells, K.REGULAR_HEADER_ROW, K.REGULAR_FIRST_COL)
-    headers = headers.filter(sheet_like("asist") | (sheet_like("asis") & sheet_like("ist")))
+    headers = headers.filter(sheet_like(REGULAR_SHEETS))
     return _long(cells, headers, REGULAR_ROLES, _child_name(), K.SEX_REGULAR, centre_before_dash(F.col("file")))
 
 
 def extracurricular_attendance(cells: DataFrame, year: int) -> DataFrame:
     """Attendance sheets whose header row is searched in the top twenty rows."""
     rows = grid.header_row_with_titles(cells, K.EXTRA_REQUIRED_TITLES, K.EXTRA_NAME_TITLES)
-    rows = rows.filter(sheet_like("asist"))
+    rows = rows.filter(sheet_like(EXTRA_SHEETS))
     headers = grid.header_cells(cells, rows)
     centre = centre_from_file(F.col("file"), K.EXTRA_FILE_PREFIX, [K.EXTRA_FILE_SUFFIX.format(year=year)])
     return _long(cells, headers, EXTRA_ROLES, collapse(grid.role_cell("single")), K.SEX_EXTRA, centre)

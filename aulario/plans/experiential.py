@@ -48,7 +48,7 @@ def experiential_attendance(cells: DataFrame, year: int, skip: int = 2) -> DataF
         F.filter("activities", lambda a: a["col"] <= F.col("last_col") - n),
         lambda a: F.struct(a["header"].alias("_heading"), F.col("cells")[a["col"]].alias("VALOR")),
     )
-    long = data.select(*[c.alias(name) for name, c in ids.items()], F.inline(marks))
+    long = grid.unroll(data, ids, marks)
     date, activity = split_two(F.col("_heading"))
     long = long.withColumns({"FECHA": parse_date(date), "ACTIVIDAD": activity})
     return long.withColumn("MES", month_name(F.col("FECHA"))).drop("_heading")

@@ -73,13 +73,9 @@ def scan_text_csv(
     return out
 
 
-def sheet_like(*fragments: str) -> Column:
-    """Sheets whose normalised name contains one of the fragments (``asist``)."""
-    name = norm_key(F.col("sheet"))
-    hit = F.lit(False)
-    for fragment in fragments:
-        hit = hit | name.contains(fragment)
-    return hit
+def sheet_like(pattern: str) -> Column:
+    """Sheets whose normalised name matches a pattern (``asist``)."""
+    return norm_key(F.col("sheet")).rlike(pattern)
 
 
 def sheet_numbered() -> Column:

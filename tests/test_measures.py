@@ -191,3 +191,41 @@ def test_long_form_and_kpis(attendance):
     assert long["1.1"] == "3" and long["2.1"] == "3"
     kpi = {r["kpi"]: r["reached"] for r in D.kpi_report(t).collect()}
     assert kpi == {"children_total": False, "retention_rate": False, "mean_attendance": False}
+
+
+def test_every_measure_can_be_evaluated(spark, attendance):
+    s = Settings(cuts={c: day(c) for c in (1, 2, 3, 4)}, questions={"P1": "uno"}, question="uno", improved_school="P1", learned_by_playing="P1")
+
+    def one_row(schema, *values):
+        return spark.createDataFrame([values], schema)
+
+    tables = {
+        "attendance": attendance.withColumn("Centro_Limpio", F.col("CENTRO__c")),
+        "extra": attendance,
+        "grades": one_row(
+            "DNI__c string, REA__c string, NIVEL_DE_LOGRO__c string, Valor_Promedio__c double, EVALUACION__c string, Competencia_texto__c string",
+            "1", "Comunicación", "A", 12.5, "2025-I", "Lee",
+        ),
+        "curriculum": one_row(
+            "AREA__c string, TEMAS__c string, CENTRO__c string, STATUS__c string, CICLO__c string, BIMESTRE__c string",
+            "M", "t", "X", "s", "c", "b",
+        ),
+        "survey": one_row("N_de_documento__c string, N_de_documento_1__c string, P1 string", "1", "2", "DE ACUERDO"),
+        "children_satisfaction": one_row(", ".join(f"Pregunta_{i} double" for i in range(1, 6)), 1.0, 2.0, 3.0, 4.0, None),
+        "indicators": one_row("Indicador_4__c int", 3),
+        "requests": one_row("Nmero_de_Documento__c string, Cuenta_con_algn_tipo_de_discapacidad__c string", "1", "SÍ"),
+        "social": one_row("Nmero_de_Documento__c string", "1"),
+        "guardians": one_row("Apoderado_DNI__c string", "1"),
+        "workshops": one_row("DNI string", "1"),
+        "skills": one_row("DNI__c string, Nivel_de_logro__c string", "1", "Logrado"),
+        "experiential": one_row("DNI__c string, FECHA__c date, ACTIVIDAD__c string, VALOR__c string", "1", day(1), "v", "A"),
+        "hours": one_row("Nombre_Limpio string, Valor double", "PACHACÚTEC", 7.0),
+    }
+    for number in D.MEASURES:
+        assert D.measure(number, tables, settings=s).columns
+    # In long form, one branch per block.
+    numbers = [n for n in D.MEASURES if not n.startswith(("1.", "2.", "7."))]
+    got = {r["number"]: r["value"] for r in D.evaluate(numbers, tables, settings=s).collect()}
+    assert set(got) == set(numbers)
+    assert got["8.4"] == "Ú" and got["3.6"] == "12.5" and got["4.8"] == "1 (100.0%)" and got["5.6"] == "100.0%  (1 niños)"
+    assert got["4.5"] is None and got["6.3"] == "1" and got["4.17"] == "1.0"
