@@ -9,7 +9,7 @@ records are shuffled by (file, sheet, row), which no single sheet dominates.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -332,16 +332,20 @@ def dated_marks(data: DataFrame, ids: Mapping[str, Column]) -> DataFrame:
     marks = F.transform(
         F.col("dates"), lambda d: F.struct(d["date"].alias("fecha"), F.col("cells")[d["col"]].alias("asistencia"))
     )
-    return unroll(data, ids, marks)
+    # A layout has at least one date, so the outer form adds no row; the inner form would make
+    # Spark compute the array a second time to test its size.
+    return unroll(data, ids, marks, F.inline_outer)
 
 
-def unroll(data: DataFrame, ids: Mapping[str, Column], marks: Column) -> DataFrame:
+def unroll(
+    data: DataFrame, ids: Mapping[str, Column], marks: Column, inline: Callable[[Column], Column] = F.inline
+) -> DataFrame:
     """One row per element of an array of structs, beside the ids.
 
     The ids are computed in a step of their own, once per record and not once per element.
     """
     once = data.select(*[c.alias(n) for n, c in ids.items()], marks.alias("_marks"))
-    return once.select(*[F.col(f"`{n}`") for n in ids], F.inline("_marks"))
+    return once.select(*[F.col(f"`{n}`") for n in ids], inline(F.col("_marks")))
 
 
 def titled_marks(

@@ -189,13 +189,22 @@ def share_of_distinct(
     is counted again from (group, key) pairs and never added up from the parts.
     """
     by = [c for c in ctx.by if c != over]
-    pairs = ctx.without(over).apply(df).groupBy(*by, over, F.col(key).alias("_key")).agg(F.lit(1).alias("_one"))
-    parts = pairs.groupBy(*by, over).agg(F.count("_one").alias(part))
+    # Every row stands once under its value and once under the whole, so that one scan and
+    # one shuffle count both.
+    nothing = F.lit(None).cast(df.schema[over].dataType)
+    sides = F.array(
+        F.struct(F.lit(False).alias("_whole"), F.col(over).alias(over)),
+        F.struct(F.lit(True).alias("_whole"), nothing.alias(over)),
+    )
+    rows = ctx.without(over).apply(df).select(*by, F.col(key).alias("_key"), F.inline(sides))
+    pairs = rows.groupBy(*by, "_whole", over, "_key").agg(F.lit(1).alias("_one"))
+    counts = pairs.groupBy(*by, "_whole", over).agg(F.count("_one").alias(part))
+    # Only the counts meet in one place: one row per group and value.
+    total = F.max(F.when(F.col("_whole"), F.col(part))).over(Window.partitionBy(*(by or [F.lit(0)])))
+    parts = counts.withColumn(whole, total).filter(~F.col("_whole")).drop("_whole")
     if over in ctx.filters:
         parts = parts.filter(ctx.filters[over](F.col(over)))
-    keys = pairs.groupBy(*by, "_key").agg(F.lit(1).alias("_one"))
-    wholes = keys.groupBy(*by).agg(F.count("_one").alias(whole))
-    return _with_whole(parts, wholes, by, whole).withColumn(share, divide(F.col(part), F.col(whole), 0))
+    return parts.withColumn(share, divide(F.col(part), F.col(whole), 0))
 
 
 def share_of_rows(

@@ -90,11 +90,12 @@ def codebook(
         F.max(F.col("n") > 1).alias("_any_repeat"),
     )
     if sample:
-        by_value = Window.partitionBy("position").orderBy("value")
-        # A rank limit is applied on each task before the shuffle: at most 50 values travel.
+        # A rank limit is applied on each task before the shuffle: at most 50 values travel. The
+        # null value ranks last and is not collected; a filter would keep Spark from reusing
+        # the counted pairs, as would leaving out the count.
+        by_value = Window.partitionBy("position").orderBy(F.col("value").asc_nulls_last(), "n")
         examples = (
-            counted.filter(present)
-            .withColumn("_rank", F.row_number().over(by_value))
+            counted.withColumn("_rank", F.row_number().over(by_value))
             .filter("_rank <= 50")
             .groupBy("position")
             .agg(F.sort_array(F.collect_list("value")).alias("_values"))

@@ -33,6 +33,9 @@ def shown(value):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert forbidden not in plan
     columns = sorted(df.columns)
     ours = sorted(tuple(shown(r[c]) for c in columns) for r in df.collect())
     cursor = duck.execute(ORACLE[name])

@@ -72,6 +72,9 @@ def test_codebook(spark):
     assert unique["n"]["duplicates"] == "No (PK válida)"
     assert unique["n"]["sample"] == "0, 1, 2, 3, 4"
     simple = profile.codebook(df, min_max=False, duplicates=False, sample=None)
+    plan = profile.codebook(df)
+    plan.collect()
+    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
     assert simple.columns == ["variable", "type", "nulls", "null_percent", "distinct_values"]
     sketch = {r["variable"]: r["distinct_values"] for r in profile.codebook(df, approximate=True).collect()}
     assert abs(sketch["dni"] - 60) <= 6
@@ -93,6 +96,14 @@ def test_lookup_join_same_rows_with_and_without_broadcast(spark, how):
     salted = joins.join_lookup(big, small, ["k"], how, rows=0)
     assert "BroadcastHashJoin" in direct._jdf.queryExecution().executedPlan().toString()
     assert rows(direct, "k", "id", "twice") == rows(salted, "k", "id", "twice")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffled = joins.join_lookup(big, small, ["k"], how, rows=0)
+        assert "_salt" in shuffled._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1]
+        assert rows(direct, "k", "id", "twice") == rows(shuffled, "k", "id", "twice")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_equivalence_and_value_transfer(spark):
