@@ -13,6 +13,9 @@ from aulario.sources.stages import stage
 # rows that hold lists, no more entries in all). A row or entry is a short text and a number
 # or two, so the bound is some tens of megabytes.
 BROADCAST_ROWS = 200_000
+# Up to this size a lookup is repeated once per salt; a larger one would cost more to repeat
+# than a hot key costs, and adaptive execution splits the hot partitions instead.
+SALTED_ROWS = 5_000_000
 SALTS = 32
 
 
@@ -38,11 +41,14 @@ def join_lookup(
 
     Broadcast when the size check passes. Beyond it, both sides are shuffled on the keys plus
     a salt: each lookup row is repeated once per salt and each large row takes one salt, so a
-    key holding a large part of the table is spread over that many tasks.
+    key holding a large part of the table is spread over that many tasks. A very large lookup
+    is joined on the keys alone, which leaves hot keys to adaptive skew splitting.
     """
     keys = list(keys)
     if fits_broadcast(small, rows, entries):
         return big.join(F.broadcast(small), keys, how)
+    if not fits_broadcast(small, SALTED_ROWS):
+        return big.join(small, keys, how)
     # Maps cannot be hashed; any other column that tells rows of one key apart will do.
     others = [c for c, kind in big.dtypes if c not in keys and "map<" not in kind]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*(others or keys)), F.lit(SALTS)))

@@ -64,6 +64,7 @@ class Settings:
     learned_by_playing: str = "Considero_que_mis_hijos_aprendieron__c"
     legend_level: int | None = None
     slicer_row: str | None = None
+    reached_levels: Sequence[str] = ("Logrado", "Sobresaliente")
 
 
 def _status(*values: str) -> Column:
@@ -638,22 +639,41 @@ def evaluate(
 
 
 def kpi_report(tables: Tables, settings: Settings | None = None) -> DataFrame:
-    """Headline measures against their targets: value, target, reached."""
+    """Headline measures against their targets: value, target, reached.
+
+    Each figure is reported when its table is given: children, retention and attendance from
+    ``attendance``; the share of evaluated children at one of ``settings.reached_levels`` from
+    ``grades``; the mean of the five questions from ``children_satisfaction``; the share of
+    skill results achieved or outstanding from ``skills``.
+    """
     s = settings or Settings()
     ctx = FilterContext()
-    values = [
-        children(tables, ctx, s).select(
-            F.inline(
-                F.array(
-                    F.struct(F.lit("children_total").alias("kpi"), F.col("children_total").cast("double").alias("value")),
-                    F.struct(F.lit("retention_rate").alias("kpi"), F.col("retention_rate").alias("value")),
-                )
-            )
-        ),
-        attendance_mean(tables, ctx, s).select(
-            F.lit("mean_attendance").alias("kpi"), F.col("mean_attendance").alias("value")
-        ),
-    ]
+
+    def line(kpi: str, value: Column) -> Column:
+        return F.struct(F.lit(kpi).alias("kpi"), value.cast("double").alias("value"))
+
+    frames = []
+    if "attendance" in tables:
+        rates = (line(k, F.col(k)) for k in ("children_total", "retention_rate"))
+        frames.append(children(tables, ctx, s).select(F.inline(F.array(*rates))))
+        mean = line("mean_attendance", F.col("mean_attendance"))
+        frames.append(attendance_mean(tables, ctx, s).select(F.inline(F.array(mean))))
+    if "grades" in tables:
+        reached = F.col("NIVEL_DE_LOGRO__c").isin(*s.reached_levels)
+        counts = M.distinct_counts(tables["grades"], ctx, "DNI__c", reached=reached, everybody=F.lit(True))
+        share = line("level_share", divide(F.col("reached"), F.col("everybody")))
+        frames.append(counts.select(F.inline(F.array(share))))
+    if "children_satisfaction" in tables:
+        means = F.array(*[F.col(f"child_question_{i}") for i in range(1, 6)])
+        filled = F.filter(means, lambda x: x.isNotNull())
+        total = F.aggregate(filled, F.lit(0.0), lambda a, x: a + x)
+        overall = line("child_satisfaction", divide(total, F.size(filled)))
+        frames.append(child_satisfaction(tables, ctx, s).select(F.inline(F.array(overall))))
+    if "skills" in tables:
+        level, filled_id = F.col("Nivel_de_logro__c"), F.col("DNI__c").isNotNull()
+        good = F.count_if(filled_id & level.isin("Logrado", "Sobresaliente"))
+        share = line("skill_share", divide(good, F.count("DNI__c")))
+        frames.append(tables["skills"].agg(share.alias("k")).select("k.*"))
     targets = F.create_map(*[F.lit(x) for pair in K.KPI_TARGETS.items() for x in pair])
     target = targets[F.col("kpi")]
-    return union_aligned(values).select("kpi", "value", target.alias("target"), (F.col("value") > target).alias("reached"))
+    return union_aligned(frames).select("kpi", "value", target.alias("target"), (F.col("value") > target).alias("reached"))

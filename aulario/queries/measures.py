@@ -416,20 +416,23 @@ def label_n_pct(spark, sf):
 # --- satisfaction ------------------------------------------------------------------------
 
 
-@query(
-    """SELECT round(avg(quality), 9) AS child_question_1, round(avg(toxic), 9) AS child_question_2,
-      round(avg(quality + toxic), 9) AS child_question_3, round(avg(doc_id % 5), 9) AS child_question_4,
-      round(avg(CASE WHEN quality = 1 THEN 4 END), 9) AS child_question_5 FROM labels"""
-)
-def plain_mean(spark, sf):
-    answers = table(spark, sf, "labels").selectExpr(
+def _child_answers(spark, sf):
+    return table(spark, sf, "labels").selectExpr(
         "quality as Pregunta_1",
         "toxic as Pregunta_2",
         "quality + toxic as Pregunta_3",
         "doc_id % 5 as Pregunta_4",
         "case when quality = 1 then 4 end as Pregunta_5",
     )
-    out = D.child_satisfaction({"children_satisfaction": answers}, FilterContext(), CUTS)
+
+
+@query(
+    """SELECT round(avg(quality), 9) AS child_question_1, round(avg(toxic), 9) AS child_question_2,
+      round(avg(quality + toxic), 9) AS child_question_3, round(avg(doc_id % 5), 9) AS child_question_4,
+      round(avg(CASE WHEN quality = 1 THEN 4 END), 9) AS child_question_5 FROM labels"""
+)
+def plain_mean(spark, sf):
+    out = D.child_satisfaction({"children_satisfaction": _child_answers(spark, sf)}, FilterContext(), CUTS)
     return rounded(out, *out.columns)
 
 
@@ -658,17 +661,25 @@ def dashboard_long(spark, sf):
 
 
 @query(
-    cte("attendance")
+    cte("attendance", "grades", "skills")
     + """, c AS (SELECT count(DISTINCT CASE WHEN TIPO_ALUMNO__c IN ('ACTIVO', 'INACTIVO') THEN DNI__c END) AS t,
       count(DISTINCT CASE WHEN TIPO_ALUMNO__c = 'ACTIVO' THEN DNI__c END) AS a FROM attendance),
     k AS (SELECT avg(r) AS m FROM (SELECT max(A_REALES__c) / nullif(max(A_ESPERADAS__c), 0) AS r FROM attendance GROUP BY DNI__c))
     SELECT kpi, round(value, 9) AS value, target, value > target AS reached FROM (
       SELECT 'children_total' AS kpi, t::DOUBLE AS value, 1000::DOUBLE AS target FROM c
       UNION ALL SELECT 'retention_rate', a / t::DOUBLE, 0.85::DOUBLE FROM c
-      UNION ALL SELECT 'mean_attendance', m, 0.8::DOUBLE FROM k)"""
+      UNION ALL SELECT 'mean_attendance', m, 0.8::DOUBLE FROM k
+      UNION ALL SELECT 'level_share', count(DISTINCT CASE WHEN NIVEL_DE_LOGRO__c IN ('A', 'N') THEN DNI__c END)
+        / count(DISTINCT DNI__c)::DOUBLE, 0.7::DOUBLE FROM grades
+      UNION ALL SELECT 'child_satisfaction', (avg(quality) + avg(toxic) + avg(quality + toxic) + avg(doc_id % 5) + 4) / 5,
+        3.5::DOUBLE FROM labels
+      UNION ALL SELECT 'skill_share', count(*) FILTER (WHERE Nivel_de_logro__c IN ('Logrado', 'Sobresaliente')) / count(*)::DOUBLE,
+        0.6::DOUBLE FROM skills)"""
 )
 def kpi_report(spark, sf):
-    return rounded(D.kpi_report({"attendance": fact(spark, sf, "attendance")}), "value")
+    tables = {name: fact(spark, sf, name) for name in ("attendance", "grades", "skills")}
+    tables["children_satisfaction"] = _child_answers(spark, sf)
+    return rounded(D.kpi_report(tables, Settings(reached_levels=("A", "N"))), "value")
 
 
 @query("SELECT n_name AS \"Nombre_Limpio\", substr(n_name, 7, 1) AS letter FROM nation")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aulario.functions.text import norm_key
+from aulario.operators.combine import union_aligned
 
 CELL_SCHEMA = T.StructType(
     [
@@ -54,23 +55,24 @@ def scan_text_csv(
 ) -> DataFrame:
     """Read CSV files with every column as text, so ids keep their leading zeros.
 
-    ``columns`` declares the layout; otherwise each file's header is used and the files are
-    stacked by column name, absent columns being null.
+    ``columns`` declares the layout; otherwise each file's header line is read, files with the
+    same header are scanned together, and the layouts are stacked by column name, absent
+    columns being null.
     """
 
-    def one(path: str) -> DataFrame:
-        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-        if columns is None:
-            return reader.option("inferSchema", False).csv(path)
-        return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(path)
-
-    frames = [one(p) for p in paths]
-    if not frames:
+    if not paths:
         raise FileNotFoundError("no CSV input given")
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        names = tuple(columns) if columns is not None else tuple(reader.csv(path).columns)
+        layouts.setdefault(names, []).append(path)
+    # One scan per distinct layout, however many files share it.
+    frames = [
+        reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(group)
+        for names, group in layouts.items()
+    ]
+    return union_aligned(frames)
 
 
 def sheet_like(pattern: str) -> Column:
