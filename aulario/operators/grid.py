@@ -133,7 +133,9 @@ def duplicate_headers(headers: DataFrame, mark: str | None = None) -> DataFrame:
     ``mark`` stands before the number: ``_v`` gives ``X``, ``X_v1``, ``X_v2``; ``.`` gives
     ``X``, ``X.1``, ``X.2``.
     """
-    order = Window.partitionBy(*SHEET, "header").orderBy("col")
+    # Columns found by position are told apart by it, so that none counts as a repetition.
+    place = F.when(~is_ordinary(headers), F.col("col"))
+    order = Window.partitionBy(*SHEET, "header", place).orderBy("col")
     ranked = headers.withColumn("_n", F.row_number().over(order))
     if mark is None:
         return ranked.filter("_n = 1").drop("_n")
@@ -240,23 +242,30 @@ def positional_headers(headers: DataFrame, base: Sequence[str]) -> DataFrame:
 # --- records -----------------------------------------------------------------------------
 
 
+def is_ordinary(headers: DataFrame) -> Column:
+    """Headings that are neither dates nor among the columns after the last date."""
+    ordinary = F.lit(True)
+    for column in ("date", "offset"):
+        if column in headers.columns:
+            ordinary = ordinary & F.col(column).isNull()
+    return ordinary
+
+
 def layouts(headers: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame:
     """One row per sheet: heading -> column position, and the date columns in order.
 
-    Headings must be unique per sheet (see :func:`duplicate_headers`). ``roles`` maps a role
-    to a pattern; the first ordinary heading whose normalised text matches plays the role.
+    Ordinary headings must be unique per sheet (see :func:`duplicate_headers`); date columns
+    and the columns after them are kept by position, so equal ones all stay. ``roles`` maps a
+    role to a pattern; the first ordinary heading whose normalised text matches plays it.
     """
     has_dates = "date" in headers.columns
-    ordinary = F.lit(True)
-    for column in ("date", "offset"):
-        if column in headers.columns:
-            ordinary = ordinary & F.col(column).isNull()
+    ordinary = is_ordinary(headers)
     if roles:
         headers = headers.withColumn("_key", F.when(ordinary, norm_key(F.col("header"))))
     aggregates = [
         *[F.min(F.when(F.col("_key").rlike(p), F.col("col"))).alias(f"role_{r}") for r, p in (roles or {}).items()],
         F.min("header_row").alias("header_row"),
-        F.map_from_entries(F.collect_list(F.struct("header", "col"))).alias("columns"),
+        F.map_from_entries(F.collect_list(F.when(ordinary, F.struct("header", "col")))).alias("columns"),
         F.min("col").alias("first_col"),
         F.max("col").alias("last_col"),
     ]
@@ -298,7 +307,10 @@ def with_layout(cells: DataFrame, layout: DataFrame, entries: Column | None = No
     and above the header are dropped before the shuffle that builds the records.
     """
     written = stage(layout, "layouts")
-    entries = F.size("columns") if entries is None else entries
+    if entries is None:
+        entries = F.size("columns")
+        if "dates" in layout.columns:
+            entries = entries + F.size("dates")
     below = F.col("row") > F.col("header_row")
     if fits_broadcast(written, entries=entries):
         heads = written.select(*SHEET, "header_row")

@@ -110,7 +110,8 @@ def test_marks_keep_empty_ones(spark):
         ("7", "2", None, dt.date(2025, 3, 4), "A"),
         ("7", "2", None, dt.date(2025, 3, 5), None),
     ]
-    titled = grid.titled_marks(data, {"id": grid.cell("DNI")}, "^2025-", "h", "v")
+    plain = grid.with_layout(cells, grid.layouts(grid.fixed_header_cells(cells, 0)))
+    titled = grid.titled_marks(plain, {"id": grid.cell("DNI")}, "^2025-", "h", "v")
     assert rows(titled) == [("7", "2025-03-04", "A"), ("7", "2025-03-05", None)]
 
 
@@ -118,3 +119,12 @@ def test_repeated_header_threshold(spark):
     df = spark.createDataFrame([(["A", "B", "x", "y"],), (["A", "x", "y", "z"],), ([None, None, None, None],)], "v array<string>")
     out = [r[0] for r in df.select(grid.is_repeated_header(["A", "B", "C", "D"], F.col("v"))).collect()]
     assert out == [True, False, False]
+
+
+def test_equal_dates_and_totals_all_stay(spark):
+    cells = sheet(spark, [["DNI", "DNI", "2025-03-04", "2025-03-04", "TOTAL", "TOTAL"], ["7", "8", "A", "F", "2", "1"]])
+    headers = grid.duplicate_headers(grid.within_date_range(grid.with_dates(grid.fixed_header_cells(cells, 0))))
+    data = grid.with_layout(cells, grid.layouts(headers))
+    long = grid.dated_marks(data, {"id": grid.cell("DNI"), "e": grid.tail_cell(1), "r": grid.tail_cell(2)})
+    day = dt.date(2025, 3, 4)
+    assert rows(long) == [("7", "2", "1", day, "A"), ("7", "2", "1", day, "F")]
