@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # Unicode white space plus the four ASCII separators Python also treats as space.
 SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
-_EDGE_SPACE = r"^[\p{IsWhite_Space}\x1c-\x1f]+|[\p{IsWhite_Space}\x1c-\x1f]+$"
+_SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 _NON_ASCII = r"[^\x00-\x7F]"
 # No character in these common ranges unfolds to several letters: a quick way out.
 _MAY_UNFOLD = r"[^\x00-\xBB\xBF-\x{131}\x{250}-\x{2024}\x{2027}-\x{203B}]"
@@ -75,7 +75,7 @@ def collapse(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim Unicode white space at both ends, inner spacing kept."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def norm_key(c: Column) -> Column:
@@ -139,12 +139,14 @@ def keyword_category(
     whole: Mapping[str, Sequence[str]],
     contains: Mapping[str, Sequence[str]],
     other: str,
+    prepared: bool = False,
 ) -> Column:
     """First matching category: whole-text lists first, then keyword lists in order.
 
-    Text that matches nothing is ``other``; null and blank give null.
+    Text that matches nothing is ``other``; null and blank give null. Every test reads the
+    text, so a caller that has it in upper case and trimmed already says ``prepared``.
     """
-    text = strip(F.upper(c))
+    text = c if prepared else strip(F.upper(c))
     out = F.when(text.isNull() | (text == ""), None)
     for label, words in whole.items():
         out = out.when(text.isin(*words), label)

@@ -28,6 +28,17 @@ def _date(df: DataFrame, name: str) -> Column:
     return parse_date(c) if dict(df.dtypes)[name] == "string" else c.cast("date")
 
 
+def _null_words(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Null words removed from cleaned text columns.
+
+    A step of its own: the test and the result both need the cleaned text, which would
+    otherwise be computed twice.
+    """
+    return df.select(
+        *[(null_tokens(_named(df, c), K.UPPER_NULLS) if c in names else _named(df, c)).alias(c) for c in df.columns]
+    )
+
+
 def _latest(df: DataFrame, key: str, keep_null_keys: bool, tiebreak: Sequence[str] | None) -> DataFrame:
     # Titles such as ``Número de Documento.1`` would be read as nested fields.
     plain = [f"c{i}" for i in range(len(df.columns))]
@@ -49,7 +60,7 @@ def parent_survey(df: DataFrame, tiebreak: Sequence[str] | None = None) -> DataF
     """
     df = df.toDF(*[K.SURVEY_RENAMES.get(c, c) for c in df.columns])
     types = dict(df.dtypes)
-    columns = []
+    columns, texts = [], []
     for c in df.columns:
         value = _named(df, c)
         if c == K.SURVEY_KEY:
@@ -57,9 +68,10 @@ def parent_survey(df: DataFrame, tiebreak: Sequence[str] | None = None) -> DataF
         elif c == K.STAMP:
             value = _stamp(df)
         elif types[c] == "string":
-            value = null_tokens(norm_text(value), K.UPPER_NULLS)
+            value = norm_text(value)
+            texts.append(c)
         columns.append(value.alias(c))
-    latest = _latest(df.select(*columns), K.SURVEY_KEY, keep_null_keys=False, tiebreak=tiebreak)
+    latest = _latest(_null_words(df.select(*columns), texts), K.SURVEY_KEY, keep_null_keys=False, tiebreak=tiebreak)
     return latest.withColumn(K.STAMP, F.col(f"`{K.STAMP}`").cast("date"))
 
 
@@ -95,7 +107,7 @@ def enrolment_request(df: DataFrame, as_of: str, tiebreak: Sequence[str] | None
     are counted at.
     """
     types = dict(df.dtypes)
-    columns = []
+    columns, texts = [], []
     for c in df.columns:
         value = _named(df, c)
         if c in (K.REQUEST_KEY, *K.REQUEST_OTHER_IDS):
@@ -104,17 +116,20 @@ def enrolment_request(df: DataFrame, as_of: str, tiebreak: Sequence[str] | None
             value = _stamp(df)
         elif c == K.REQUEST_BIRTH:
             value = _date(df, c)
-        elif c == K.DISABILITY:
-            value = keyword_category(
-                null_tokens(strip(F.upper(value)), K.UPPER_NULLS),
-                K.DISABILITY_WHOLE,
-                K.DISABILITY_WORDS,
-                K.DISABILITY_OTHER,
-            )
         elif types[c] == "string":
-            value = null_tokens(strip(F.upper(value)), K.UPPER_NULLS)
+            value = strip(F.upper(value))
+            texts.append(c)
         columns.append(value.alias(c))
-    table = df.select(*columns)
+    table = _null_words(df.select(*columns), texts)
+    if K.DISABILITY in df.columns:
+        category = keyword_category(
+            _named(table, K.DISABILITY),
+            K.DISABILITY_WHOLE,
+            K.DISABILITY_WORDS,
+            K.DISABILITY_OTHER,
+            prepared=True,
+        )
+        table = table.withColumn(K.DISABILITY, category)
     if K.REQUEST_BIRTH in df.columns:
         table = table.withColumn("EDAD", age_years(_named(table, K.REQUEST_BIRTH), F.lit(as_of).cast("date")))
     latest = _latest(table, K.REQUEST_KEY, keep_null_keys=True, tiebreak=tiebreak)

@@ -113,9 +113,9 @@ def contains_status(spark, sf):
 )
 def keyword_category(spark, sf):
     words = {"LICENCIA": ("LICENSE",), "CONTACTO": ("EMAIL", "@"), "LENGUAJE": ("QUE", "UND")}
-    return table(spark, sf, "documents").select(
-        "doc_id", text.keyword_category(F.col("text"), {"NINGUNA": ("NADA",)}, words, "OTRO").alias("categoria")
-    )
+    documents = table(spark, sf, "documents").select("doc_id", text.strip(F.upper("text")).alias("t"))
+    category = text.keyword_category(F.col("t"), {"NINGUNA": ("NADA",)}, words, "OTRO", prepared=True)
+    return documents.select("doc_id", category.alias("categoria"))
 
 
 @query(
