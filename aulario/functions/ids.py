@@ -24,4 +24,7 @@ def document_id(c: Column, null_values: Sequence[str] = ()) -> Column:
     lists cleaned values that mean "no id" (for instance ``0``).
     """
     cleaned = digits(F.regexp_replace(F.trim(c), r"^(\d+)\.0+$", "$1"))
-    return F.when(~cleaned.isin(*null_values), cleaned) if null_values else cleaned
+    # ``nullif`` computes its argument once, which a CASE over the cleaned text would not.
+    for value in null_values:
+        cleaned = F.nullif(cleaned, F.lit(value))
+    return cleaned
