@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aulario.llm import bitplanes, packing, warc
+from aulario.llm import bitplanes, ngram_join, packing, warc
 from aulario.llm.common import new_folder, table
 from aulario.queries.register import Registry
 
@@ -55,5 +55,34 @@ def op7_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_ids(spark, folder, files)
 
 
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x20\\x09-\\x0D]+')"
+)
+
+
+@REGISTRY.query(f"""
+with recursive w as (select doc_id, {_WORDS} as ws from documents),
+s as (
+  select distinct doc_id, unnest(case
+    when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g
+  from w
+),
+n as (select w.doc_id, count(s.g) as n from w left join s on s.doc_id = w.doc_id group by w.doc_id),
+o as (select a.doc_id as a, b.doc_id as b, count(*) as o from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (
+  select o.a, o.b from o join n x on x.doc_id = o.a join n y on y.doc_id = o.b
+  where 100 * o.o >= 80 * (x.n + y.n - o.o)
+),
+r as (select doc_id, doc_id as x from n union select r.doc_id, l.b from r join l on l.a = r.x)
+select n.doc_id, n.n::bigint as n_shingles, min(r.x) as component_id
+from n join r on r.doc_id = n.doc_id group by n.doc_id, n.n
+""")
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their five-word shingles."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80, words=5)
+
+
 def queries() -> dict:
     return dict(REGISTRY)
