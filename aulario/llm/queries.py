@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aulario.llm import bitplanes, ngram_join, packing, warc
+from aulario.llm import bitplanes, ngram_join, packing, suffix_dedup, warc
 from aulario.llm.common import new_folder, table
 from aulario.queries.register import Registry
 
@@ -84,5 +84,13 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80, words=5)
 
 
+@REGISTRY.query(None)
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every byte covered by a 100-byte string that starts earlier."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def queries() -> dict:
     return dict(REGISTRY)
