@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aulario.llm import bitplanes, ngram_join, packing, suffix_dedup, warc
+from aulario.llm import bitplanes, fertility, fingerprints, importance, ngram_join, packing, suffix_dedup, warc
 from aulario.llm.common import new_folder, table
 from aulario.queries.register import Registry
 
@@ -92,5 +92,27 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@REGISTRY.query(None)
+def op2_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain quality rules and fertility bands over all documents."""
+    judged = fertility.quality_rules(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return judged.select("row.doc_id", *[c for c in judged.columns if c != "row"])
+
+
+@REGISTRY.query(None)
+def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and likenesses."""
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.query(None)
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance of all documents and the draw."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.select("row.doc_id", "n_grams", "log_importance", "kept")
+
+
 def queries() -> dict:
     return dict(REGISTRY)
