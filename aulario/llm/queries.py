@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aulario.llm import bitplanes, fertility, fingerprints, importance, ngram_join, packing, suffix_dedup, warc
+from aulario.llm import bitplanes, compression_toxicity, fertility, fingerprints, importance, ngram_join, packing, suffix_dedup, warc
 from aulario.llm.common import new_folder, table
 from aulario.queries.register import Registry
 
@@ -114,5 +114,13 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("row.doc_id", "n_grams", "log_importance", "kept")
 
 
+@REGISTRY.query(None)
+def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = compression_toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return compression_toxicity.score(docs, model)
+
+
 def queries() -> dict:
     return dict(REGISTRY)
