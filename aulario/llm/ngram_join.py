@@ -17,7 +17,10 @@ over those leading columns alone, and full overlaps only for pairs that the boun
    later rows. Pairs are discarded by set sizes and by what is left after ``pos``, and pairs
    already in one component are skipped, so a dense group of m near copies costs about m products
    per block instead of m^2. Blocks go on until no column has rows of two components left.
-5. Pairs that pass are checked with their full sets; links give components.
+5. Of the pairs left, overlap counts are accumulated over all leading columns. With c of them the
+   full overlap is at most c plus what either row has beyond its prefix; pairs that cannot reach
+   the bound so are discarded, which takes away texts that share a passage and little else.
+6. Pairs that remain are checked with their full sets; links give components.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from aulario.llm.common import batch, shingles, small_batches, staged, text_byte
 from aulario.llm.components import connected_components
 
 # Share of the hash range in which columns are counted and ordered by frequency.
-LOW = 0.35
+LOW = 0.3
 # Columns with more entries than this are frequent.
 FREQUENT = 32
 # Frequent columns, and ids of texts to fetch, that are sent to all executors (8 bytes each);
@@ -131,30 +134,48 @@ def _prefixes(sets: DataFrame, frequent: DataFrame, percent: int, broadcast: int
 
 
 def _full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int, broadcast: int) -> DataFrame:
-    """(sig, tokens) of the wanted sets, from one text each."""
+    """(sig, tokens) of the wanted sets, from one text each (or more where a ``doc_id`` is repeated)."""
     ids = staged(sets.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "ids")
-    some = ids.select("doc_id").filter("doc_id is not null").distinct()
-    some = F.broadcast(some) if ids.count() <= broadcast else some
+    some = F.broadcast(ids) if ids.count() <= broadcast else ids
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    found = plain.join(some, "doc_id", "left_semi")
-    if not ids.filter("doc_id is null").isEmpty():
-        found = found.unionByName(plain.filter("doc_id is null"))
+    found = plain.join(some, "doc_id").select("sig", "text")
+    if not ids.filter("doc_id is null").isEmpty():  # sets of which no text has an id
+        nameless = plain.filter("doc_id is null").select(F.lit(None).cast("long").alias("sig"), "text")
+        found = found.unionByName(nameless)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
-            tokens = [t for t in (shingles(d, words) for d in incoming.column(1).to_pylist()) if len(t)]
-            yield batch(_FULL, [[_signature(t) for t in tokens], _lists(tokens)])
+            sigs, sets = [], []
+            for sig, data in zip(incoming.column(0).to_pylist(), incoming.column(1).to_pylist()):
+                tokens = shingles(data, words)
+                if len(tokens) and sig in (None, _signature(tokens)):
+                    sigs.append(_signature(tokens))
+                    sets.append(tokens)
+            yield batch(_FULL, [sigs, _lists(sets)])
+
+    return found.mapInArrow(run, "sig long, tokens array<long>")
+
 
-    full = found.mapInArrow(run, "sig long, tokens array<long>")
-    return full.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("tokens").alias("tokens"))
+def _joined(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """Pairs with the values of both sides: ``x`` of ``a`` and ``y`` of ``b``."""
+    left = values.select(F.col("sig").alias("a"), F.col("v").alias("x"))
+    right = values.select(F.col("sig").alias("b"), F.col("v").alias("y"))
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _reachable(pairs: DataFrame, leading: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose overlap in the leading columns leaves room for the overlap that they need."""
+    shared = F.size(F.array_intersect("x.tokens", "y.tokens"))
+    beyond = F.greatest(*[F.ceil(F.col(f"{s}.n") * percent / 100.0) - 1 for s in ("x", "y")])
+    bound = (100 + percent) * (shared + beyond) >= percent * (F.col("x.n") + F.col("y.n"))
+    return _joined(pairs, leading).filter(bound).select("a", "b")
 
 
 def _links(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    left = full.select(F.col("sig").alias("a"), F.col("tokens").alias("ta"))
-    right = full.select(F.col("sig").alias("b"), F.col("tokens").alias("tb"))
-    shared = F.size(F.array_intersect("ta", "tb"))
-    union = F.size("ta") + F.size("tb") - shared
-    return pairs.join(left, "a").join(right, "b").filter(100 * shared >= percent * union).select("a", "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    union = F.size("x") + F.size("y") - shared
+    found = _joined(pairs, full.withColumnRenamed("tokens", "v"))
+    return found.filter(100 * shared >= percent * union).select("a", "b").distinct()
 
 
 def _candidates(rows: DataFrame, low: int, high: int, percent: int) -> DataFrame:
@@ -208,11 +229,14 @@ def jaccard_components(
         entries.join(sizes, "token").select("token", "sig", "n", "pos", "m", (unit * F.col("m")).alias("turn")),
         "rows",
     )
+    leading = staged(
+        rows.groupBy("sig", "n").agg(F.collect_list("token").alias("tokens")).select("sig", F.struct("n", "tokens").alias("v")),
+        "leading",
+    )
     largest = rows.agg(F.max("m")).first()[0] or 0
 
     links = None
     components = None
-    full = None
     low, high = 0, first_block
     while low < largest:
         if components is None:
@@ -228,11 +252,9 @@ def jaccard_components(
         alive = staged(alive.select("token", "sig", "n", "pos", "turn", "comp"), "alive")
         if alive.isEmpty():
             break
-        pairs = staged(_candidates(alive, low, high, percent), "pairs")
-        if full is None:
-            later = rows.filter(F.col("m") > high).select("sig")
-            wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).union(later).distinct()
-            full = staged(_full_sets(docs, sets, staged(wanted, "wanted"), words, broadcast), "full")
+        pairs = staged(_reachable(_candidates(alive, low, high, percent), leading, percent), "pairs")
+        wanted = staged(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct(), "wanted")
+        full = staged(_full_sets(docs, sets, wanted, words, broadcast), "full")
         found = staged(_links(pairs, full, percent), "found")
         links = found if links is None else links.unionByName(found)
         components = connected_components(links)
