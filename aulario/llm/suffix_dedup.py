@@ -12,9 +12,11 @@ that are refined level by level, down to ``length`` bytes, and a bucket leaves a
 * Second refinement, in buckets where runs differ (around edits and the ends of passages): each window
   gets the pair of q-gram bucket identifiers at its start and q bytes later, then the pair of those
   and the ones 2q later. These identifiers are reused at every offset of the run, and sorting
-  on them tells the earliest document of each window.
+  on them tells the earliest document of each window. Buckets of at most ``LARGE`` runs, which is
+  nearly all, are sorted by bucket and document and refined in one sweep over the runs' bytes,
+  without a row per window.
 
-Buckets are exchanged as identifiers with a minimum of ``doc_id``, never as lists of their
+Other buckets are exchanged as identifiers with a minimum of ``doc_id``, never as lists of their
 members, so a passage that a third of all documents hold is a partial minimum per task.
 """
 
@@ -25,11 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulario.llm.common import batch, mix, small_batches, staged
+from aulario.llm.common import batch, mix, small_batches, staged, text_bytes
+
+# Runs of a bucket that one task refines together; larger buckets are refined by window.
+LARGE = 4096
 
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id: after all others
 _GROUP = 1 << 19
@@ -146,6 +152,10 @@ def groups(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
 
 
 _RUNS = pa.schema([("g", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("th", pa.int64())])
+_CONTENT = pa.schema(
+    [("g", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]
+)
+_HITS = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
 _WINDOWS = pa.schema(
     [("g", pa.int64()), ("h", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64())]
 )
@@ -156,16 +166,41 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows with their place in the order (``doc``), a hash of the text (``th``) and all their columns."""
-    data = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
+    """Rows with their place in the order (``doc``), what tells rows of one ``doc`` apart (``th``), text and other columns.
+
+    Where every row has a ``doc_id`` of its own, as usual, ``th`` is 0 and costs no room.
+    """
+    data = text_bytes()
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"))
+    unique = ids.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
+    others = [c for c in docs.columns if c != "text"]
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
-        F.xxhash64(data).alias("th"),
+        (F.lit(0).cast("long") if unique else F.xxhash64(data)).alias("th"),
         data.alias("data"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
     )
 
 
+def _packed(keyed: DataFrame) -> DataFrame:
+    """The rows with their texts compressed, to be exchanged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for incoming in batches:
+            doc, th, data, row = (incoming.column(i) for i in range(4))
+            z = pa.array([press.compress(d) for d in data.to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([doc, th, z, row], names=["doc", "th", "z", "row"])
+
+    fields = [("doc", T.LongType()), ("th", T.LongType()), ("z", T.BinaryType()), ("row", keyed.schema["row"].dataType)]
+    return keyed.mapInArrow(run, T.StructType([T.StructField(n, t) for n, t in fields]))
+
+
+def _unpack(column: pa.Array) -> list[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return [press.decompress(z) for z in column.to_pylist()]
+
+
 def _distinct_runs(scan: Scan, rows: np.ndarray) -> np.ndarray:
     """Indexes of the first run of each (row, run)."""
     order = np.lexsort((scan.first, scan.run, rows))
@@ -200,19 +235,69 @@ def _member(values: np.ndarray, of: list | None) -> np.ndarray:
 
 
 def _emit_windows(joined: DataFrame, length: int, q: int) -> DataFrame:
-    """First occurrence in its row of every window of the runs listed in ``open``."""
+    """First occurrence in its row of every window of the runs listed in ``wide``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
             doc, th, data, opened = (incoming.column(i) for i in range(4))
-            for i, text in enumerate(data.to_pylist()):
+            for i, text in enumerate(_unpack(data)):
                 g, h, at = _open_windows(text, opened[i].as_py(), length, q)[:3]
                 _, first = np.unique(np.stack([g, h]), axis=1, return_index=True) if len(g) else (None, [])
                 if len(first):
                     n = len(first)
                     yield batch(_WINDOWS, [_signed(g[first]), _signed(h[first]), [doc[i].as_py()] * n, [th[i].as_py()] * n, at[first]])
 
-    return joined.select("doc", "th", "data", "open").mapInArrow(run, "g long, h long, doc long, th long, at long")
+    return joined.select("doc", "th", "z", "wide").mapInArrow(run, "g long, h long, doc long, th long, at long")
+
+
+def _open_runs(joined: DataFrame, length: int, q: int) -> DataFrame:
+    """Bytes of the runs listed in ``open``: ``g, doc, th, at, content``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for incoming in batches:
+            doc, th, data, opened = (incoming.column(i) for i in range(4))
+            for i, text in enumerate(_unpack(data)):
+                out: list[list] = [[], [], []]
+                for group in groups([text], length):
+                    offset = group[0][1]
+                    scan = Scan([p for _, _, p in group], length, q)
+                    for r in np.flatnonzero(_member(scan.run, opened[i].as_py())).tolist():
+                        first, last = int(scan.first[r]) + offset, int(scan.last[r]) + offset
+                        for column, value in zip(out, (int(_signed(scan.gram[r : r + 1])[0]), first, text[first : last + length])):
+                            column.append(value)
+                n = len(out[0])
+                if n:
+                    yield batch(_CONTENT, [out[0], [doc[i].as_py()] * n, [th[i].as_py()] * n, out[1], out[2]])
+
+    return joined.select("doc", "th", "z", "open").mapInArrow(run, "g long, doc long, th long, at long, content binary")
+
+
+def _refine(runs: DataFrame, length: int) -> DataFrame:
+    """Windows of open runs that a smaller ``doc`` of the bucket also has: ``doc, th, lo, hi``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, seen = None, {}
+        for incoming in batches:
+            out: list[tuple] = []
+            for g, doc, th, at, content in zip(*(incoming.column(i).to_pylist() for i in range(5))):
+                if g != bucket:
+                    bucket, seen = g, {}
+                start = None
+                n = len(content) - length + 1
+                for o in range(n):
+                    late = seen.setdefault(content[o : o + length], doc) < doc
+                    if late and start is None:
+                        start = o
+                    elif not late and start is not None:
+                        out.append((doc, th, at + start, at + o - 1))
+                        start = None
+                if start is not None:
+                    out.append((doc, th, at + start, at + n - 1))
+            if out:
+                yield batch(_HITS, [*map(list, zip(*out))])
+
+    ordered = runs.repartition("g").sortWithinPartitions("g", "doc", "th", "at")
+    return ordered.select("g", "doc", "th", "at", "content").mapInArrow(run, "doc long, th long, lo long, hi long")
 
 
 def _open_windows(text: bytes, opened: list | None, length: int, q: int):
@@ -256,13 +341,13 @@ def repeated(text: bytes, dup: list | None, opened: list | None, hits: list | No
         late = at[order[~first]] if len(g) else at
         mark(late, late)
     if hits:
-        at = np.array(hits, np.int64)
-        mark(at, at)
+        found = np.array([(h["lo"], h["hi"]) for h in hits], np.int64)
+        mark(found[:, 0], found[:, 1])
     return np.cumsum(marks[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25) -> DataFrame:
-    """Per row of ``docs``: ``row`` (all its columns), ``n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes).
+def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25, large: int = LARGE) -> DataFrame:
+    """Per row of ``docs``: ``row`` (its columns but the text), ``n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes).
 
     Strings are judged on the input; spans are maximal removed runs. A null text is empty. Rows with
     one ``doc_id`` do not count as earlier than each other; rows without one come after all
@@ -275,28 +360,38 @@ def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25) -> DataFrame
     firsts = staged(
         runs.groupBy("g", "run").agg(F.min("doc").alias("first"), F.max("doc").alias("latest")), "firsts"
     )
-    mixed = firsts.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g", F.lit(True).alias("mixed"))
-    firsts = firsts.join(mixed, "g", "left").filter("first < latest or mixed")
+    mixed = firsts.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    firsts = firsts.join(mixed, "g", "left").filter("first < latest or kinds > 1")
     flagged = runs.join(firsts, ["g", "run"])
     later = F.col("doc") > F.col("first")
+    small = F.col("kinds") <= large
     lists = staged(
-        flagged.filter(later | F.col("mixed"))
+        flagged.filter(later | F.col("kinds").isNotNull())
         .groupBy("doc", "th")
         .agg(
             F.collect_list(F.when(later, F.col("run"))).alias("dup"),
-            F.collect_list(F.when(~later, F.col("run"))).alias("open"),
+            F.collect_list(F.when(~later & small, F.col("run"))).alias("open"),
+            F.collect_list(F.when(~later & ~small, F.col("run"))).alias("wide"),
         ),
         "lists",
     )
-    opened = keyed.drop("row").join(lists.filter(F.size("open") > 0).select("doc", "th", "open"), ["doc", "th"])
-    windows = staged(_emit_windows(opened, length, q).distinct(), "windows")
-    earliest = windows.groupBy("g", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("latest")).filter("first < latest")
-    hits = staged(
-        windows.join(earliest, ["g", "h"]).filter("doc > first").groupBy("doc", "th").agg(F.collect_list("at").alias("hits")),
-        "hits",
+    opened = _packed(keyed.withColumn("row", F.struct(F.lit(0)))).join(
+        lists.filter((F.size("open") > 0) | (F.size("wide") > 0)).select("doc", "th", "open", "wide"), ["doc", "th"]
     )
-    marks = lists.join(hits, ["doc", "th"], "left")
-    return _cut(keyed.join(marks, ["doc", "th"], "left"), length, q)
+    hits = _refine(_open_runs(opened.filter(F.size("open") > 0), length, q), length)
+    if not lists.filter(F.size("wide") > 0).isEmpty():
+        hits = hits.unionByName(_late_windows(opened.filter(F.size("wide") > 0), length, q))
+    hits = staged(hits.groupBy("doc", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("hits")), "hits")
+    marks = lists.withColumn("open", F.concat("open", "wide")).drop("wide").join(hits, ["doc", "th"], "left")
+    return _cut(_packed(keyed).join(marks, ["doc", "th"], "left"), length, q)
+
+
+def _late_windows(opened: DataFrame, length: int, q: int) -> DataFrame:
+    """Windows of the runs of large buckets that a smaller ``doc`` also has, by the window's identifier."""
+    windows = staged(_emit_windows(opened, length, q), "windows")
+    earliest = windows.groupBy("g", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("latest")).filter("first < latest")
+    late = windows.join(earliest, ["g", "h"]).filter("doc > first")
+    return late.select("doc", "th", F.col("at").alias("lo"), F.col("at").alias("hi"))
 
 
 def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
@@ -311,7 +406,7 @@ def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
         for incoming in batches:
             row, data, dup, opened, hits = (incoming.column(i) for i in range(5))
             out: list[list] = [[], [], [], [], []]
-            for i, text in enumerate(data.to_pylist()):
+            for i, text in enumerate(_unpack(data)):
                 kept, spans = text, 0
                 if dup[i].is_valid or len(text) >= length:
                     gone = repeated(text, dup[i].as_py(), opened[i].as_py(), hits[i].as_py(), length, q)
@@ -324,4 +419,4 @@ def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
             arrays = [row, *[pa.array(c, t) for c, t in zip(out, types)]]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-    return joined.select("row", "data", "dup", "open", "hits").mapInArrow(run, T.StructType(fields))
+    return joined.select("row", "z", "dup", "open", "hits").mapInArrow(run, T.StructType(fields))
