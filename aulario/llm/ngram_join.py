@@ -47,7 +47,7 @@ FIRST_BLOCK = 8
 BLOCK_GROWTH = 8
 
 _SETS = pa.schema(
-    [("doc_id", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("low", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("th", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("low", pa.list_(pa.int64()))]
 )
 _PREFIX = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 _FULL = pa.schema([("sig", pa.int64()), ("tokens", pa.list_(pa.int64()))])
@@ -70,23 +70,23 @@ def _signature(tokens: np.ndarray) -> int:
 
 
 def _document_sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """``doc_id, sig, n, low``; ``sig`` is null for texts without words."""
+    """``doc_id, th, sig, n, low``; ``th`` is a hash of the text, ``sig`` is null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
             sigs, sizes, lows = [], [], []
-            for data in incoming.column(1).to_pylist():
+            for data in incoming.column(2).to_pylist():
                 tokens = shingles(data, words)
                 n = len(tokens)
                 sizes.append(n)
                 sigs.append(_signature(tokens) if n else None)
                 low = max(int(np.searchsorted(tokens, _EDGE)), prefix_length(n, percent)) if n else 0
                 lows.append(tokens[:low])
-            yield batch(_SETS, [incoming.column(0), sigs, sizes, _lists(lows)])
+            yield batch(_SETS, [incoming.column(0), incoming.column(1), sigs, sizes, _lists(lows)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).mapInArrow(
-        run, "doc_id long, sig long, n long, low array<long>"
-    )
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_bytes()).alias("th"), text_bytes().alias("text")
+    ).mapInArrow(run, "doc_id long, th long, sig long, n long, low array<long>")
 
 
 def _prefixes(sets: DataFrame, frequent: DataFrame, percent: int, broadcast: int) -> DataFrame:
@@ -205,13 +205,14 @@ def jaccard_components(
     first_block: int = FIRST_BLOCK,
     broadcast: int = BROADCAST,
 ) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id``.
+    """Per document: ``doc_id, n_shingles, component_id, th, component``.
 
     Documents whose sets of ``words``-word n-grams have a Jaccard similarity of at least
     ``percent`` / 100 are linked; ``component_id`` is the smallest ``doc_id`` reachable by links,
     the document included. Texts with fewer words are one n-gram; null, empty and blank texts
     have none and are linked with nothing. Rows with a null or repeated ``doc_id`` are rows
-    like any other (a null counts as no id). Other columns are not read.
+    like any other (a null counts as no id). ``th`` is a hash of the text and ``component`` names the
+    component (null for texts without n-grams). Other columns are not read.
     N-grams are 64-bit hashes and sets are known by a 64-bit hash of theirs.
     """
     small_batches(docs.sparkSession)
@@ -265,16 +266,45 @@ def jaccard_components(
 def _with_components(sets: DataFrame, components: DataFrame | None) -> DataFrame:
     firsts = sets.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("first_id"))
     if components is None:
-        classes = firsts.select("sig", F.col("first_id").alias("component_id"))
+        classes = firsts.select("sig", F.col("sig").alias("comp"), F.col("first_id").alias("component_id"))
     else:
         named = firsts.join(components.withColumnRenamed("node", "sig"), "sig", "left")
         named = staged(named.withColumn("comp", F.coalesce("component", "sig")), "named")
         smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-        classes = named.join(smallest, "comp").select("sig", "component_id")
+        classes = named.join(smallest, "comp").select("sig", "comp", "component_id")
     # Rows of one hot set are spread over copies of its class.
     salts = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_salt")
-    return (
-        sets.select("doc_id", "sig", F.col("n").alias("n_shingles"), F.pmod(F.hash("doc_id"), F.lit(16)).alias("_salt"))
-        .join(classes.select("sig", "component_id", salts), ["sig", "_salt"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    salt = F.pmod(F.hash("doc_id", "th"), F.lit(16)).alias("_salt")
+    rows = sets.select("doc_id", "th", "sig", F.col("n").alias("n_shingles"), salt)
+    return rows.join(classes.select("sig", "comp", "component_id", salts), ["sig", "_salt"], "left").select(
+        "doc_id",
+        "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        "th",
+        F.col("comp").alias("component"),
+    )
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, words: int = 5, broadcast: int = BROADCAST) -> DataFrame:
+    """The rows of ``docs`` less all but one of every component.
+
+    The row with the smallest ``doc_id`` stays (one without an id only if none has one), of equal ids
+    the one with the smallest text hash. Repeated rows are one. Texts without n-grams stay.
+    """
+    found = staged(jaccard_components(docs, percent, words, broadcast=broadcast), "components")
+    last = F.lit(2**63 - 1)
+    place = F.struct(F.coalesce("doc_id", last).alias("doc"), "th")
+    linked = found.filter("component is not null").select("component", place.alias("place"))
+    stay = linked.groupBy("component").agg(F.min("place").alias("stay"))
+    gone = staged(linked.join(stay, "component").filter("place <> stay").select("place.doc", "place.th").distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= broadcast else gone
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), last).alias("doc"),
+        F.xxhash64(text_bytes()).alias("th"),
     )
+    kept = keyed.join(gone, ["doc", "th"], "left_anti")
+    again = found.groupBy(F.coalesce("doc_id", last), "th").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    if not again.isEmpty():
+        kept = kept.dropDuplicates(["doc", "th"])
+    return kept.select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aulario.llm import bitplanes, compression_toxicity, fertility, fingerprints, importance, ngram_join, packing, suffix_dedup, warc
+from aulario.llm import bitplanes, compression_toxicity, fertility, fingerprints, importance, ngram_join, packing, sentence_scan, suffix_dedup, warc
 from aulario.llm.common import new_folder, table
 from aulario.queries.register import Registry
 
@@ -81,7 +81,8 @@ from n join r on r.doc_id = n.doc_id group by n.doc_id, n.n
 """)
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share four fifths of their five-word shingles."""
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80, words=5)
+    found = ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=80, words=5)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @REGISTRY.query(None)
@@ -122,5 +123,13 @@ def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_toxicity.score(docs, model)
 
 
+@REGISTRY.query(None)
+def op4_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode all documents; sums over ids and over the characters decoded from them."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentence_scan.encode(table(spark, sf_dir, "documents"), path)
+    return sentence_scan.digests(sentence_scan.decode(encoded, path))
+
+
 def queries() -> dict:
     return dict(REGISTRY)
