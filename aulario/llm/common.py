@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,17 @@ def text_bytes(column: str = "text") -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small in this session: texts may be long."""
+    """Keep Arrow batches small in this session: texts may be long.
+
+    Python workers of a local session also learn where this package lies; on a cluster it is
+    deployed with the job.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local["):
+        root = str(Path(__file__).resolve().parents[2])
+        paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -305,6 +305,7 @@ class WarcDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make ``format("warc")`` known and let filters reach it."""
+    small_batches(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 
@@ -344,7 +345,6 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0, salts: int = 16) -> Data
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, **options) -> None:
     register(pages.sparkSession)
-    small_batches(pages.sparkSession)
     with_revisits(pages, min_bytes).write.format("warc").mode("append").options(**options).save(folder)
 
 
