@@ -185,6 +185,11 @@ def full_name(
     return F.regexp_replace(collapse(text), r"^(.*?),\s*\1$", "$1")
 
 
+def base_name(c: Column) -> Column:
+    """File name without the folders before it."""
+    return F.regexp_extract(c, r"([^/]*)$", 1)
+
+
 def centre_before_dash(file_name: Column) -> Column:
     """Centre name as the part of a file name before `` - ``."""
     return F.trim(F.split_part(file_name, F.lit(" - "), F.lit(1)))

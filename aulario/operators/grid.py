@@ -154,16 +154,34 @@ def with_data(headers: DataFrame, cells: DataFrame) -> DataFrame:
     return headers.join(used, [*SHEET, "col"]).filter(F.col("_deepest") > F.col("header_row")).drop("_deepest")
 
 
-def heading_list(headers: DataFrame, limit: int = 5_000) -> list[str]:
-    """Distinct headings in order of first appearance; more than ``limit`` is an error."""
-    rows = (
-        headers.groupBy("header")
-        .agg(F.min(F.struct("file", "sheet", "col")).alias("seen"))
-        .orderBy("seen")
-        .limit(limit + 1)
-        .collect()
+def compact_range(headers: DataFrame, cells: DataFrame, tail: int = 3) -> DataFrame:
+    """Drop the columns of a date range that hold nothing, and number what follows the last date anew.
+
+    A sheet whose dates are all unused goes. ``offset`` counts the columns left after the last
+    used date; those beyond ``tail`` go as well.
+    """
+    sheet = Window.partitionBy(*SHEET)
+    last = F.max(F.when(F.col("date").isNotNull(), F.col("col"))).over(sheet)
+    after = F.col("col") > F.col("_last")
+    place = F.row_number().over(Window.partitionBy(*SHEET, after).orderBy("col"))
+    return (
+        with_data(headers, cells)
+        .withColumn("_last", last)
+        .filter(F.col("_last").isNotNull())
+        .withColumn("offset", F.when(after, place))
+        .filter(F.col("offset").isNull() | (F.col("offset") <= tail))
+        .drop("_last")
     )
-    if len(rows) > limit:
+
+
+def heading_list(headers: DataFrame, limit: int | None = None) -> list[str]:
+    """Distinct headings in order of first appearance; more than ``limit``, if given, is an error.
+
+    They become the columns of a wide table, so the driver holds them in any case.
+    """
+    first = headers.groupBy("header").agg(F.min(F.struct("file", "sheet", "col")).alias("seen")).orderBy("seen")
+    rows = (first if limit is None else first.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} distinct headings; check the header row")
     return [r["header"] for r in rows]
 
@@ -192,13 +210,13 @@ def neighbour_of_label(cells: DataFrame, pattern: str, name: str, max_rows: int
     )
 
 
-def common_layout(headers: DataFrame, limit: int = 5_000) -> tuple[list[str], list[str]]:
+def common_layout(headers: DataFrame, limit: int | None = None) -> tuple[list[str], list[str]]:
     """Base headings and extra headings over sheets of differing width.
 
     The base width is the most frequent one (the earliest sheet decides a tie), the earliest
     sheet of that width names the base columns, and other widths add headings not among them
     in order of first appearance. Only distinct heading names reach the driver; more than
-    ``limit`` of them is an error, not a cut.
+    ``limit`` of them, if given, is an error, not a cut.
     """
     sheets = headers.groupBy(*SHEET).agg(
         F.count(F.lit(1)).alias("width"),

@@ -181,12 +181,21 @@ def _with_whole(part: DataFrame, whole: DataFrame, by: Sequence[str], name: str)
 
 
 def share_of_distinct(
-    df: DataFrame, ctx: FilterContext, over: str, key: str, part: str = "part", whole: str = "whole", share: str = "share"
+    df: DataFrame,
+    ctx: FilterContext,
+    over: str,
+    key: str,
+    part: str = "part",
+    whole: str = "whole",
+    share: str = "share",
+    keep_filter: bool = False,
 ) -> DataFrame:
     """Distinct keys per value of ``over``, against all distinct keys ignoring that column.
 
-    The filter on ``over`` limits the parts only. A key may hold several values, so the whole
-    is counted again from (group, key) pairs and never added up from the parts.
+    The filter on ``over`` limits the parts only, unless ``keep_filter`` is set: then the whole
+    ignores just the grouping by that column and keeps what a slicer has chosen. A key may hold
+    several values, so the whole is counted again from (group, key) pairs and never added up
+    from the parts.
     """
     by = [c for c in ctx.by if c != over]
     # Every row stands once under its value and once under the whole, so that one scan and
@@ -196,12 +205,16 @@ def share_of_distinct(
         F.struct(F.lit(False).alias("_whole"), F.col(over).alias(over)),
         F.struct(F.lit(True).alias("_whole"), nothing.alias(over)),
     )
-    rows = ctx.without(over).apply(df).select(*by, F.col(key).alias("_key"), F.inline(sides))
+    scope = ctx if keep_filter else ctx.without(over)
+    rows = scope.apply(df).select(*by, F.col(key).alias("_key"), F.inline(sides))
     pairs = rows.groupBy(*by, "_whole", over, "_key").agg(F.lit(1).alias("_one"))
     counts = pairs.groupBy(*by, "_whole", over).agg(F.count("_one").alias(part))
-    # Only the counts meet in one place: one row per group and value.
-    total = F.max(F.when(F.col("_whole"), F.col(part))).over(Window.partitionBy(*(by or [F.lit(0)])))
-    parts = counts.withColumn(whole, total).filter(~F.col("_whole")).drop("_whole")
+    if by:
+        total = F.max(F.when(F.col("_whole"), F.col(part))).over(Window.partitionBy(*by))
+        parts = counts.withColumn(whole, total).filter(~F.col("_whole")).drop("_whole")
+    else:
+        total = counts.filter("_whole").select(F.col(part)).scalar()
+        parts = counts.filter(~F.col("_whole")).drop("_whole").withColumn(whole, total)
     if over in ctx.filters:
         parts = parts.filter(ctx.filters[over](F.col(over)))
     return parts.withColumn(share, divide(F.col(part), F.col(whole), 0))
@@ -328,12 +341,24 @@ def answer_shares(df: DataFrame, ctx: FilterContext, column: str, **values) -> D
 
 
 def sum_for_selected(
-    df: DataFrame, value: str, name_column: str, source: DataFrame, source_column: str, name: str
+    df: DataFrame,
+    value: str,
+    name_column: str,
+    source: DataFrame,
+    source_column: str,
+    name: str,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Sum over the one name selected in another table, or over everything when several are."""
+    """Per group of another table: the sum over the one name the group holds, or over everything when it holds several.
+
+    Names are summed first and looked up by each group's name, so neither table is repeated.
+    """
     single = (F.min(source_column) == F.max(source_column)) & ~F.bool_or(F.col(source_column).isNull())
-    selected = source.agg(F.when(single, F.min(source_column)).alias("_s")).scalar()
-    return df.agg(F.sum(F.when(selected.isNull() | (F.col(name_column) == selected), F.col(value))).alias(name))
+    groups = source.groupBy(*by).agg(F.when(single, F.min(source_column)).alias("_s"))
+    sums = df.groupBy(F.col(name_column).alias("_s")).agg(F.sum(value).alias("_sum"))
+    total = df.agg(F.sum(value).alias("_sum")).scalar()
+    found = groups.join(sums, "_s", "left")
+    return found.select(*by, F.when(F.col("_s").isNull(), total).otherwise(F.col("_sum")).alias(name))
 
 
 def pick_by_slicer(

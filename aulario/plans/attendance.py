@@ -10,6 +10,7 @@ from aulario.functions.ids import document_id
 from aulario.functions.mapping import map_or_keep
 from aulario.functions.numbers import to_number
 from aulario.functions.text import (
+    base_name,
     centre_before_dash,
     centre_from_file,
     clean_header,
@@ -66,9 +67,17 @@ def _child_name() -> Column:
 
 
 def _long(
-    cells: DataFrame, headers: DataFrame, roles: dict[str, str], name: Column, sex: dict[str, str], centre: Column
+    cells: DataFrame,
+    headers: DataFrame,
+    roles: dict[str, str],
+    name: Column,
+    sex: dict[str, str],
+    centre: Column,
+    used_only: bool = False,
 ) -> DataFrame:
     dated = grid.within_date_range(grid.with_dates(headers))
+    if used_only:
+        dated = grid.compact_range(dated, cells)
     titled = grid.duplicate_headers(dated.withColumn("header", clean_header(F.col("header"))))
     tutors = grid.neighbour_of_label(cells, K.TUTOR_LABEL, "TUTOR")
     layout = grid.layouts(titled, roles).join(tutors, grid.SHEET, "left")
@@ -91,7 +100,7 @@ def _long(
         "A_ESPERADAS": to_number(grid.tail_cell(1)),
         "A_REALES": to_number(grid.tail_cell(2)),
         "PORC_PART": to_number(grid.tail_cell(3)),
-        "ARCHIVO_ORIGEN": F.col("file"),
+        "ARCHIVO_ORIGEN": base_name(F.col("file")),
         "HOJA_ORIGEN": F.col("sheet"),
         "TUTOR": F.col("TUTOR"),
     }
@@ -103,12 +112,14 @@ def regular_attendance(cells: DataFrame) -> DataFrame:
     """Attendance sheets with the header at a fixed cell.
 
     Headings are compared without accents and case. Ids lose a trailing ``.0`` before other
-    characters, and a missing code stays null. In these sheets ``M`` stands for mujer.
+    characters, and a missing code stays null. In these sheets ``M`` stands for mujer. Columns
+    of the date range without any entry are dropped first: a date printed in advance is no
+    class day, and the totals are told by their order among what is left.
     """
     # Names are tested on the header row only: other sheets have no layout and drop out there.
     headers = grid.fixed_header_cells(cells, K.REGULAR_HEADER_ROW, K.REGULAR_FIRST_COL)
     headers = headers.filter(sheet_like(REGULAR_SHEETS))
-    return _long(cells, headers, REGULAR_ROLES, _child_name(), K.SEX_REGULAR, centre_before_dash(F.col("file")))
+    return _long(cells, headers, REGULAR_ROLES, _child_name(), K.SEX_REGULAR, centre_before_dash(base_name(F.col("file"))), True)
 
 
 def extracurricular_attendance(cells: DataFrame, year: int) -> DataFrame:
@@ -116,5 +127,5 @@ def extracurricular_attendance(cells: DataFrame, year: int) -> DataFrame:
     rows = grid.header_row_with_titles(cells, K.EXTRA_REQUIRED_TITLES, K.EXTRA_NAME_TITLES)
     rows = rows.filter(sheet_like(EXTRA_SHEETS))
     headers = grid.header_cells(cells, rows)
-    centre = centre_from_file(F.col("file"), K.EXTRA_FILE_PREFIX, [K.EXTRA_FILE_SUFFIX.format(year=year)])
+    centre = centre_from_file(base_name(F.col("file")), K.EXTRA_FILE_PREFIX, [K.EXTRA_FILE_SUFFIX.format(year=year)])
     return _long(cells, headers, EXTRA_ROLES, collapse(grid.role_cell("single")), K.SEX_EXTRA, centre)

@@ -344,9 +344,9 @@ def workshop_children(t: Tables, ctx: FilterContext, s: Settings) -> DataFrame:
 
 
 def skill_levels(t: Tables, ctx: FilterContext, s: Settings) -> DataFrame:
-    """One row per skill level: distinct children, share of all, and the labels."""
+    """One row per skill level: distinct children, share of all that a slicer leaves, and the labels."""
     out = M.share_of_distinct(
-        t["skills"], ctx, "Nivel_de_logro__c", "DNI__c", "skill_level_children", "all", "skill_level_share"
+        t["skills"], ctx, "Nivel_de_logro__c", "DNI__c", "skill_level_children", "all", "skill_level_share", keep_filter=True
     )
     n, share = F.col("skill_level_children"), F.col("skill_level_share")
     return out.drop("all").withColumns(
@@ -402,9 +402,9 @@ def hours_total(t: Tables, ctx: FilterContext, s: Settings) -> DataFrame:
 
 
 def hours_for_centre(t: Tables, ctx: FilterContext, s: Settings) -> DataFrame:
-    """Hours of the one selected centre, or all hours when none or several are selected."""
+    """Per group: hours of its one centre, or all hours when it has none or several."""
     return M.sum_for_selected(
-        t["hours"], "Valor", "Nombre_Limpio", ctx.apply(t["attendance"]), "Centro_Limpio", "learning_hours_selected"
+        t["hours"], "Valor", "Nombre_Limpio", ctx.apply(t["attendance"]), "Centro_Limpio", "learning_hours_selected", ctx.by
     )
 
 
@@ -475,7 +475,6 @@ class Block:
     build: Callable[[Tables, FilterContext, Settings], DataFrame]
     measures: Mapping[str, str]
     own: tuple[str, ...] = ()
-    per_row: bool = False
 
 
 BLOCKS: tuple[Block, ...] = (
@@ -483,7 +482,7 @@ BLOCKS: tuple[Block, ...] = (
     Block(extra_counts, {"1.2": "extra_attendances"}),
     Block(attendance_to_cuts, {"1.3": "attended_cut1", "1.4": "attended_cut2", "7.19": "attended_change_12"}),
     Block(extra_to_cuts, {"1.5": "attended_cut3", "1.6": "attended_cut4", "7.20": "attended_change_34"}),
-    Block(attendance_by_child, {"1.7": "attendance_ratio"}, ("DNI__c",), per_row=True),
+    Block(attendance_by_child, {"1.7": "attendance_ratio"}, ("DNI__c",)),
     Block(attendance_mean, {"1.8": "mean_attendance"}),
     Block(absence_means, {"1.9": "absence_rate", "1.10": "excused_rate"}),
     Block(class_days, {"1.11": "class_days"}),
@@ -502,7 +501,7 @@ BLOCKS: tuple[Block, ...] = (
     Block(social_rows, {"2.6": "children_in_social_record"}),
     Block(newest_children, {"2.7": "joined_last_month"}),
     Block(month_changes, {"2.8": "new_active", "2.9": "new_inactive", "2.10": "impacted_in_month"}),
-    Block(status_dates, {"2.11": "activation_date", "2.12": "dropout_date"}, ("DNI__c",), per_row=True),
+    Block(status_dates, {"2.11": "activation_date", "2.12": "dropout_date"}, ("DNI__c",)),
     Block(guardians, {"2.15": "guardians"}),
     Block(families, {"2.16": "families"}),
     Block(
@@ -534,12 +533,11 @@ BLOCKS: tuple[Block, ...] = (
     Block(child_satisfaction, {f"4.{i}": f"child_question_{i}" for i in range(1, 6)}),
     Block(survey_parents, {"4.6": "answering_parents"}),
     Block(survey_children, {"4.7": "children_of_answering"}),
-    Block(_answer_label("improved_school", "improved_label"), {"4.8": "improved_label"}, per_row=True),
-    Block(_answer_label("learned_by_playing", "learned_label"), {"4.9": "learned_label"}, per_row=True),
+    Block(_answer_label("improved_school", "improved_label"), {"4.8": "improved_label"}),
+    Block(_answer_label("learned_by_playing", "learned_label"), {"4.9": "learned_label"}),
     Block(
         answers,
         {"4.10": "answer", "4.11": "answer_level", "4.13": "answer_legend", "4.14": "unified_level"},
-        per_row=True,
     ),
     Block(survey_rows, {"4.12": "answers"}),
     Block(level_rows, {"4.15": "answers_at_level"}, ("unified_level",)),
@@ -565,7 +563,7 @@ BLOCKS: tuple[Block, ...] = (
     Block(experiential_children, {"6.2": "experiential_children"}),
     Block(experiential_events, {"6.3": "experiential_events"}),
     Block(hours_total, {"6.4": "learning_hours"}),
-    Block(hours_for_centre, {"6.5": "learning_hours_selected"}, per_row=True),
+    Block(hours_for_centre, {"6.5": "learning_hours_selected"}),
     Block(
         impact_regular,
         {
@@ -590,7 +588,7 @@ BLOCKS: tuple[Block, ...] = (
     ),
     Block(slicer_regular, {"7.13": "value_cut1", "7.14": "value_cut2", "7.17": "change_12"}, ("fila",)),
     Block(slicer_extra, {"7.15": "value_cut3", "7.16": "value_cut4", "7.18": "change_34"}, ("fila",)),
-    Block(letter_check, {"8.4": "letter"}, per_row=True),
+    Block(letter_check, {"8.4": "letter"}),
 )
 
 MEASURES: dict[str, tuple[Block, str]] = {

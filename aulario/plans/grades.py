@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aulario.functions.dates import largest_year
@@ -79,7 +79,8 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
     ``match="row"`` pairs a score with the level of the same spreadsheet row: no join, and a
     repeated or missing id stays one row per competence. ``match="id"`` joins scores, levels
     and child data on the id as a key, where repeated ids (and missing ones, which match each
-    other) fan out.
+    other) fan out: n rows with one id give up to n^3, so it is for sheets whose ids are nearly
+    all distinct. A competence with several score or level columns has a row for each pair.
     """
     if equivalence is None:
         equivalence = equivalences(cells)
@@ -111,12 +112,12 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
         .filter(F.col("code").isNotNull())
         .groupBy(*grid.SHEET, "code")
         .agg(
-            F.min(F.when(F.col("header").rlike(K.SCORE_HEADING), F.col("col"))).alias("score"),
-            F.min(F.when(F.col("header").rlike(K.LEVEL_HEADING), F.col("col"))).alias("level"),
+            F.sort_array(F.collect_list(F.when(F.col("header").rlike(K.SCORE_HEADING), F.col("col")))).alias("scores"),
+            F.sort_array(F.collect_list(F.when(F.col("header").rlike(K.LEVEL_HEADING), F.col("col")))).alias("levels"),
         )
-        .filter("score is not null and level is not null")
+        .filter((F.size("scores") > 0) & (F.size("levels") > 0))
         .groupBy(*grid.SHEET)
-        .agg(F.sort_array(F.collect_list(F.struct("code", "score", "level"))).alias("pairs"))
+        .agg(F.sort_array(F.collect_list(F.struct("code", "scores", "levels"))).alias("codes"))
     )
     percent = F.min(F.when(F.col("header").contains("PORCENTAJE DE PROMEDIO"), F.col("col")))
     shared = titles.groupBy(*grid.SHEET).agg(
@@ -140,24 +141,49 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
         "MOMENTO",
         "AREA_EVALUACION",
         "ANIO",
-        F.transform(
-            "pairs",
-            lambda p: F.struct(
-                p["code"].alias("COMPETENCIA"),
-                F.col("cells")[p["score"]].alias("VALOR_PROMEDIO"),
-                F.col("cells")[p["level"]].alias("VALOR_LOGRO"),
-            ),
-        ).alias("pairs"),
+        "codes",
+        "cells",
     )
+    def values(name: str, columns: str) -> Column:
+        """One entry per column of a kind and competence."""
+        return F.flatten(
+            F.transform(
+                "codes",
+                lambda p: F.transform(
+                    p[columns], lambda c: F.struct(p["code"].alias("COMPETENCIA"), F.col("cells")[c].alias(name))
+                ),
+            )
+        )
+
     if match == "row":
-        long = per_row.select(*[c for c in per_row.columns if c != "pairs"], F.inline("pairs"))
+        # Every score column of a competence meets every level column of it.
+        pairs_of_row = F.flatten(
+            F.transform(
+                "codes",
+                lambda p: F.flatten(
+                    F.transform(
+                        p["scores"],
+                        lambda s: F.transform(
+                            p["levels"],
+                            lambda v: F.struct(
+                                p["code"].alias("COMPETENCIA"),
+                                F.col("cells")[s].alias("VALOR_PROMEDIO"),
+                                F.col("cells")[v].alias("VALOR_LOGRO"),
+                            ),
+                        ),
+                    )
+                ),
+            )
+        )
+        meta = [c for c in per_row.columns if c not in ("codes", "cells")]
+        once = per_row.select(*meta, pairs_of_row.alias("_pairs"))
+        long = once.select(*[F.col(f"`{c}`") for c in meta], F.inline("_pairs"))
     else:
         keys = [*grid.SHEET, "DNI"]
-        values = per_row.select(*keys, F.inline("pairs"))
-        scores = values.drop("VALOR_LOGRO")
-        levels = values.drop("VALOR_PROMEDIO")
+        scores = per_row.select(*keys, F.inline(values("VALOR_PROMEDIO", "scores")))
+        levels = per_row.select(*keys, F.inline(values("VALOR_LOGRO", "levels")))
         both = join_null_safe(scores, levels, [*keys, "COMPETENCIA"], "inner")
-        long = join_null_safe(both, per_row.drop("pairs"), keys, "left")
+        long = join_null_safe(both, per_row.drop("codes", "cells"), keys, "left")
 
     long = with_equivalence(long, equivalence, ["AREA_EVALUACION", "COMPETENCIA"])
     first_term = (F.col("ANIO") == year) & (F.col("MOMENTO") == "LB")

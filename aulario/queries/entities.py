@@ -98,6 +98,8 @@ def regular_cells(spark, sf):
             title_cells(files, 6, titles),
             single_cells(e.select("f", "d").distinct(), name, sheet, 6, first + day, mixed_date(F.col("d"), day % 3)),
             *[single_cells(last, name, sheet, 6, at + i, F.lit(f"TOTAL {i}")) for i, _ in tail],
+            # A date printed in advance, without a mark, before the first day of classes.
+            single_cells(last, name, sheet, 6, F.lit(first - 1), F.lit("2023-12-31")),
             row_cells(children, name, sheet, row, attributes),
             single_cells(marks, name, sheet, row, first + day, F.upper("mark")),
             *[single_cells(totals, name, sheet, row, at + i, v) for i, v in tail],

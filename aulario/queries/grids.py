@@ -127,8 +127,8 @@ def duplicate_headers(spark, sf):
     return out.withColumn("primero", F.coalesce("primero", F.lit(False)))
 
 
-_LAYOUT = """WITH h AS (SELECT DISTINCT lpad(o_custkey::VARCHAR, 9, '0') AS sheet, o_orderpriority AS header,
-    substr(o_orderpriority, 1, 1)::INTEGER AS col FROM orders WHERE o_orderstatus <> 'P'),
+_LAYOUT = """WITH h AS (SELECT DISTINCT lpad(o_custkey::VARCHAR, 9, '0') || o_orderstatus AS sheet, o_orderpriority AS header,
+    substr(o_orderpriority, 1, 1)::INTEGER AS col FROM orders),
   s AS (SELECT sheet, count(*) AS width, list(header ORDER BY col) AS names FROM h GROUP BY sheet),
   b AS (SELECT width, min(sheet) AS sheet FROM s GROUP BY width ORDER BY count(*) DESC, min(sheet) LIMIT 1),
   base AS (SELECT unnest(names) AS header, unnest(range(len(names))) AS pos FROM s WHERE sheet = (SELECT sheet FROM b)),
@@ -143,9 +143,9 @@ _LAYOUT = """WITH h AS (SELECT DISTINCT lpad(o_custkey::VARCHAR, 9, '0') AS shee
     UNION ALL SELECT 'extra', row_number() OVER (ORDER BY seen) - 1, header FROM x"""
 )
 def common_layout(spark, sf):
-    """One sheet per customer; its headings are the priorities of its settled orders."""
-    o = table(spark, sf, "orders").filter("o_orderstatus <> 'P'").select("o_custkey", "o_orderpriority").distinct()
-    sheet = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    """One sheet per customer and status; its headings are the priorities of those orders."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
+    sheet = F.concat(F.lpad(F.col("o_custkey").cast("string"), 9, "0"), "o_orderstatus")
     cells = single_cells(o, "f", sheet, 4, F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority"))
     base, extra = grid.common_layout(grid.fixed_header_cells(cells, 4))
     rows = [("base", i, h) for i, h in enumerate(base)] + [("extra", i, h) for i, h in enumerate(extra)]

@@ -527,6 +527,23 @@ def skill_levels(spark, sf):
     return rounded(out, "skill_level_share")
 
 
+@query(
+    cte("skills")
+    + """, s AS (SELECT * FROM skills WHERE Nivel_de_logro__c IN ('Logrado', 'Sobresaliente')),
+    w AS (SELECT Centro__c, count(DISTINCT DNI__c) AS w FROM s GROUP BY 1)
+    SELECT Centro__c, Nivel_de_logro__c, count(DISTINCT DNI__c) AS skill_level_children,
+      round(count(DISTINCT DNI__c) / any_value(w)::DOUBLE, 9) AS skill_level_share FROM s JOIN w USING (Centro__c) GROUP BY 1, 2"""
+)
+def skill_share_selected(spark, sf):
+    """A slicer on the level limits the whole as well as the parts."""
+    chosen = FilterContext(
+        by=("Centro__c",), filters={"Nivel_de_logro__c": lambda c: c.isin("Logrado", "Sobresaliente")}
+    )
+    out = D.skill_levels({"skills": fact(spark, sf, "skills")}, chosen, CUTS)
+    out = out.select("Centro__c", "Nivel_de_logro__c", "skill_level_children", "skill_level_share")
+    return rounded(out, "skill_level_share")
+
+
 @query(
     cte("skills")
     + """, p AS (SELECT Centro__c, Nivel_de_logro__c, count(DNI__c) AS c FROM skills GROUP BY 1, 2)
@@ -596,6 +613,19 @@ def hours_selected(spark, sf):
     return D.measure("6.5", tables, one).unionByName(D.measure("6.5", tables))
 
 
+@query(
+    """WITH hours AS (SELECT 'NATION_' || (l_suppkey % 30) AS centre, l_quantity AS v FROM lineitem)
+    SELECT n_name AS "Centro_Limpio", sum(v) AS learning_hours_selected FROM nation LEFT JOIN hours ON centre = n_name GROUP BY 1"""
+)
+def hours_selected_by_centre(spark, sf):
+    """Grouped by centre, every group has one centre selected."""
+    tables = {
+        "hours": _hours(spark, sf),
+        "attendance": table(spark, sf, "nation").withColumnRenamed("n_name", "Centro_Limpio"),
+    }
+    return D.measure("6.5", tables, FilterContext(by=("Centro_Limpio",)))
+
+
 @query(
     """SELECT 'NATION_' || (l_suppkey % 30) AS "Nombre_Limpio", sum(l_quantity) AS learning_hours_selected FROM lineitem
     WHERE 'NATION_' || (l_suppkey % 30) IN (SELECT n_name FROM nation) GROUP BY 1"""

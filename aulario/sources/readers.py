@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -24,45 +25,96 @@ CELL_SCHEMA = T.StructType(
 
 
 def drop_temporary(df: DataFrame, name: str = "file") -> DataFrame:
-    """Leave out lock files an open office program writes next to a workbook (``~$…``)."""
-    return df.filter(~F.regexp_extract(F.col(name), r"([^/]*)$", 1).startswith("~$"))
+    """Leave out lock files an open office program writes next to a workbook (``~$…``).
+
+    Rows without a file name stay.
+    """
+    lock = F.regexp_extract(F.col(name), r"([^/]*)$", 1).startswith("~$")
+    return df.filter(~F.coalesce(lock, F.lit(False)))
+
+
+def _folders(paths: Sequence[str]) -> dict[str, list[str]]:
+    """Paths by what tells their folders apart, '' where all lie in one folder."""
+    folder = {p: (p if "." not in posixpath.basename(p.rstrip("/")) else posixpath.dirname(p)).rstrip("/") for p in paths}
+    distinct = sorted(set(folder.values()))
+    if len(distinct) == 1:
+        return {"": list(paths)}
+    shared = [x for x, *rest in zip(*(d.split("/") for d in distinct)) if all(x == y for y in rest)]
+    root = 0
+    while root < len(shared) and all(d.split("/")[root] == shared[root] for d in distinct):
+        root += 1
+    out: dict[str, list[str]] = {}
+    for path, name in folder.items():
+        out.setdefault("/".join(name.split("/")[root:]), []).append(path)
+    return out
+
+
+def _csv_cells(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Cells of CSV files, columns by the header line of each file whatever their order.
+
+    The lines that name the columns are found in the same scan and joined back per file.
+    """
+    width = len(CELL_SCHEMA)
+    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
+    lines = spark.read.schema(T.StructType(fields)).option("header", False).csv(list(paths))
+    lines = lines.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"))
+    named = F.array(*[F.trim(F.regexp_replace(f"_c{i}", "^\\uFEFF", "")) for i in range(width)])
+    needed = [f.name for f in CELL_SCHEMA if f.name != "file"]
+    is_header = F.lit(True)
+    for n in needed:
+        is_header = is_header & F.array_contains(named, n)
+    headers = lines.filter(is_header).select("_path", named.alias("_names")).distinct()
+    values = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    body = lines.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "_path")
+
+    def value(column: str) -> Column:
+        at = F.array_position("_names", column).cast("int")
+        return F.when(at > 0, F.get(values, at - 1))
+
+    return body.select(
+        F.coalesce(value("file"), F.col("_name")).alias("file"), *[value(n).alias(n) for n in needed]
+    )
 
 
 def scan_cells(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Read cell grids from a folder of Parquet or CSV files.
+    """Read cell grids from folders or files of Parquet or CSV.
 
-    Each row keeps the workbook it came from in ``file``; a grid stored without that column
-    takes the name of the data file instead. The declared schema means no inference pass,
-    and filters on ``row``, ``col`` and ``sheet`` reach the Parquet scan.
+    Each row keeps the workbook it came from in ``file``; a row without one takes the name of
+    its data file. Columns are found by name, whatever their order in a file. When several
+    folders are read together (two years, say), ``file`` begins with what tells the folders
+    apart, so equal names in two folders stay two workbooks. The declared schema means no
+    inference of types, and filters on ``row``, ``col`` and ``sheet`` reach the Parquet scan.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if fmt == "csv":
-        # A file without the ``file`` column needs its own header to say so.
-        columns = spark.read.option("header", True).csv(paths).columns
-        fields = [T.StructField(c, T.StringType()) for c in columns]
-        raw = spark.read.option("header", True).schema(T.StructType(fields)).csv(paths)
-    else:
-        raw = spark.read.format(fmt).load(paths)
-        columns = raw.columns
-    if "file" not in columns:
-        raw = raw.withColumn("file", F.col("_metadata.file_name"))
-    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CELL_SCHEMA])
-    return drop_temporary(typed.filter(F.col("value").isNotNull()))
+    parts = []
+    for folder, some in _folders(paths).items():
+        if fmt == "csv":
+            raw = _csv_cells(spark, some)
+        else:
+            raw = spark.read.format(fmt).option("mergeSchema", True).load(some)
+            name = F.col("_metadata.file_name")
+            raw = raw.withColumn("file", F.coalesce(F.col("file"), name) if "file" in raw.columns else name)
+        typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CELL_SCHEMA])
+        if folder:
+            typed = typed.withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
+        parts.append(typed)
+    return drop_temporary(union_aligned(parts).filter(F.col("value").isNotNull()))
 
 
 def scan_text_csv(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Read CSV files with every column as text, so ids keep their leading zeros.
 
     ``columns`` declares the layout; otherwise each file's header line is read, files with the
     same header are scanned together, and the layouts are stacked by column name, absent
-    columns being null.
+    columns being null. ``multi_line`` allows line breaks within quoted text; without them,
+    turning it off lets Spark split large files.
     """
 
     if not paths:
         raise FileNotFoundError("no CSV input given")
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     layouts: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         names = tuple(columns) if columns is not None else tuple(reader.csv(path).columns)
