@@ -236,7 +236,6 @@ def jaccard_components(
     )
     largest = rows.agg(F.max("m")).first()[0] or 0
 
-    links = None
     components = None
     low, high = 0, first_block
     while low < largest:
@@ -254,15 +253,30 @@ def jaccard_components(
         if alive.isEmpty():
             break
         pairs = staged(_reachable(_candidates(alive, low, high, percent), leading, percent), "pairs")
-        wanted = staged(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct(), "wanted")
-        full = staged(_full_sets(docs, sets, wanted, words, broadcast), "full")
-        found = staged(_links(pairs, full, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        components = connected_components(links)
+        if not pairs.isEmpty():
+            wanted = staged(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct(), "wanted")
+            full = staged(_full_sets(docs, sets, wanted, words, broadcast), "full")
+            found = staged(_links(pairs, full, percent), "found")
+            components = _merged(components, found)
         low, high = high, high * BLOCK_GROWTH
     return _with_components(sets, components)
 
 
+def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components with new links, which join whole components of before."""
+    if components is None:
+        return connected_components(links)
+    for side in ("a", "b"):
+        known = components.select(F.col("node").alias(side), "component")
+        links = links.join(known, side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+    joined = connected_components(links)
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    before = components.join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    # Components that were single nodes until now.
+    fresh = joined.join(components.select("node"), "node", "left_anti")
+    return staged(before.unionByName(fresh), "merged")
+
+
 def _with_components(sets: DataFrame, components: DataFrame | None) -> DataFrame:
     firsts = sets.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("first_id"))
     if components is None:
