@@ -67,11 +67,16 @@ def header_row_fixed(cells: DataFrame, row: int) -> DataFrame:
     return cells.filter(F.col("row") == row).select(*SHEET).distinct().withColumn("header_row", F.lit(row))
 
 
-def header_cells(cells: DataFrame, header_rows: DataFrame, first_col: int = 0) -> DataFrame:
+def header_cells(
+    cells: DataFrame, header_rows: DataFrame, first_col: int = 0, max_rows: int | None = None
+) -> DataFrame:
     """Heading cells of each sheet: (file, sheet, header_row, col, header).
 
-    Joined on (file, sheet, row), so a sheet with many rows is no hot key.
+    Joined on (file, sheet, row), so a sheet with many rows is no hot key. ``max_rows`` repeats
+    the bound of the header search, which then reaches the scan of the cells as well.
     """
+    if max_rows is not None:
+        cells = cells.filter(F.col("row") < max_rows)
     at = header_rows.select(*SHEET, F.col("header_row").alias("row"))
     return (
         filled(cells)

@@ -22,10 +22,10 @@ SALTS = 32
 def fits_broadcast(small: DataFrame, rows: int = BROADCAST_ROWS, entries: Column | None = None) -> bool:
     """Whether a lookup side has at most ``rows`` rows, or ``entries`` summed over its rows.
 
-    The row check reads no further than the bound.
+    Counted where the rows lie: a number per task reaches the driver.
     """
     if entries is None:
-        return small.limit(rows + 1).count() <= rows
+        return small.count() <= rows
     return (small.agg(F.sum(entries)).first()[0] or 0) <= rows
 
 
@@ -42,12 +42,15 @@ def join_lookup(
     Broadcast when the size check passes. Beyond it, both sides are shuffled on the keys plus
     a salt: each lookup row is repeated once per salt and each large row takes one salt, so a
     key holding a large part of the table is spread over that many tasks. A very large lookup
-    is joined on the keys alone, which leaves hot keys to adaptive skew splitting.
+    is joined on the keys alone, which leaves hot keys to adaptive skew splitting. The lookup
+    is computed for the check and again for the join, so one that costs more than a scan is
+    better written first (see ``stage``).
     """
     keys = list(keys)
-    if fits_broadcast(small, rows, entries):
+    count = None if entries is not None else small.count()
+    if fits_broadcast(small, rows, entries) if count is None else count <= rows:
         return big.join(F.broadcast(small), keys, how)
-    if not fits_broadcast(small, SALTED_ROWS):
+    if (small.count() if count is None else count) > SALTED_ROWS:
         return big.join(small, keys, how)
     # Maps cannot be hashed; any other column that tells rows of one key apart will do.
     others = [c for c, kind in big.dtypes if c not in keys and "map<" not in kind]
@@ -63,14 +66,30 @@ def join_null_safe(
 
     SQL equality would drop such rows. The right side's key columns are not repeated.
     Duplicate ids fan out; adaptive skew splitting applies, as the condition stays an
-    equi-join.
+    equi-join. Rows with a null key, which may be a large part of a table, are spread: the
+    right side's are repeated once per salt and each of the left side's takes one.
     """
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = None
+    keys = list(keys)
+
+    def incomplete(df: DataFrame) -> Column:
+        found = F.lit(False)
+        for key in keys:
+            found = found | df[key].isNull()
+        return found
+
+    hashed = [left[c] for c, kind in left.dtypes if "map<" not in kind]
+    salt = F.when(incomplete(left), F.pmod(F.xxhash64(*hashed), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))
+    one = F.array(F.lit(0).cast("bigint"))
+    salts = F.when(incomplete(right), F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).otherwise(one)
+    renamed = right.select(
+        *[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`") for c in right.columns],
+        F.explode(salts).alias("_r_salt"),
+    )
+    salted = left.withColumn("_l_salt", salt)
+    condition = salted["_l_salt"] == renamed["_r_salt"]
     for key in keys:
-        term = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = term if condition is None else condition & term
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+        condition = condition & salted[key].eqNullSafe(renamed[f"_r_{key}"])
+    return salted.join(renamed, condition, how).drop("_l_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
 
 def with_equivalence(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,9 +101,7 @@ def with_equivalence(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> Da
     clean = table.select(
         *[F.trim(F.col(c).cast("string")).alias(c) for c in table.columns]
     ).dropna(subset=list(keys))
-    if fits_broadcast(clean):
-        clean = F.broadcast(clean)
-    return df.join(clean, list(keys), "left")
+    return join_lookup(df, clean, keys, "left")
 
 
 def keep_values_of(df: DataFrame, column: str, source: DataFrame, source_column: str) -> DataFrame:

@@ -126,6 +126,6 @@ def extracurricular_attendance(cells: DataFrame, year: int) -> DataFrame:
     """Attendance sheets whose header row is searched in the top twenty rows."""
     rows = grid.header_row_with_titles(cells, K.EXTRA_REQUIRED_TITLES, K.EXTRA_NAME_TITLES)
     rows = rows.filter(sheet_like(EXTRA_SHEETS))
-    headers = grid.header_cells(cells, rows)
+    headers = grid.header_cells(cells, rows, max_rows=20)
     centre = centre_from_file(base_name(F.col("file")), K.EXTRA_FILE_PREFIX, [K.EXTRA_FILE_SUFFIX.format(year=year)])
     return _long(cells, headers, EXTRA_ROLES, collapse(grid.role_cell("single")), K.SEX_EXTRA, centre)

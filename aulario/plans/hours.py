@@ -12,6 +12,7 @@ from aulario.operators import grid
 from aulario.operators.joins import group_total_back, join_lookup
 from aulario.operators.reshape import backfill, expand_values, replicate_value, unpivot_columns
 from aulario.plans import constants as K
+from aulario.sources.stages import stage
 
 
 def timetable_hours(cells: DataFrame, year: int) -> DataFrame:
@@ -27,17 +28,19 @@ def timetable_hours(cells: DataFrame, year: int) -> DataFrame:
         & ~F.col("row").between(first, last)
         & F.col("col").between(K.HOURS_CONCEPT_COL, max(K.HOURS_CYCLES.values()))
     )
-    rows = grid.records(body).select(
+    lines = grid.records(body).select(
         *grid.SHEET,
         "row",
         F.col("cells")[K.HOURS_CONCEPT_COL].alias("concepto"),
         *[F.col("cells")[col].alias(c) for c, col in K.HOURS_CYCLES.items()],
     )
-    rows = rows.withColumn("_site", F.when(F.col("concepto").isin(*K.HOURS_SITES), F.col("concepto")))
+    # The grid is read once; the labels, the cycles and the hours are taken from its lines.
+    lines = stage(lines, "lines")
+    rows = lines.withColumn("_site", F.when(F.col("concepto").isin(*K.HOURS_SITES), F.col("concepto")))
     rows = backfill(rows, grid.SHEET, "row", "_site", "sede")
 
     cycle_grades = (
-        rows.filter(F.col("concepto") == K.HOURS_VARIABLES)
+        lines.filter(F.col("concepto") == K.HOURS_VARIABLES)
         .groupBy(*grid.SHEET)
         .agg(F.min_by(F.struct(*K.HOURS_CYCLES), F.col("row")).alias("grades"))
     )
@@ -59,7 +62,8 @@ def timetable_hours(cells: DataFrame, year: int) -> DataFrame:
         map_or_null(F.col("sede"), K.SITE_CODES)
     )
     long = long.withColumn("sede", site).select("sede", "area", "ciclo", "horas_semanales", "grado_detalle")
-    return with_yearly_hours(long, year)
+    # Details and totals both come from the written rows.
+    return with_yearly_hours(stage(long, "hours"), year)
 
 
 def with_yearly_hours(hours: DataFrame, year: int) -> DataFrame:

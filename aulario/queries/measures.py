@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from aulario.operators import measures as M
+from aulario.operators.joins import join_lookup
 from aulario.operators.measures import FilterContext
 from aulario.plans import dashboard as D
 from aulario.plans.dashboard import Settings
@@ -363,8 +364,8 @@ def area_pivot(spark, sf):
     GROUP BY p_type"""
 )
 def mean_by_area(spark, sf):
-    # The part side is broadcast only if its file is below the session's size threshold.
-    marks = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    areas = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    marks = join_lookup(table(spark, sf, "lineitem"), areas, ["l_partkey"])
     out = M.aggregate(marks, FilterContext(by=("p_type",)), mean_score=F.avg("l_quantity"))
     return rounded(out.withColumnRenamed("p_type", "area"), "mean_score", digits=6)
 

@@ -112,6 +112,31 @@ def test_grades_by_row_and_by_id(spark, match, n):
     assert equivalences(cells).count() == 2
 
 
+@pytest.mark.parametrize("match", ["row", "id"])
+def test_every_score_and_level_column_of_a_competence(spark, match):
+    head = ["DNI", "PROMEDIO C1", "PROMEDIO C1 RECUPERACION", "NIVEL DE LOGRO C1", "PROMEDIO C2", "NIVEL DE LOGRO C2", "NIVEL DE LOGRO C2 B"]
+    cells = sheet(spark, [head, ["1", "10", "15", "A", "7", "B", "C"]], "LB_Matemática")
+    texts = spark.createDataFrame([("Matemática", "C1", "t")], "AREA_EVALUACION string, COMPETENCIA string, COMPETENCIA_TEXTO string")
+    got = grades(cells, 2025, texts, match=match)
+    assert rows(got, "Competencia__c", "Valor_Promedio__c", "Valor_alcanzado__c") == sorted(
+        [("C1", 10.0, "A"), ("C1", 15.0, "A"), ("C2", 7.0, "B"), ("C2", 7.0, "C")], key=repr
+    )
+
+
+def test_regular_attendance_drops_unused_columns_of_the_range(spark):
+    head = ["DNI", "NOMBRES", "2025-03-03", "2025-03-04", "2025-12-01", "E", "", "R", "%"]
+    lines = [[None]] * 6 + [head, ["1", "Ana", None, "A", None, "2", None, "1"], ["2", "Leo", None, "F", None, "3", None, "2"]]
+    lines[6][6] = "VACIA"
+    got = regular_attendance(sheet(spark, lines, "ASISTENCIA", first_col=2))
+    # The range ends three columns after the last heading that is a date; unused ones go after that.
+    assert rows(got, "DNI", "FECHA", "ASISTENCIA", "A_ESPERADAS", "A_REALES") == [
+        ("1", dt.date(2025, 3, 4), "A", 2.0, 1.0),
+        ("2", dt.date(2025, 3, 4), "F", 3.0, 2.0),
+    ]
+    unused = [[None]] * 6 + [["DNI", "NOMBRES", "2025-03-03", "E"], ["1", "Ana", None, "2"]]
+    assert regular_attendance(sheet(spark, unused, "ASISTENCIA", first_col=2)).count() == 0
+
+
 def test_parent_survey(spark):
     data = [
         ("2025-03-04", "12.0", " de acuerdo "),

@@ -19,6 +19,20 @@ def test_scan_cells_drops_lock_files_and_reads_csv(spark, tmp_path):
     assert rows(got) == [("libro.csv", "S", 1, 2, "hola")]
 
 
+def test_scan_cells_by_name_and_folder(spark, tmp_path):
+    for year, header, line in (("2025", "sheet,file,col,row,value", "S,w,3,1,a"), ("2026", "value,row,col,sheet", '"b, c",1,3,S')):
+        (tmp_path / year).mkdir()
+        (tmp_path / year / "w.csv").write_text(f"{header}\n{line}\n", encoding="utf-8")
+    both = [str(tmp_path / "2025"), str(tmp_path / "2026")]
+    assert rows(readers.scan_cells(spark, both, "csv")) == [("2025/w", "S", 1, 3, "a"), ("2026/w.csv", "S", 1, 3, "b, c")]
+    files = [f"{b}/w.csv" for b in both]
+    assert rows(readers.scan_cells(spark, files, "csv"), "file") == [("2025/w",), ("2026/w.csv",)]
+    nameless = spark.createDataFrame([(None, "S", 0, 0, "x"), ("a", "S", 0, 1, "y")], CELLS)
+    nameless.write.parquet(str(tmp_path / "n"))
+    found = rows(readers.scan_cells(spark, str(tmp_path / "n")), "file", "value")
+    assert len(found) == 2 and ("a", "y") in found
+
+
 def test_scan_pushes_row_filters_to_parquet(spark, tmp_path):
     spark.createDataFrame([("a", "S", 6, 0, "x")], CELLS).write.parquet(str(tmp_path / "c"))
     plan = readers.scan_cells(spark, str(tmp_path / "c")).filter("row = 6")._jdf.queryExecution().executedPlan().toString()

@@ -87,6 +87,22 @@ def test_null_safe_join(spark):
     assert len(rows(joins.join_null_safe(right, left, ["k"], "left"))) == 3
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_null_safe_join_spreads_null_keys(spark, how):
+    left = spark.range(400).selectExpr("if(id % 2 = 0, null, id % 20) as k", "if(id % 3 = 0, null, 'x') as k2", "id as l")
+    right = spark.createDataFrame([(None, None, 1), (None, "x", 2), (1, "x", 3), (3, None, 4), (77, "x", 5)], "k long, k2 string, r int")
+    got = rows(joins.join_null_safe(left, right, ["k", "k2"], how), "k", "k2", "l", "r")
+    table = {(r["k"], r["k2"]): r["r"] for r in right.collect()}
+    expected = []
+    for r in left.collect():
+        found = table.get((r["k"], r["k2"]))
+        if found is not None or how == "left":
+            expected.append((r["k"], r["k2"], r["l"], found))
+    assert got == sorted(expected, key=repr)
+    spread = joins.join_null_safe(left, right, ["k", "k2"], how)._jdf.queryExecution().executedPlan().toString()
+    assert "_l_salt" in spread
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_same_rows_with_and_without_broadcast(spark, how):
     # One key holds a third of the rows.
