@@ -656,6 +656,54 @@ def impact_to_cuts(spark, sf):
     return D.impact_regular({"attendance": fact(spark, sf, "attendance")}, BY_CENTRE, CUTS)
 
 
+@query(
+    cte("survey")
+    + """, p AS (SELECT CENTRO__c, P2, count(*) AS c FROM survey GROUP BY 1, 2)
+    SELECT CENTRO__c, P2, c || ' (' || printf('%.1f%%', round(100 * (c / (sum(c) OVER (PARTITION BY CENTRO__c))::DOUBLE), 1))
+      || ')' AS learned_label FROM p"""
+)
+def survey_learned_label(spark, sf):
+    return D.measure("4.9", {"survey": fact(spark, sf, "survey")}, BY_CENTRE, CUTS)
+
+
+@query(cte("survey") + "SELECT CENTRO__c, nullif(count(*), 0) AS answers FROM survey GROUP BY CENTRO__c")
+def survey_answers(spark, sf):
+    return D.measure("4.12", {"survey": fact(spark, sf, "survey")}, BY_CENTRE, CUTS)
+
+
+@query("SELECT o_orderstatus AS grupo, nullif(count(DISTINCT o_custkey % 97), 0) AS guardians FROM orders GROUP BY 1")
+def guardians(spark, sf):
+    table_ = table(spark, sf, "orders").selectExpr("o_orderstatus as grupo", "cast(o_custkey % 97 as string) as Apoderado_DNI__c")
+    return D.measure("2.15", {"guardians": table_}, FilterContext(by=("grupo",)))
+
+
+@query("SELECT o_orderstatus AS grupo, nullif(count(DISTINCT o_custkey), 0) AS skill_children FROM orders GROUP BY 1")
+def workshop_children(spark, sf):
+    table_ = table(spark, sf, "orders").selectExpr("o_orderstatus as grupo", "cast(o_custkey as string) as DNI")
+    return D.measure("5.1", {"workshops": table_}, FilterContext(by=("grupo",)))
+
+
+@query(
+    cte("attendance")
+    + ", x AS ("
+    + " UNION ALL ".join(
+        f"""SELECT CENTRO__c, '{label}' AS fila,
+        nullif(count(DISTINCT CASE WHEN TIPO_ALUMNO__c IN ({v}) AND FECHA__c <= DATE '2024-01-10' THEN DNI__c END), 0) AS value_cut1,
+        nullif(count(DISTINCT CASE WHEN TIPO_ALUMNO__c IN ({v}) AND FECHA__c <= DATE '2024-01-20' THEN DNI__c END), 0) AS value_cut2
+        FROM attendance GROUP BY CENTRO__c"""
+        for label, v in {
+            "N° de niños(as) impactados": "'ACTIVO', 'INACTIVO'",
+            "N° niños activos": "'ACTIVO'",
+            "N° niños inactivos": "'INACTIVO'",
+        }.items()
+    )
+    + """) SELECT *, round((coalesce(value_cut2, 0) - coalesce(value_cut1, 0)) / nullif(value_cut1, 0)::DOUBLE, 9)
+    AS change_12 FROM x"""
+)
+def slicer_regular(spark, sf):
+    return rounded(D.slicer_regular({"attendance": fact(spark, sf, "attendance")}, BY_CENTRE, CUTS), "change_12")
+
+
 @query(
     cte("extra")
     + ", x AS ("
