@@ -110,7 +110,6 @@ class Scan:
         number = np.repeat(runs, counts)
         starts = np.repeat(self.first[runs] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         q, level, ids = self.q, self.q, self.grams[starts]
-        offsets = [0]
         # Pairs of identifiers at later offsets: q, 2q, 4q, ... bytes deep, then up to the length.
         parts = {0: ids}
         while 2 * level <= self.length:
@@ -120,7 +119,7 @@ class Scan:
                 b = parts[o + level] if o + level in parts else self._at(starts, o + level, level)
                 here[o] = pair(a, b)
             parts, level = here, 2 * level
-        ids = parts[offsets[0]]
+        ids = parts[0]
         rest = self.length - level
         if rest:  # the last identifier overlaps what is covered
             ids = pair(ids, self._at(starts, rest, level))
@@ -151,6 +150,27 @@ def groups(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, byt
         yield waiting
 
 
+def scans(texts: list[bytes], length: int, q: int) -> Iterator[tuple[Scan, np.ndarray, np.ndarray]]:
+    """Scans of texts, with the row of each run and what its positions lack to positions in the text."""
+    for group in groups(texts, length):
+        scan = Scan([p for _, _, p in group], length, q)
+        rows = np.array([r for r, _, _ in group], np.int64)
+        begins = np.r_[0, scan.ends[:-1]]
+        shifts = np.array([o for _, o, _ in group], np.int64) - begins
+        yield scan, rows[scan.piece], shifts[scan.piece]
+
+
+def _of_row(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return pair(values, rows.astype(np.uint64) + _U(1))
+
+
+def _listed(lists: list[list | None]) -> np.ndarray:
+    """Identifiers of (row, run) for a list of runs per row."""
+    counts = [len(x) if x else 0 for x in lists]
+    runs = np.array([r for x in lists if x for r in x], np.int64).view(np.uint64)
+    return _of_row(runs, np.repeat(np.arange(len(lists)), counts))
+
+
 _RUNS = pa.schema([("g", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("th", pa.int64())])
 _CONTENT = pa.schema(
     [("g", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]
@@ -230,44 +250,62 @@ def _emit_runs(docs: DataFrame, length: int, q: int, only_bucket: bool) -> DataF
     return docs.select("doc", "th", "data").mapInArrow(run, schema)
 
 
-def _member(values: np.ndarray, of: list | None) -> np.ndarray:
-    return np.isin(_signed(values), np.array(of or [], np.int64))
-
-
 def _emit_windows(joined: DataFrame, length: int, q: int) -> DataFrame:
     """First occurrence in its row of every window of the runs listed in ``wide``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
-            doc, th, data, opened = (incoming.column(i) for i in range(4))
-            for i, text in enumerate(_unpack(data)):
-                g, h, at = _open_windows(text, opened[i].as_py(), length, q)[:3]
-                _, first = np.unique(np.stack([g, h]), axis=1, return_index=True) if len(g) else (None, [])
-                if len(first):
-                    n = len(first)
-                    yield batch(_WINDOWS, [_signed(g[first]), _signed(h[first]), [doc[i].as_py()] * n, [th[i].as_py()] * n, at[first]])
+            doc = incoming.column(0).to_numpy(zero_copy_only=False)
+            th = incoming.column(1).to_numpy(zero_copy_only=False)
+            rows, g, h, at = _windows(_unpack(incoming.column(2)), incoming.column(3).to_pylist(), length, q)
+            first = ~_seen_before(at, rows, g, h)
+            if first.any():
+                r = rows[first]
+                yield batch(_WINDOWS, [_signed(g[first]), _signed(h[first]), doc[r], th[r], at[first]])
 
     return joined.select("doc", "th", "z", "wide").mapInArrow(run, "g long, h long, doc long, th long, at long")
 
 
+def _windows(texts: list[bytes], lists: list[list | None], length: int, q: int) -> tuple[np.ndarray, ...]:
+    """(row, bucket, identifier, start) of the windows of the runs listed for each row."""
+    keys = _listed(lists)
+    parts = []
+    for scan, rows, shifts in scans(texts, length, q) if len(keys) else ():
+        runs = np.flatnonzero(np.isin(_of_row(scan.run, rows), keys))
+        if len(runs):
+            number, starts, g, h = scan.windows(runs)
+            parts.append((rows[number], g, h, starts + shifts[number]))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _seen_before(at: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Flags of entries whose keys also stand at a smaller position."""
+    order = np.lexsort((at, *keys))
+    same = np.ones(max(len(at) - 1, 0), bool)
+    for key in keys:
+        same &= key[order][1:] == key[order][:-1]
+    out = np.zeros(len(at), bool)
+    out[order[1:]] = same
+    return out
+
+
 def _open_runs(joined: DataFrame, length: int, q: int) -> DataFrame:
     """Bytes of the runs listed in ``open``: ``g, doc, th, at, content``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
-            doc, th, data, opened = (incoming.column(i) for i in range(4))
-            for i, text in enumerate(_unpack(data)):
-                out: list[list] = [[], [], []]
-                for group in groups([text], length):
-                    offset = group[0][1]
-                    scan = Scan([p for _, _, p in group], length, q)
-                    for r in np.flatnonzero(_member(scan.run, opened[i].as_py())).tolist():
-                        first, last = int(scan.first[r]) + offset, int(scan.last[r]) + offset
-                        for column, value in zip(out, (int(_signed(scan.gram[r : r + 1])[0]), first, text[first : last + length])):
-                            column.append(value)
-                n = len(out[0])
-                if n:
-                    yield batch(_CONTENT, [out[0], [doc[i].as_py()] * n, [th[i].as_py()] * n, out[1], out[2]])
+            doc = incoming.column(0).to_numpy(zero_copy_only=False)
+            th = incoming.column(1).to_numpy(zero_copy_only=False)
+            texts = _unpack(incoming.column(2))
+            keys = _listed(incoming.column(3).to_pylist())
+            for scan, rows, shifts in scans(texts, length, q):
+                found = np.flatnonzero(np.isin(_of_row(scan.run, rows), keys))
+                if len(found):
+                    r, first, last = rows[found], scan.first[found] + shifts[found], scan.last[found] + shifts[found]
+                    content = [texts[i][a : b + length] for i, a, b in zip(r.tolist(), first.tolist(), last.tolist())]
+                    yield batch(_CONTENT, [_signed(scan.gram[found]), doc[r], th[r], first, content])
 
     return joined.select("doc", "th", "z", "open").mapInArrow(run, "g long, doc long, th long, at long, content binary")
 
@@ -300,50 +338,34 @@ def _refine(runs: DataFrame, length: int) -> DataFrame:
     return ordered.select("g", "doc", "th", "at", "content").mapInArrow(run, "doc long, th long, lo long, hi long")
 
 
-def _open_windows(text: bytes, opened: list | None, length: int, q: int):
-    """(bucket, identifier, start) of the windows of open runs, by start."""
+def repeated(
+    texts: list[bytes], dup: list[list | None], opened: list[list | None], hits: list[list | None], length: int, q: int
+) -> list[np.ndarray]:
+    """Per text, flags of the bytes that repeat an earlier string."""
+    begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    marks = np.zeros(begins[-1], np.int32)  # +1 where a repeated stretch begins, -1 behind its end
+
+    def mark(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        np.add.at(marks, begins[rows] + first, 1)
+        np.add.at(marks, begins[rows] + last + length, -1)
+
+    keys = _listed(dup)
     found = []
-    for group in groups([text], length):
-        scan = Scan([p for _, _, p in group], length, q)
-        runs = np.flatnonzero(_member(scan.run, opened))
-        if len(runs):
-            _, starts, g, h = scan.windows(runs)
-            found.append((g, h, starts + group[0][1]))
-    if not found:
-        empty = np.zeros(0, np.uint64)
-        return empty, empty, np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def repeated(text: bytes, dup: list | None, opened: list | None, hits: list | None, length: int, q: int) -> np.ndarray:
-    """Flags of the bytes of a text that repeat an earlier string."""
-    size = len(text)
-    marks = np.zeros(size + 1, np.int64)  # +1 where a repeated stretch begins, -1 after its end
-
-    def mark(first: np.ndarray, last: np.ndarray) -> None:
-        np.add.at(marks, first, 1)
-        np.add.at(marks, last + length, -1)
-
-    seen: dict[int, None] = {}
-    for group in groups([text], length):
-        offset = group[0][1]
-        scan = Scan([p for _, _, p in group], length, q)
-        again = _member(scan.run, dup)
-        for i, run in enumerate(scan.run.tolist()):
-            if run in seen:
-                again[i] = True
-            seen[run] = None
-        mark(scan.first[again] + offset, scan.last[again] + offset)
-    if opened:
-        g, h, at = _open_windows(text, opened, length, q)
-        order = np.lexsort((at, h, g))
-        first = np.r_[True, (g[order][1:] != g[order][:-1]) | (h[order][1:] != h[order][:-1])] if len(g) else order
-        late = at[order[~first]] if len(g) else at
-        mark(late, late)
-    if hits:
-        found = np.array([(h["lo"], h["hi"]) for h in hits], np.int64)
-        mark(found[:, 0], found[:, 1])
-    return np.cumsum(marks[:-1]) > 0
+    for scan, rows, shifts in scans(texts, length, q):
+        known = np.isin(_of_row(scan.run, rows), keys)
+        found.append((rows, scan.run, scan.first + shifts, scan.last + shifts, known))
+    if found:
+        rows, runs, first, last, gone = (np.concatenate(x) for x in zip(*found))
+        gone |= _seen_before(first, rows, runs)
+        mark(rows[gone], first[gone], last[gone])
+    rows, g, h, at = _windows(texts, opened, length, q)
+    late = _seen_before(at, rows, g, h)
+    mark(rows[late], at[late], at[late])
+    pairs = [(i, x["lo"], x["hi"]) for i, some in enumerate(hits) if some for x in some]
+    if pairs:
+        mark(*np.array(pairs, np.int64).T)
+    covered = np.cumsum(marks, dtype=np.int32) > 0
+    return [covered[a : a + len(t)] for a, t in zip(begins.tolist(), texts)]
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25, large: int = LARGE) -> DataFrame:
@@ -406,13 +428,13 @@ def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
         for incoming in batches:
             row, data, dup, opened, hits = (incoming.column(i) for i in range(5))
             out: list[list] = [[], [], [], [], []]
-            for i, text in enumerate(_unpack(data)):
+            texts = _unpack(data)
+            flags = repeated(texts, dup.to_pylist(), opened.to_pylist(), hits.to_pylist(), length, q)
+            for text, gone in zip(texts, flags):
                 kept, spans = text, 0
-                if dup[i].is_valid or len(text) >= length:
-                    gone = repeated(text, dup[i].as_py(), opened[i].as_py(), hits[i].as_py(), length, q)
-                    if gone.any():
-                        spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                if gone.any():
+                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 for column, value in zip(out, (len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept)):
                     column.append(value)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())

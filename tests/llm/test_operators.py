@@ -300,7 +300,7 @@ def test_repeats_in_texts_longer_than_a_group(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_GROUP", 700)
     # A run cut at a group's edge has another identifier, so its bucket holds two kinds and is refined.
     runs = [r for g in suffix_dedup.groups([text], 100) for r in suffix_dedup.Scan([p for _, _, p in g], 100, 25).run.view(np.int64).tolist()]
-    gone = suffix_dedup.repeated(text, [], runs, [], 100, 25)
+    gone = suffix_dedup.repeated([text], [None], [runs], [None], 100, 25)[0]
     assert int(gone.sum()) == expected[2]
 
 
