@@ -372,6 +372,42 @@ def test_rules_and_classifier_keep_good_text(spark):
     assert shares[1] > 0.95 and shares[0] < shares[1]
 
 
+PROSE = {
+    "en": """Call me Ishmael. Some years ago, never mind how long precisely, having little or no money in my purse, and nothing
+    particular to interest me on shore, I thought I would sail about a little and see the watery part of the world. It is a way I
+    have of driving off the spleen and regulating the circulation. Whenever I find myself growing grim about the mouth, whenever
+    it is a damp, drizzly November in my soul, whenever I find myself involuntarily pausing before coffin warehouses, and bringing
+    up the rear of every funeral I meet, then I account it high time to get to sea as soon as I can.""",
+    "de": """Als Gregor Samsa eines Morgens aus unruhigen Träumen erwachte, fand er sich in seinem Bett zu einem ungeheueren
+    Ungeziefer verwandelt. Er lag auf seinem panzerartig harten Rücken und sah, wenn er den Kopf ein wenig hob, seinen gewölbten,
+    braunen, von bogenförmigen Versteifungen geteilten Bauch, auf dessen Höhe sich die Bettdecke, zum gänzlichen Niedergleiten
+    bereit, kaum noch erhalten konnte. Seine vielen, im Vergleich zu seinem sonstigen Umfang kläglich dünnen Beine flimmerten ihm
+    hilflos vor den Augen.""",
+    "es": """En un lugar de la Mancha, de cuyo nombre no quiero acordarme, no ha mucho tiempo que vivía un hidalgo de los de lanza
+    en astillero, adarga antigua, rocín flaco y galgo corredor. Una olla de algo más vaca que carnero, salpicón las más noches,
+    duelos y quebrantos los sábados, lentejas los viernes, algún palomino de añadidura los domingos, consumían las tres partes de
+    su hacienda.""",
+    "fr": """Longtemps, je me suis couché de bonne heure. Parfois, à peine ma bougie éteinte, mes yeux se fermaient si vite que je
+    n'avais pas le temps de me dire que je m'endormais. Et, une demi-heure après, la pensée qu'il était temps de chercher le
+    sommeil m'éveillait; je voulais poser le volume que je croyais avoir encore dans les mains et souffler ma lumière.""",
+    None: """The quality of the documentation is particularly important for organisations which maintain international
+    infrastructure. Administrators generally understand individual requirements, nevertheless misunderstandings between
+    departments happen regularly. Communication, responsibility and continuous improvement therefore remain essential
+    characteristics of successful development, especially wherever experienced professionals collaborate across different
+    countries, languages and organisational cultures without personally meeting each other during the project.""",
+}
+
+
+def test_rules_keep_public_prose_and_reject_junk(spark):
+    df = spark.createDataFrame([(i, " ".join(t.split()), lang) for i, (lang, t) in enumerate(PROSE.items())], "doc_id long, text string, lang string")
+    found = fertility.quality_rules(df, PIECE).collect()
+    assert len(found) == 5 and all(r.n_tokens >= fertility.MIN_TOKENS and r.kept for r in found)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    judged = queries.op2_tokeniser_fertility(spark, SF_DIR).join(labels, "doc_id").filter("not base_failed and n_tokens >= 64")
+    bad, good = (judged.filter(F.col("quality") == q).agg(F.avg(F.col("kept").cast("int"))).first()[0] for q in (0, 1))
+    assert good == 1.0 and bad < 0.6
+
+
 def test_resampling(docs, nothing, spark):
     labels = spark.createDataFrame([(5, 1, 0), (20, 1, 0), (13, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     for k in (0, 1, 5, 100):
