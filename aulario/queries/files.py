@@ -66,6 +66,22 @@ def scan_mixed_layouts(spark, sf):
     return found.withColumn("file", F.when(F.col("file").startswith("part-"), "part").otherwise(F.col("file")))
 
 
+@query(f"SELECT '01 X - r.xlsx' AS file, sheet, row, col, value FROM {_CELLS}")
+def scan_wide_layouts(spark, sf):
+    """CSV files with needed columns in sixth place and later, and headings in another case."""
+    base, cells = folder(spark, "cells"), _customer_cells(spark, sf)
+    cells = cells.withColumn("id", F.lit("x, y")).withColumn("nota", F.lit(None).cast("string"))
+    writer = {
+        0: ("id", "file", "sheet", "row", "col", "value"),
+        1: ("VALUE", "Id", "Nota", "File", "Sheet", "Row", "Col"),
+        2: ("File", "sheet", "ROW", "col", "Value"),
+    }
+    for rest, columns in writer.items():
+        part = cells.filter(F.col("row") % 3 == rest).select(*[F.col(c).alias(c) for c in columns])
+        part.write.mode("append").option("header", True).csv(base)
+    return readers.scan_cells(spark, base, "csv")
+
+
 @query(
     f"""SELECT CASE WHEN row % 2 = 0 THEN '01 X - r.xlsx' ELSE 'part' END AS file, sheet, row, col, value FROM {_CELLS}"""
 )

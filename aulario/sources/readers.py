@@ -50,37 +50,55 @@ def _folders(paths: Sequence[str]) -> dict[str, list[str]]:
 
 
 def _csv_cells(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Cells of CSV files, columns by the header line of each file whatever their order.
+    """Cells of CSV files, columns by the first line of each file whatever their order, number and case.
 
-    The lines that name the columns are found in the same scan and joined back per file.
+    Lines equal to their file's first one are repeated headers. A file whose first line does not
+    name each needed column once is an error when its rows are read. A first scan finds how wide
+    the files' headers are.
     """
-    width = len(CELL_SCHEMA)
+    starts = spark.read.text(list(paths)).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+    starts = starts.select("value", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_at"))
+    first = starts.groupBy("_path").agg(F.min_by("value", "_at").alias("line"))
+    found = first.agg(F.max(F.length(F.regexp_replace("line", "[^,]", "")))).first()[0]
+    width = max(len(CELL_SCHEMA), (found or 0) + 1)
     fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
-    lines = spark.read.schema(T.StructType(fields)).option("header", False).csv(list(paths))
-    lines = lines.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"))
-    named = F.array(*[F.trim(F.regexp_replace(f"_c{i}", "^\\uFEFF", "")) for i in range(width)])
-    needed = [f.name for f in CELL_SCHEMA if f.name != "file"]
-    is_header = F.lit(True)
-    for n in needed:
-        is_header = is_header & F.array_contains(named, n)
-    headers = lines.filter(is_header).select("_path", named.alias("_names")).distinct()
-    values = F.array(*[F.col(f"_c{i}") for i in range(width)])
-    body = lines.filter(~F.coalesce(is_header, F.lit(False))).join(headers, "_path")
+    lines = spark.read.schema(T.StructType(fields)).option("header", False).option("maxColumns", max(width, 20480)).csv(list(paths))
+    lines = lines.select(
+        F.array(*[f.name for f in fields]).alias("_values"),
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_block_start").alias("_start"),
+    )
+    headers = (
+        lines.filter("_start = 0")
+        .withColumn("_at", F.monotonically_increasing_id())
+        .groupBy("_path")
+        .agg(F.min_by("_values", "_at").alias("_header"))
+        .withColumn("_names", F.transform("_header", lambda n: F.lower(F.trim(F.regexp_replace(n, "^\\uFEFF", "")))))
+    )
+    named = F.lit(True)
+    for f in CELL_SCHEMA:
+        others = F.array_remove("_names", f.name)
+        times = F.size("_names") - F.size(others)
+        named = named & ((times <= 1) if f.name == "file" else (times == 1))
+    error = F.raise_error(F.concat(F.lit("no header with sheet, row, col and value, each once, in "), "_path"))
+    headers = headers.filter(F.when(named, F.lit(True)).otherwise(error.cast("boolean")))
+    body = lines.join(headers, "_path").filter(~F.col("_values").eqNullSafe(F.col("_header")))
 
     def value(column: str) -> Column:
         at = F.array_position("_names", column).cast("int")
-        return F.when(at > 0, F.get(values, at - 1))
+        return F.when(at > 0, F.get("_values", at - 1))
 
-    return body.select(
-        F.coalesce(value("file"), F.col("_name")).alias("file"), *[value(n).alias(n) for n in needed]
-    )
+    needed = [f.name for f in CELL_SCHEMA if f.name != "file"]
+    return body.select(F.coalesce(value("file"), F.col("_name")).alias("file"), *[value(n).alias(n) for n in needed])
 
 
 def scan_cells(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Read cell grids from folders or files of Parquet or CSV.
 
     Each row keeps the workbook it came from in ``file``; a row without one takes the name of
-    its data file. Columns are found by name, whatever their order in a file. When several
+    its data file. Columns are found by name, whatever their order and case in a file; a CSV file
+    without such a header is an error. When several
     folders are read together (two years, say), ``file`` begins with what tells the folders
     apart, so equal names in two folders stay two workbooks. The declared schema means no
     inference of types, and filters on ``row``, ``col`` and ``sheet`` reach the Parquet scan.

@@ -33,6 +33,23 @@ def test_scan_cells_by_name_and_folder(spark, tmp_path):
     assert len(found) == 2 and ("a", "y") in found
 
 
+def test_scan_cells_reads_whole_headers_in_any_case(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,file,sheet,row,col,value\n1,w,S,1,3,a\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('\n\ufeff"n,m",Row, Value ,COL,x,y,Sheet\n"p, q",4,"b, c",5,,,T\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text("sheet,row,col,value\nsheet,row,col,value\nvalue,2,2,row\n", encoding="utf-8")
+    found = rows(readers.scan_cells(spark, str(tmp_path), "csv"))
+    assert found == [("b.csv", "T", 4, 5, "b, c"), ("c.csv", "value", 2, 2, "row"), ("w", "S", 1, 3, "a")]
+    for header in ("S,1,2,x", "sheet,row,col", "sheet,row,Row,col,value"):
+        (tmp_path / "bad.csv").write_text(f"{header}\nS,1,2,y\n", encoding="utf-8")
+        with pytest.raises(Exception, match="no header with sheet"):
+            readers.scan_cells(spark, str(tmp_path), "csv").collect()
+        with pytest.raises(Exception, match="no header with sheet"):
+            readers.scan_cells(spark, str(tmp_path), "csv").count()
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "empty.csv").write_text("", encoding="utf-8")
+    assert readers.scan_cells(spark, str(tmp_path / "e"), "csv").count() == 0
+
+
 def test_scan_pushes_row_filters_to_parquet(spark, tmp_path):
     spark.createDataFrame([("a", "S", 6, 0, "x")], CELLS).write.parquet(str(tmp_path / "c"))
     plan = readers.scan_cells(spark, str(tmp_path / "c")).filter("row = 6")._jdf.queryExecution().executedPlan().toString()
