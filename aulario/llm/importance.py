@@ -8,9 +8,11 @@ to exp(log importance / temperature), by Gumbel top-k: the k largest sums of sca
 and Gumbel noise. The noise is a hash of the text, so that a draw repeats and equal texts
 fare alike.
 
-k follows from the data unless given: as many texts as reach the log importance that
-``keep_share`` of the held-out half of the labelled sample reach. Where the two kinds lie apart
-by much more than the temperature, the draw is a classifier.
+k follows from the data unless given: as many texts as reach the edge, the log importance that best
+separates the good rows of the held-out half of the labelled sample from the bad ones, but at most
+what ``LEAST_SHARE`` of those good rows reach; without bad rows, what ``keep_share`` of them reach. A
+few wrong labels hardly move it. Where the two kinds lie apart by much more than the temperature, the draw is a
+classifier.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from aulario.llm.common import batch, mix, small_batches, staged, text_bytes, wo
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000
-KEEP_SHARE = 0.999
+KEEP_SHARE = 0.99
+LEAST_SHARE = 0.95
 TEMPERATURE = 0.002
 SMOOTHING = 1.0
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
@@ -163,6 +166,24 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     return texts.join(F.broadcast(some), "doc_id").select("data", "quality", held.alias("held"))
 
 
+def edge_of(good: np.ndarray, bad: np.ndarray, keep_share: float = KEEP_SHARE) -> float | None:
+    """The least log importance that counts as good; None without good rows.
+
+    Midway between neighbours where the share of good rows that reach it less the share of bad rows
+    that do is largest (the lowest such place), but at most what ``LEAST_SHARE`` of the good rows reach.
+    Without bad rows, what ``keep_share`` of the good rows reach.
+    """
+    if not len(good):
+        return None
+    if not len(bad):
+        return float(np.quantile(good, 1 - keep_share))
+    values = np.unique(np.r_[good, bad])
+    places = np.r_[values[0], (values[:-1] + values[1:]) / 2]
+    reach = [1 - np.searchsorted(np.sort(x), places, "left") / len(x) for x in (good, bad)]
+    best = float(places[np.argmax(np.round(reach[0] - reach[1], 12))])
+    return min(best, float(np.quantile(good, 1 - LEAST_SHARE)))
+
+
 def resample(
     docs: DataFrame,
     labels: DataFrame,
@@ -174,21 +195,22 @@ def resample(
     """Per row of ``docs``: ``row, n_grams, log_importance, key, kept``.
 
     ``labels`` has ``doc_id`` and ``quality`` (1 good); at most ``sample`` labelled rows are used, one half of
-    the good ones for the target model and the other half to set k. Without good rows every text
-    is kept. Texts without n-grams have log importance 0. Equal texts have equal keys,
+    the good ones for the target model and the other half, with the bad ones, to set k. Without good rows
+    every text is kept. Texts without n-grams have log importance 0. Equal texts have equal keys,
     so ties at the k-th place are all kept. Columns travel as one value.
     """
     small_batches(docs.sparkSession)
-    learn = _sample(docs, labels, sample).filter("quality = 1")
-    target = _counts(learn.filter("not held"))
+    learn = _sample(docs, labels, sample)
+    target = _counts(learn.filter("quality = 1 and not held"))
     raw = _counts(docs.select(text_bytes().alias("data")))
     ratio = log_ratio(target, raw)
     scored = staged(with_log_importance(docs, ratio), "importance")
     keyed = scored.withColumn("key", F.col("log_importance") / F.lit(temperature) + gumbel(F.col("noise_key")))
     if k is None:
-        good = with_log_importance(learn.filter("held").select(F.col("data").alias("text")), ratio)
-        values = [r[0] for r in good.select("log_importance").collect()]  # at most ``sample`` numbers
-        edge = float(np.quantile(values, 1 - keep_share)) if values else None
+        held = with_log_importance(learn.filter("held").select("quality", F.col("data").alias("text")), ratio)
+        found = held.select("row.quality", "log_importance").collect()  # at most ``sample`` pairs
+        good, bad = (np.array([x for q, x in found if (q == 1) == kind]) for kind in (True, False))
+        edge = edge_of(good, bad, keep_share)
         k = scored.count() if edge is None else scored.filter(F.col("log_importance") >= edge).count()
     least = threshold_of_top(keyed, "key", k)
     kept = F.lit(False) if least is None else F.col("key") >= least

@@ -421,6 +421,22 @@ def test_resampling(docs, nothing, spark):
     assert importance.resample(docs, labels.limit(0)).filter("not kept").count() == 0
 
 
+def test_resampling_with_wrong_labels(spark):
+    rng = random.Random(12)
+    kinds = [[f"{k}{i}" for i in range(300)] for k in "bg"]
+    rows = [(i, " ".join(rng.choices(kinds[i % 4 > 0], k=80))) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # Of 300 bad rows 10 are labelled good, of 900 good ones 20 bad.
+    marks = [(i, int((i % 4 > 0) != (i % 120 == 0 or i % 45 == 1))) for i, _ in rows]
+    drawn = importance.resample(df, spark.createDataFrame(marks, "doc_id long, quality int"))
+    kept = {r["row"].doc_id for r in drawn.filter("kept").collect()}
+    assert sum(i % 4 == 0 for i in kept) < 15 and sum(i % 4 > 0 for i in kept) >= 850
+    good, bad = np.r_[np.linspace(0, 1, 200), -5.0, -4.0], np.r_[np.linspace(-6, -1, 50), 0.5]
+    assert -1 < importance.edge_of(good, bad) <= 0
+    assert importance.edge_of(good, bad[:0]) == pytest.approx(np.quantile(good, 0.01)) and importance.edge_of(good[:0], bad) is None
+    assert np.mean(good >= importance.edge_of(good, good)) >= 0.94  # kinds that are alike
+
+
 def test_threshold_by_histogram(spark):
     rng = np.random.default_rng(3)
     values = [float(x) for x in np.r_[rng.normal(size=3000), [7.5] * 50, rng.normal(size=10) * 1e9]]
