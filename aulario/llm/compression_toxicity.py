@@ -12,6 +12,7 @@ many as ordinary text of its length has are not counted.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,10 @@ SAMPLE = 8_000
 ORDINARY_WINDOWS = 20_000
 PECULIAR_WORDS = 2_000
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 4_096
+TOXIC_BYTES = 32_768
+# A word peculiar to toxic texts is in so many at least, and would be in that many by chance with less than this probability.
+LEAST_TEXTS = 3
+CHANCE = 1e-3
 LEVEL = 12
 REPEATS = 8
 THRESHOLD = 0.7
@@ -106,12 +110,18 @@ def _peculiar(sample: DataFrame) -> list[bytes]:
 
     totals = {r[0]: r[1] for r in sample.groupBy("toxic").agg(F.count(F.lit(1))).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
+    share = F.lit(bad / max(bad + good, 1))
+    t, plain = F.col("t"), F.col("n") - F.col("t")
+    # Chernoff's bound of the binomial tail.
+    rest = F.when(plain > 0, plain * F.log(plain / (F.col("n") * (1 - share)))).otherwise(0.0)
+    evidence = t * F.log(t / (F.col("n") * share)) + rest
     counts = (
         sample.select("data", "toxic")
         .mapInArrow(run, "word binary, toxic int")
         .groupBy("word")
         .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-        .filter((F.col("t") >= max(3.0, 0.03 * bad)) & (F.col("t") * max(good, 1) > 8.0 * bad * (F.col("n") - F.col("t") + 1)))
+        .filter((t >= LEAST_TEXTS) & (t * max(good, 1) > 8.0 * bad * plain))
+        .filter(evidence >= -math.log(CHANCE))
         .orderBy(F.desc("t"), "word")
         .limit(PECULIAR_WORDS)
     )
@@ -201,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     peculiar = _peculiar(learnt)
     plain, bad = _samples(learnt, peculiar)
     ordinary = train(plain, ORDINARY_BYTES) if plain else b""
-    toxic = train(bad, TOXIC_BYTES) if bad else b""
+    toxic = (train(bad, TOXIC_BYTES) if bad else b"") + b" " + b" ".join(reversed(peculiar)) + b" "
     if learnt.isEmpty():
         return Model(ordinary, toxic, 99, 0, 0.0, (0.5,) * (_TOP + 1))
     return _calibrate(learnt, ordinary, toxic)

@@ -472,6 +472,23 @@ def test_toxicity(spark, docs, nothing):
     assert compression_toxicity.score(docs, compression_toxicity.fit(docs, labels.limit(0))).count() == docs.count()
 
 
+def test_toxicity_of_many_rare_insults(spark):
+    rng = random.Random(13)
+    insults = ["".join(rng.choices("bcdfgjklmpquvwxyz", k=7)) for _ in range(120)]
+    rows = []
+    for i in range(1600):
+        words = sentence(rng, 60).split()
+        if i % 4 == 0:
+            for insult in rng.sample(insults, 2):  # each in some 4 of 267 toxic texts learnt from
+                words.insert(rng.randrange(60), insult)
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    held = compression_toxicity.score(df, compression_toxicity.fit(df, labels)).filter("held_out").collect()
+    flagged = [r.predicted == 1 for r in held if r.doc_id % 4 == 0]
+    assert np.mean(flagged) > 0.5 and np.mean([r.predicted for r in held if r.doc_id % 4]) < 0.05
+
+
 # ---- SentencePiece
 
 
