@@ -66,6 +66,75 @@ def scan_mixed_layouts(spark, sf):
     return found.withColumn("file", F.when(F.col("file").startswith("part-"), "part").otherwise(F.col("file")))
 
 
+_TOLD = f"""SELECT (CASE WHEN row % 2 = 0 THEN '{{0}}' ELSE '{{1}}' END) || '/01 X - r.xlsx' AS file, sheet, row, col, value FROM {_CELLS}"""
+
+
+def _two_folders(spark, sf, *names):
+    base, cells = folder(spark, "cells"), _customer_cells(spark, sf)
+    for odd, name in enumerate(names):
+        cells.filter(F.col("row") % 2 == odd).write.parquet(f"{base}/{name}")
+    return base
+
+
+@query(_TOLD.format("2025.parquet", "2026.parquet"))
+def scan_dotted_folders(spark, sf):
+    """Year folders whose names look like files."""
+    base = _two_folders(spark, sf, "2025.parquet", "2026.parquet")
+    return readers.scan_cells(spark, [f"{base}/2025.parquet", f"{base}/2026.parquet"])
+
+
+@query(_TOLD.format("year=2025", "year=2026"))
+def scan_year_partitions(spark, sf):
+    """Years as partition folders below one path."""
+    return readers.scan_cells(spark, _two_folders(spark, sf, "year=2025", "year=2026"))
+
+
+@query(_TOLD.format("a/2025", "b c/2025"))
+def scan_folder_pattern(spark, sf):
+    """Folders found by a pattern."""
+    return readers.scan_cells(spark, _two_folders(spark, sf, "a/2025", "b c/2025") + "/*/*")
+
+
+_QUOTED = """CASE c_custkey % 4 WHEN 0 THEN c_name || chr(10) || c_mktsegment WHEN 1 THEN 'dice "' || c_name || '", ' || c_mktsegment
+    WHEN 2 THEN chr(10) || '"' || c_name || '"' || chr(10) ELSE c_name END"""
+
+
+def _quoted(name: str = "c_name"):
+    k, segment, line = F.col("c_custkey") % 4, F.col("c_mktsegment"), F.lit("\n")
+    return (
+        F.when(k == 0, F.concat(name, line, segment))
+        .when(k == 1, F.concat(F.lit('dice "'), name, F.lit('", '), segment))
+        .when(k == 2, F.concat(line, F.lit('"'), name, F.lit('"'), line))
+        .otherwise(F.col(name))
+    )
+
+
+@query(f"""SELECT 'w.xlsx' AS file, 'Hoja' || chr(10) || '"1"' AS sheet, c_custkey::INTEGER AS row, 0 AS col, {_QUOTED} AS value FROM customer""")
+def scan_quoted_cells(spark, sf):
+    """Grid cells with line breaks, commas and doubled quotes, in files read in many splits."""
+    base = folder(spark, "cells")
+    cells = table(spark, sf, "customer").select(
+        F.lit("w.xlsx").alias("file"), F.lit('Hoja\n"1"').alias("sheet"), F.col("c_custkey").alias("row"), F.lit(0).alias("col"), _quoted().alias("value")
+    )
+    sinks.export_csv(cells, base)
+    return readers.scan_cells(spark, base, "csv")
+
+
+@query(f"""SELECT lpad(c_custkey::VARCHAR, 8, '0') AS id, {_QUOTED} AS "¿Qué dijo?
+(con comas, y ""comillas"")", CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segmento FROM customer""")
+def scan_quoted_text(spark, sf):
+    """Form answers with line breaks, under headings with line breaks, in two layouts."""
+    base = folder(spark, "csv")
+    c = table(spark, sf, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("id"),
+        _quoted().alias('¿Qué dijo?\n(con comas, y "comillas")'),
+        F.col("c_mktsegment").alias("segmento"),
+    )
+    sinks.export_csv(c.filter("int(id) % 2 = 0"), f"{base}/a")
+    sinks.export_csv(c.filter("int(id) % 2 = 1").drop("segmento"), f"{base}/b")
+    return readers.scan_text_csv(spark, [f"{base}/a", f"{base}/b"])
+
+
 @query(f"SELECT '01 X - r.xlsx' AS file, sheet, row, col, value FROM {_CELLS}")
 def scan_wide_layouts(spark, sf):
     """CSV files with needed columns in sixth place and later, and headings in another case."""

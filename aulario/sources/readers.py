@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from aulario.functions.text import norm_key
 from aulario.operators.combine import union_aligned
+from aulario.sources.quoted_csv import csv_records, decoded, fields, layouts
 
 CELL_SCHEMA = T.StructType(
     [
@@ -33,64 +35,71 @@ def drop_temporary(df: DataFrame, name: str = "file") -> DataFrame:
     return df.filter(~F.coalesce(lock, F.lit(False)))
 
 
-def _folders(paths: Sequence[str]) -> dict[str, list[str]]:
-    """Paths by what tells their folders apart, '' where all lie in one folder."""
-    folder = {p: (p if "." not in posixpath.basename(p.rstrip("/")) else posixpath.dirname(p)).rstrip("/") for p in paths}
-    distinct = sorted(set(folder.values()))
-    if len(distinct) == 1:
-        return {"": list(paths)}
-    shared = [x for x, *rest in zip(*(d.split("/") for d in distinct)) if all(x == y for y in rest)]
-    root = 0
-    while root < len(shared) and all(d.split("/")[root] == shared[root] for d in distinct):
-        root += 1
+def _groups(paths: Sequence[str]) -> list[list[str]]:
+    """Paths that are read together: those of one folder, so that types need only agree within it."""
     out: dict[str, list[str]] = {}
-    for path, name in folder.items():
-        out.setdefault("/".join(name.split("/")[root:]), []).append(path)
-    return out
+    for path in paths:
+        out.setdefault(path if "." not in posixpath.basename(path.rstrip("/")) else posixpath.dirname(path.rstrip("/")), []).append(path)
+    return list(out.values())
+
+
+# Start of a path that names a file system, and folders that hold a column of the grid.
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+_OWN_COLUMN = f"^({'|'.join(CELL_SCHEMA.names)})="
+
+
+def _components(path: str) -> list[str]:
+    """Parts of a file's path that may tell its folder."""
+    return [x for x in re.sub(_SCHEME, "/", path).split("/")[:-1] if not re.match(_OWN_COLUMN, x)]
+
+
+def _relative_folder(path: Column, files: Sequence[str]) -> Column:
+    """What tells a file's folder from those of the other files, with a closing slash; empty in one common folder."""
+    folders = {tuple(_components(f)) for f in files}
+    if len(folders) < 2:
+        return F.lit("")
+    shared = 0
+    for parts in zip(*folders):
+        if len(set(parts)) > 1:
+            break
+        shared += 1
+    parts = F.split(F.regexp_replace(decoded(path), _SCHEME, "/"), "/")
+    parts = F.filter(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda x: ~x.rlike(_OWN_COLUMN))
+    own = F.slice(parts, F.lit(shared + 1), F.greatest(F.size(parts), F.lit(shared)) - shared)
+    return F.when(F.size(own) > 0, F.concat(F.array_join(own, "/"), F.lit("/"))).otherwise(F.lit(""))
 
 
 def _csv_cells(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Cells of CSV files, columns by the first line of each file whatever their order, number and case.
+    """Cells of CSV files (and their ``_path``), columns by the header of each file whatever their order, number and case.
 
-    Lines equal to their file's first one are repeated headers. A file whose first line does not
-    name each needed column once is an error when its rows are read. A first scan finds how wide
-    the files' headers are.
+    Records equal to their file's first one are repeated headers. A file whose first record does not
+    name each needed column once is an error when its rows are read.
     """
-    starts = spark.read.text(list(paths)).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
-    starts = starts.select("value", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_at"))
-    first = starts.groupBy("_path").agg(F.min_by("value", "_at").alias("line"))
-    found = first.agg(F.max(F.length(F.regexp_replace("line", "[^,]", "")))).first()[0]
-    width = max(len(CELL_SCHEMA), (found or 0) + 1)
-    fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
-    lines = spark.read.schema(T.StructType(fields)).option("header", False).option("maxColumns", max(width, 20480)).csv(list(paths))
-    lines = lines.select(
-        F.array(*[f.name for f in fields]).alias("_values"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("_name"),
-        F.col("_metadata.file_block_start").alias("_start"),
-    )
-    headers = (
-        lines.filter("_start = 0")
-        .withColumn("_at", F.monotonically_increasing_id())
-        .groupBy("_path")
-        .agg(F.min_by("_values", "_at").alias("_header"))
-        .withColumn("_names", F.transform("_header", lambda n: F.lower(F.trim(F.regexp_replace(n, "^\\uFEFF", "")))))
-    )
-    named = F.lit(True)
-    for f in CELL_SCHEMA:
-        others = F.array_remove("_names", f.name)
-        times = F.size("_names") - F.size(others)
-        named = named & ((times <= 1) if f.name == "file" else (times == 1))
-    error = F.raise_error(F.concat(F.lit("no header with sheet, row, col and value, each once, in "), "_path"))
-    headers = headers.filter(F.when(named, F.lit(True)).otherwise(error.cast("boolean")))
-    body = lines.join(headers, "_path").filter(~F.col("_values").eqNullSafe(F.col("_header")))
+    read = csv_records(spark, paths)
+    by_header = layouts(read.files)
+    width = max(map(len, by_header.values()), default=1)
+    needed = CELL_SCHEMA.names
+    places = []
+    for header, names in by_header.items():
+        found = [n.strip().lower() for n in names]
+        right = all(found.count(n) == 1 or (n == "file" and n not in found) for n in needed)
+        places.append((header, right, *[found.index(n) + 1 if n in found else 0 for n in needed]))
+    schema = T.StructType([T.StructField("header", T.StringType()), T.StructField("_right", T.BooleanType())])
+    for n in needed:
+        schema = schema.add(f"_{n}", T.IntegerType())
+    known = read.files.join(F.broadcast(spark.createDataFrame(places, schema)), "header")
+    # A file without a header in its first block has no row of its own and fails like one with a wrong header.
+    error = F.raise_error(F.concat(F.lit("no header with sheet, row, col and value, each once, in "), "path"))
+    body = read.records.join(F.broadcast(known), "path", "left")
+    body = body.filter(F.when(F.coalesce("_right", F.lit(False)), F.lit(True)).otherwise(error.cast("boolean")))
+    body = body.filter(F.col("record") != F.rtrim(F.col("header"), F.lit("\r"))).withColumn("_values", fields(F.col("record"), width))
 
     def value(column: str) -> Column:
-        at = F.array_position("_names", column).cast("int")
+        at = F.col(f"_{column}")
         return F.when(at > 0, F.get("_values", at - 1))
 
-    needed = [f.name for f in CELL_SCHEMA if f.name != "file"]
-    return body.select(F.coalesce(value("file"), F.col("_name")).alias("file"), *[value(n).alias(n) for n in needed])
+    rest = [value(n).alias(n) for n in needed if n != "file"]
+    return body.select(F.coalesce(value("file"), F.col("name")).alias("file"), *rest, F.col("path").alias("_path"))
 
 
 def scan_cells(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
@@ -98,51 +107,69 @@ def scan_cells(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
 
     Each row keeps the workbook it came from in ``file``; a row without one takes the name of
     its data file. Columns are found by name, whatever their order and case in a file; a CSV file
-    without such a header is an error. When several
-    folders are read together (two years, say), ``file`` begins with what tells the folders
-    apart, so equal names in two folders stay two workbooks. The declared schema means no
+    without such a header is an error, and its cells may hold line breaks and doubled quotes. Where the data files
+    lie in several folders (two years, say), ``file`` begins with what tells the folders
+    apart, so equal names in two folders stay two workbooks, whether the folders are listed, found by a pattern or
+    lie below one path. The declared schema means no
     inference of types, and filters on ``row``, ``col`` and ``sheet`` reach the Parquet scan.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    parts = []
-    for folder, some in _folders(paths).items():
+    read, files = [], []
+    for some in _groups(paths):
         if fmt == "csv":
             raw = _csv_cells(spark, some)
+            files += spark.read.text(some).inputFiles()
         else:
             raw = spark.read.format(fmt).option("mergeSchema", True).load(some)
-            name = F.col("_metadata.file_name")
-            raw = raw.withColumn("file", F.coalesce(F.col("file"), name) if "file" in raw.columns else name)
-        typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CELL_SCHEMA])
-        if folder:
-            typed = typed.withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
-        parts.append(typed)
+            files += raw.inputFiles()
+            name = decoded(F.col("_metadata.file_name"))
+            where = F.col("_metadata.file_path").alias("_path")
+            raw = raw.select("*", where).withColumn("file", F.coalesce(F.col("file"), name) if "file" in raw.columns else name)
+        read.append(raw)
+    parts = []
+    for raw in read:
+        typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CELL_SCHEMA]
+        typed[0] = F.concat(_relative_folder(F.col("_path"), files), typed[0]).alias("file")
+        parts.append(raw.select(*typed))
     return drop_temporary(union_aligned(parts).filter(F.col("value").isNotNull()))
 
 
-def scan_text_csv(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, multi_line: bool = True
-) -> DataFrame:
+def _safe_names(names: Sequence[str]) -> list[str]:
+    """Names as a reader gives them: numbered where empty or repeated (whatever the case)."""
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def scan_text_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Read CSV files with every column as text, so ids keep their leading zeros.
 
-    ``columns`` declares the layout; otherwise each file's header line is read, files with the
-    same header are scanned together, and the layouts are stacked by column name, absent
-    columns being null. ``multi_line`` allows line breaks within quoted text; without them,
-    turning it off lets Spark split large files.
+    Each file's first record is its header. ``columns`` declares the layout by position instead of it; otherwise
+    columns are found by each file's own header, and one absent from a file is null. Cells may hold
+    line breaks and doubled quotes, and large files are split all the same. All files are read in one scan, whatever their
+    layouts.
     """
-
     if not paths:
         raise FileNotFoundError("no CSV input given")
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = tuple(columns) if columns is not None else tuple(reader.csv(path).columns)
-        layouts.setdefault(names, []).append(path)
-    # One scan per distinct layout, however many files share it.
-    frames = [
-        reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(group)
-        for names, group in layouts.items()
-    ]
-    return union_aligned(frames)
+    read = csv_records(spark, paths)
+    body = read.records.filter(~F.col("first"))
+    if columns is not None:
+        return body.select(fields(F.col("record"), len(columns)).alias("_values")).select(
+            *[F.get("_values", F.lit(i)).alias(c) for i, c in enumerate(columns)]
+        )
+    by_header = {h: _safe_names(n) for h, n in layouts(read.files).items()}
+    names = list(dict.fromkeys(n for found in by_header.values() for n in found))
+    width = max(map(len, by_header.values()), default=1)
+    if len(by_header) == 1:
+        places = {n: F.lit(i) for i, n in enumerate(names)}
+        body = body.select(fields(F.col("record"), width).alias("_values"))
+    else:
+        rows = [(h, i, [found.index(n) if n in found else -1 for n in names]) for i, (h, found) in enumerate(by_header.items())]
+        known = spark.createDataFrame(rows, "header string, _layout int, _at array<int>")
+        by_file = read.files.join(F.broadcast(known.select("header", "_layout")), "header").select("path", "_layout")
+        body = body.join(F.broadcast(by_file), "path").join(F.broadcast(known.select("_layout", "_at")), "_layout")
+        body = body.select(fields(F.col("record"), width).alias("_values"), "_at")
+        places = {n: F.get("_at", F.lit(i)) for i, n in enumerate(names)}
+    return body.select(*[F.when(at >= 0, F.get("_values", at)).alias(n) for n, at in places.items()])
 
 
 def sheet_like(pattern: str) -> Column:

@@ -17,13 +17,15 @@ def write_stage(df: DataFrame, path: str, partition_by: str | None = None) -> No
 
 
 def export_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
-    """UTF-8 CSV export with header; Spark writes one file per task, without a byte mark."""
+    """UTF-8 CSV export with header; Spark writes one file per task, without a byte mark. White space at a text's ends stays."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("quoteAll", quote_all)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

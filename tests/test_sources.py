@@ -1,10 +1,13 @@
+import csv
 import json
 import pathlib
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from aulario.sources import readers, sinks, stages
+from aulario.sources import quoted_csv, readers, sinks, stages
 from tests.conftest import rows
 
 CELLS = "file string, sheet string, row int, col int, value string"
@@ -110,3 +113,119 @@ def test_load_summary(spark):
     df = spark.createDataFrame(data, "success string, errors array<string>")
     assert tuple(sinks.load_summary(df).first()) == (2, 3, 5)
     assert [tuple(r) for r in sinks.top_errors(df).collect()] == [("a | b", 2), ("Sin detalle", 1)]
+
+
+def plain_csv(path):
+    """Records after the header, by a sequential reader."""
+    with open(path, encoding="utf-8-sig", newline="") as f:
+        found = [r for r in csv.reader(f) if any(c.strip() for c in r) or len(r) > 1]
+    return found[0], found[1:]
+
+
+def odd_csv(path, seed, n=400, width=4, end="\r\n"):
+    rng = random.Random(seed)
+    cells = ["x", "", "a b", 'say "hi", you', "line one\nline two", '"', '""', "\n", "a,b", "ñ\r\nç", ' "q', 'end"', ",\n,\n\"x\"\n"]
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        w = csv.writer(f, lineterminator=end)
+        w.writerow(["id", "first\nname", 'the "rest"', "v"][:width])
+        for i in range(n):
+            w.writerow([f"{i:05d}", *rng.choices(cells, k=width - 1)])
+            if rng.random() < 0.05:
+                f.write(end)
+            if rng.random() < 0.05:
+                f.write(f'{i:05d},5" pipe,a"b"c,plain{end}')
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in splits of a few hundred bytes."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+    yield use
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("size, end", [(10**8, "\n"), (700, "\r\n"), (61, "\n"), (7, "\r\n")])
+def test_quoted_csv_equals_a_sequential_reader(spark, tmp_path, small_splits, size, end):
+    path = str(tmp_path / "a.csv")
+    odd_csv(path, size, n=60 if size < 50 else 400, end=end)
+    header, want = plain_csv(path)
+    small_splits(size)
+    lines = quoted_csv._lines(spark, [path])
+    if size < 10**6:
+        assert lines.select("start").distinct().count() > 5
+    found = readers.scan_text_csv(spark, [path])
+    assert found.columns == header
+    # A sequential reader gives empty text where this one gives null.
+    assert sorted(tuple(v or "" for v in r) for r in found.collect()) == sorted(map(tuple, want))
+
+
+def test_quoted_csv_has_no_whole_file_reader(spark, tmp_path):
+    odd_csv(str(tmp_path / "a.csv"), 1)
+    odd_csv(str(tmp_path / "b.csv"), 2, width=3)
+    found = readers.scan_text_csv(spark, [str(tmp_path)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # One scan of the text for two layouts, by the reader that splits files.
+    assert plan.count("FileScan text") == 1 and "Exchange hash" not in plan
+    want = [r for p in "ab" for r in plain_csv(str(tmp_path / f"{p}.csv"))[1]]
+    assert found.count() == len(want)
+
+
+def test_record_over_several_blocks(spark, tmp_path, small_splits):
+    long = "\n".join(f"line {i} of a long cell" for i in range(100))
+    (tmp_path / "a.csv").write_text(f'id,v\n1,"{long}"\n2,b\n3,"{long}\n\n"\n', encoding="utf-8")
+    small_splits(64)
+    found = {r.id: r.v for r in readers.scan_text_csv(spark, [str(tmp_path / "a.csv")]).collect()}
+    assert found == {"1": long, "2": "b", "3": long + "\n\n"}
+
+
+def test_unclosed_quote_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"open\n2,b\n', encoding="utf-8")
+    with pytest.raises(ValueError, match="never closed"):
+        readers.scan_text_csv(spark, [str(tmp_path / "a.csv")])
+
+
+def test_states_equal_a_step_by_step_scan():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = rng.random((2, rng.integers(1, 12))) < 0.5
+        for entering in (False, True):
+            now, want = entering, []
+            for x, y in zip(a, b):
+                now = bool(y if now else x)
+                want.append(now)
+            assert quoted_csv.states(a, b, entering).tolist() == want
+
+
+def test_grid_cells_with_line_breaks_and_quotes(spark, tmp_path, small_splits):
+    cells = [("w.xlsx", "S\n1", r, c, v) for r in range(20) for c, v in enumerate(["line one\nline two", 'say "hi", you', "x,y", "z"])]
+    with open(tmp_path / "g.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([("file", "sheet", "row", "col", "value"), *cells])
+    for size in (10**8, 200):
+        small_splits(size)
+        assert rows(readers.scan_cells(spark, str(tmp_path / "g.csv"), "csv")) == sorted(cells, key=repr)
+
+
+def test_folders_are_told_apart_by_the_files_themselves(spark, tmp_path):
+    base = str(tmp_path / "cells")
+    for year in ("2025", "2026"):
+        df = spark.createDataFrame([("x.xlsx", "S", 0, 0, year)], CELLS)
+        for folder in (f"{year}.parquet", f"dots/v.{year}", f"parts/year={year}", f"{year}/centro a"):
+            df.write.parquet(f"{base}/{folder}")
+    both = lambda a, b: [(f"{a}/x.xlsx", "2025"), (f"{b}/x.xlsx", "2026")]
+    scan = lambda path: rows(readers.scan_cells(spark, path), "file", "value")
+    assert scan([f"{base}/2025.parquet", f"{base}/2026.parquet"]) == both("2025.parquet", "2026.parquet")
+    assert scan(f"{base}/dots/*") == both("v.2025", "v.2026")
+    assert scan(f"{base}/parts") == both("year=2025", "year=2026")
+    assert scan([f"{base}/parts/year=2025", f"{base}/parts/year=2026"]) == both("year=2025", "year=2026")
+    assert scan([f"{base}/2025/*", f"{base}/2026/*"]) == both("2025/centro a", "2026/centro a")
+    (tmp_path / "a+b %.csv").write_text("sheet,row,col,value\nS,0,0,v\n", encoding="utf-8")
+    assert rows(readers.scan_cells(spark, str(tmp_path / "a+b %.csv"), "csv"), "file") == [("a+b %.csv",)]
+    # Folders that hold a column of the grid are no folders of their own.
+    spark.createDataFrame([("x.xlsx", s, 0, 0, s) for s in "ST"], CELLS).write.partitionBy("sheet").parquet(f"{base}/one")
+    assert rows(readers.scan_cells(spark, f"{base}/one"), "file", "sheet") == [("x.xlsx", "S"), ("x.xlsx", "T")]
