@@ -213,7 +213,7 @@ def full_refresh(spark, sf):
     sinks.full_refresh(c, path)
     sinks.full_refresh(c.filter("c_custkey % 2 = 1"), path)
     per_file = (
-        spark.read.schema("c_custkey long").json(path).groupBy(F.input_file_name().alias("f")).agg(
+        sinks.read_target(spark, path).groupBy(F.input_file_name().alias("f")).agg(
             F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("s")
         )
     )
@@ -222,6 +222,54 @@ def full_refresh(spark, sf):
     )
 
 
+_RULES = """list_filter([CASE WHEN c_acctbal < 0 THEN 'saldo negativo' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'segmento cerrado' END],
+    lambda e: e IS NOT NULL)"""
+
+
+def _checked_load(spark, sf, path):
+    """Customers of which some are rejected, for one reason or two."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    rules = {"saldo negativo": F.col("c_acctbal") < 0, "segmento cerrado": F.col("c_mktsegment") == "BUILDING"}
+    return sinks.full_refresh(c, path, rules=rules, key="c_custkey")
+
+
+@query(f"""SELECT c_custkey::VARCHAR AS key, len(e) = 0 AS success, array_to_string(e, ' | ') AS errores FROM (SELECT c_custkey, {_RULES} AS e FROM customer)""")
+def load_results(spark, sf):
+    """The outcome of every record of a load, rejected ones included."""
+    found = _checked_load(spark, sf, folder(spark, "load"))
+    return found.select("key", "success", F.array_join("errors", " | ").alias("errores"))
+
+
+@query(f"""SELECT count_if(len(e) = 0) AS inserted, count_if(len(e) > 0) AS failed, count(*) AS total FROM (SELECT {_RULES} AS e FROM customer)""")
+def load_results_summary(spark, sf):
+    """Inserted and failed records of a load."""
+    return sinks.load_summary(_checked_load(spark, sf, folder(spark, "load")))
+
+
+@query(f"""SELECT array_to_string(e, ' | ') AS error, count(*) AS n FROM (SELECT {_RULES} AS e FROM customer) WHERE len(e) > 0 GROUP BY 1""")
+def load_results_errors(spark, sf):
+    """Reasons for which records of a load were rejected."""
+    return sinks.top_errors(_checked_load(spark, sf, folder(spark, "load")))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 0")
+def failed_load_keeps_target(spark, sf):
+    """A load that fails while it is written leaves the records of the one before."""
+    path = folder(spark, "load")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.full_refresh(c.filter("c_custkey % 2 = 0"), path)
+    stopped = F.raise_error(F.lit("stopped")).cast("string")
+    name = F.when(F.col("c_custkey") == 77, stopped).otherwise(F.col("c_name"))
+    try:
+        sinks.full_refresh(c.withColumn("c_name", name), path)
+    except Exception as error:  # the class differs between a failed task and a failed commit
+        if "stopped" not in str(error):
+            raise
+    else:
+        raise AssertionError("the second load was to fail")
+    return sinks.read_target(spark, path)
+
+
 # --- load tables -------------------------------------------------------------------------
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aulario.sources.stages import stage
+from aulario.sources.workers import package_on_workers
 
 # Blocks and distinct headers that one read may have; both are known before anything is broadcast.
 MAX_BLOCKS = 2_000_000
@@ -230,6 +231,7 @@ def csv_records(spark: SparkSession, paths: Sequence[str]) -> CsvRecords:
 
     A quote that is never closed is an error, and so is a file whose first split is blank while others are not.
     """
+    package_on_workers(spark)
     lines = _lines(spark, paths)
     blocks = stage(_entering(lines.select("path", "start", "value").mapInArrow(_summaries, _ddl(_SUMMARY))), "csv-blocks")
     if blocks.count() > MAX_BLOCKS:

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aulario.sources.versioned_load import VersionedLoad, new_version, read_results, read_target
+from aulario.sources.workers import package_on_workers
+
+__all__ = ["export_csv", "full_refresh", "load_summary", "read_results", "read_target", "top_errors", "write_stage"]
+
 # Fixed value: records per insert batch of the target service.
 RECORDS_PER_BATCH = 1000
 NO_DETAIL = "Sin detalle"
@@ -30,18 +37,42 @@ def export_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
     )
 
 
-def full_refresh(df: DataFrame, path: str, batch: int = RECORDS_PER_BATCH) -> None:
-    """Replace a target with JSON files of at most ``batch`` records each.
+def full_refresh(
+    df: DataFrame,
+    path: str,
+    batch: int = RECORDS_PER_BATCH,
+    rules: Mapping[str, Column] | None = None,
+    key: str | None = None,
+) -> DataFrame:
+    """Replace a target's records by those of ``df``, in JSON batches of at most ``batch``; the outcome of every record.
 
-    Overwriting is the delete; the write commits as a whole, so readers never see the insert
-    start before the delete has finished. Nulls are written out as nulls.
+    ``rules`` maps an error text to the condition under which a record is rejected with it; rejected records
+    are left out of the target and reported. The result has the columns ``batch, position, key, success, errors``, ``key``
+    being the text of the named column. The target changes in one step when all tasks have ended: a load that
+    fails leaves the records of the one before in force, and a repeated task leaves no record twice. Nulls
+    are written out as nulls. Read the target with :func:`read_target`.
     """
+    spark = df.sparkSession
+    package_on_workers(spark)
+    spark.dataSource.register(VersionedLoad)
+    found = [F.when(wrong, F.lit(text)) for text, wrong in (rules or {}).items()]
+    errors = F.array_compact(F.array(*found)) if found else F.array()
+    fields = [F.col(f"`{c}`") for c in df.columns]
     (
-        df.write.mode("overwrite")
-        .option("maxRecordsPerFile", batch)
-        .option("ignoreNullFields", False)
-        .json(path)
+        df.select(
+            F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("record"),
+            (F.col(f"`{key}`").cast("string") if key else F.lit(None).cast("string")).alias("key"),
+            errors.cast("array<string>").alias("errors"),
+        )
+        .write.format("versioned_load")
+        .mode("append")
+        .option("path", path)
+        .option("version", new_version())
+        .option("batch", batch)
+        .option("target_schema", df.schema.json())
+        .save()
     )
+    return read_results(spark, path)
 
 
 def load_summary(results: DataFrame) -> DataFrame:

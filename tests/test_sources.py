@@ -2,12 +2,14 @@ import csv
 import json
 import pathlib
 import random
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from aulario.sources import quoted_csv, readers, sinks, stages
+from aulario.sources import quoted_csv, readers, sinks, stages, versioned_load
 from tests.conftest import rows
 
 CELLS = "file string, sheet string, row int, col int, value string"
@@ -76,16 +78,74 @@ def test_missing_year_is_skipped_and_no_year_is_an_error(spark, tmp_path):
         readers.read_years(spark.read.parquet, {"2026": str(tmp_path / "y2026")})
 
 
+def load_files(path, part="data"):
+    return sorted(pathlib.Path(path).glob(f"versions/*/{part}/*"))
+
+
 def test_full_refresh_replaces_and_batches(spark, tmp_path):
     out = str(tmp_path / "out")
     df = spark.range(2500).coalesce(1).select("id", F.lit(None).cast("string").alias("nada"))
     sinks.full_refresh(df, out)
-    files = sorted(pathlib.Path(out).glob("*.json"))
+    files = load_files(out)
     sizes = [len(f.read_text().splitlines()) for f in files]
     assert sum(sizes) == 2500 and max(sizes) == 1000
-    assert json.loads(files[0].read_text().splitlines()[0])["nada"] is None
+    assert json.loads(files[0].read_text().splitlines()[0]) == {"id": 0, "nada": None}
     sinks.full_refresh(df.limit(3), out)
-    assert spark.read.json(out).count() == 3
+    found = sinks.read_target(spark, out)
+    assert found.dtypes == df.dtypes and rows(found) == [(0, None), (1, None), (2, None)]
+    # The version before stays for readers that have begun; older ones go.
+    sinks.full_refresh(df.limit(2), out)
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+    assert sinks.full_refresh(df.limit(0), out).count() == 0
+    assert sinks.read_target(spark, out).count() == 0 and sinks.read_target(spark, out).dtypes == df.dtypes
+    with pytest.raises(FileNotFoundError):
+        sinks.read_target(spark, str(tmp_path / "nowhere"))
+
+
+def test_failing_load_leaves_the_old_version(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sinks.full_refresh(spark.range(10), out)
+    before = (tmp_path / "out" / "CURRENT").read_text()
+    old = sinks.read_target(spark, out)
+    wrong = spark.range(0, 5000, 1, 4).withColumn("id", F.when(F.col("id") == 4321, F.raise_error(F.lit("stopped")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stopped"):
+        sinks.full_refresh(wrong, out)
+    assert (tmp_path / "out" / "CURRENT").read_text() == before
+    assert rows(old) == rows(sinks.read_target(spark, out)) == [(i,) for i in range(10)]
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 1
+    # A reader that began on the old version reads on through the next load.
+    sinks.full_refresh(spark.range(3), out)
+    assert old.count() == 10 and sinks.read_target(spark, out).count() == 3
+
+
+def test_results_of_a_load(spark, tmp_path):
+    df = spark.range(0, 2600, 1, 2).select("id", F.when(F.col("id") % 100 != 0, F.lit("x")).alias("v"))
+    rules = {"sin valor": F.col("v").isNull(), "grande": F.col("id") >= 2500}
+    found = sinks.full_refresh(df, str(tmp_path / "out"), batch=500, rules=rules, key="id").collect()
+    want = {str(i): [t for t, bad in (("sin valor", i % 100 == 0), ("grande", i >= 2500)) if bad] for i in range(2600)}
+    assert {r.key: r.errors for r in found} == want and len(found) == 2600
+    assert all(r.success == (not r.errors) for r in found)
+    places = {(r.batch, r.position) for r in found}
+    assert len(places) == 2600 and len({b for b, _ in places}) == 6
+    assert sinks.read_target(spark, str(tmp_path / "out")).count() == sum(not e for e in want.values())
+
+
+def test_repeated_attempts_leave_no_record_twice(spark, tmp_path):
+    """Files of an attempt whose result the driver did not take are dropped by the commit."""
+    out = str(tmp_path / "out")
+    writer = versioned_load.LoadWriter(out, "v1", 2, spark.range(1).schema.json())
+    rows_in = pa.record_batch({"record": ['{"id": 1}', '{"id": 2}', '{"id": 3}'], "key": ["1", "2", "3"], "errors": pa.array([[], ["no"], None], pa.list_(pa.string()))})
+    versioned_load.TaskContext, kept = types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 4)), versioned_load.TaskContext
+    try:
+        writer.write(iter([rows_in]))
+        second = writer.write(iter([rows_in]))
+    finally:
+        versioned_load.TaskContext = kept
+    writer.commit([second, None])
+    assert rows(sinks.read_target(spark, out)) == [(1,), (3,)]
+    assert rows(sinks.read_results(spark, out), "batch", "position", "success") == [("000004-000000", 0, True), ("000004-000000", 1, False), ("000004-000001", 0, True)]
+    versioned_load.LoadWriter(out, "v2", 2, "").abort([])
+    assert sinks.read_target(spark, out).count() == 2
 
 
 def test_csv_export_quotes(spark, tmp_path):
