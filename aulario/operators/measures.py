@@ -279,7 +279,12 @@ def first_in_current_month(
         F.max(F.when(here, day)).alias("_last"),
         F.bool_or(here).alias("_here"),
     )
-    if ctx.by:
+    return firsts_in_last_month(per_key, ctx.by, list(statuses))
+
+
+def firsts_in_last_month(per_key: DataFrame, by: Sequence[str], statuses: Sequence[str]) -> DataFrame:
+    """The same from rows per group and ``_key``: first dates, ``_last`` date in context, whether ``_here``."""
+    if by:
         whole = Window.partitionBy("_key")
         per_key = per_key.withColumns({n: F.min(n).over(whole) for n in statuses})
     events = F.array(
@@ -290,18 +295,18 @@ def first_in_current_month(
     )
     monthly = (
         per_key.filter("_here")
-        .select(*ctx.by, "_last", F.inline(events))
-        .groupBy(*ctx.by, "_status", "_month")
+        .select(*by, "_last", F.inline(events))
+        .groupBy(*by, "_status", "_month")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_last").alias("_last"))
     )
     label = F.concat_ws(" ", F.col("_status"), F.col("_month").cast("string"))
     counted = F.when(F.col("_month").isNotNull(), F.struct(label, "_n"))
-    months = monthly.groupBy(*ctx.by).agg(
+    months = monthly.groupBy(*by).agg(
         F.max("_last").alias("_last"), F.map_from_entries(F.collect_list(counted)).alias("_counts")
     )
     current = F.trunc(F.col("_last"), "month").cast("string")
     return months.select(
-        *ctx.by, *[F.col("_counts")[F.concat_ws(" ", F.lit(n), current)].alias(n) for n in statuses]
+        *by, *[F.col("_counts")[F.concat_ws(" ", F.lit(n), current)].alias(n) for n in statuses]
     )
 
 

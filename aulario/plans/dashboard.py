@@ -440,22 +440,23 @@ impact_extra = _impact("extra", (3, 4), "_extra")
 
 
 def _slicer(table: str, cuts: tuple[int, int], suffix: str):
-    a, b = cuts
-
     def build(t: Tables, ctx: FilterContext, s: Settings) -> DataFrame:
-        names = {"impactados": "impacted", "activos": "active", "inactivos": "inactive"}
-        rows = {
-            K.SLICER_ROWS[k]: [f"{m}{suffix}_cut{a}", f"{m}{suffix}_cut{b}"] for k, m in names.items()
-        }
-        source = _impact(table, cuts, suffix)(t, ctx, s)
-        out = M.pick_by_slicer(source, ctx, rows, [f"value_cut{a}", f"value_cut{b}"])
-        if s.slicer_row is not None:
-            out = out.filter(F.col("fila") == s.slicer_row)
-        return out.withColumn(f"change_{a}{b}", change(F.col(f"value_cut{a}"), F.col(f"value_cut{b}")))
+        return slicer_rows(_impact(table, cuts, suffix)(t, ctx, s), ctx, s, cuts, suffix)
 
     return build
 
 
+def slicer_rows(impact: DataFrame, ctx: FilterContext, s: Settings, cuts: tuple[int, int], suffix: str) -> DataFrame:
+    """Impact measures under the labels of the slicer, with the change between the cuts."""
+    a, b = cuts
+    names = {"impactados": "impacted", "activos": "active", "inactivos": "inactive"}
+    rows = {K.SLICER_ROWS[k]: [f"{m}{suffix}_cut{a}", f"{m}{suffix}_cut{b}"] for k, m in names.items()}
+    out = M.pick_by_slicer(impact, ctx, rows, [f"value_cut{a}", f"value_cut{b}"])
+    if s.slicer_row is not None:
+        out = out.filter(F.col("fila") == s.slicer_row)
+    return out.withColumn(f"change_{a}{b}", change(F.col(f"value_cut{a}"), F.col(f"value_cut{b}")))
+
+
 slicer_regular = _slicer("attendance", (1, 2), "")
 slicer_extra = _slicer("extra", (3, 4), "_extra")
 
@@ -617,23 +618,24 @@ def evaluate(
     for number in numbers:
         block, _ = MEASURES[number]
         chosen.setdefault(id(block), (block, []))[1].append(number)
-    frames = []
-    for block, wanted in chosen.values():
-        built = block.build(tables, ctx, settings)
-        names = set(block.measures.values())
-        groups = [c for c in built.columns if c not in names and c in (*ctx.by, *block.own)]
-        lines = F.array(
-            *[
-                F.struct(
-                    F.lit(n).alias("number"),
-                    F.lit(block.measures[n]).alias("measure"),
-                    F.col(block.measures[n]).cast("string").alias("value"),
-                )
-                for n in wanted
-            ]
-        )
-        frames.append(built.select(*groups, F.inline(lines)))
-    return union_aligned(frames)
+    return union_aligned([in_long_form(b, b.build(tables, ctx, settings), wanted, ctx) for b, wanted in chosen.values()])
+
+
+def in_long_form(block: Block, built: DataFrame, wanted: Sequence[str], ctx: FilterContext) -> DataFrame:
+    """A block's wanted measures as rows: group columns, number, measure, value."""
+    names = set(block.measures.values())
+    groups = [c for c in built.columns if c not in names and c in (*ctx.by, *block.own)]
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("number"),
+                F.lit(block.measures[n]).alias("measure"),
+                F.col(block.measures[n]).cast("string").alias("value"),
+            )
+            for n in wanted
+        ]
+    )
+    return built.select(*groups, F.inline(lines))
 
 
 def kpi_report(tables: Tables, settings: Settings | None = None) -> DataFrame:

@@ -22,8 +22,8 @@ class LoadSpec:
     """How one entity is prepared.
 
     ``rule_names`` derives field names from form questions; ``overrides`` are its exceptions.
-    ``names`` renames single columns, ``synonyms`` merges alternative headings, and every
-    remaining column gets the suffix. ``only`` limits the result to the named fields.
+    ``names`` renames single columns, ``synonyms`` merges alternative headings, ``merged`` those that match a
+    pattern, and every remaining column gets the suffix. ``only`` limits the result to the named fields.
     """
 
     dates: Sequence[str] = ()
@@ -36,6 +36,7 @@ class LoadSpec:
     names: Mapping[str, str] = field(default_factory=dict)
     rule_names: bool = False
     overrides: Mapping[str, str] = field(default_factory=dict)
+    merged: Mapping[str, str] = field(default_factory=dict)
     all_text: bool = False
     clean_centre: Sequence[str] = ()
     only: Sequence[str] = ()
@@ -79,6 +80,10 @@ SPECS: dict[str, LoadSpec] = {
             "N Documento Apoderado": "N_de_documento__c",
             "N Documento Niño": "N_de_documento_1__c",
         },
+        # The question asked a second time, under either of the headings that readers give it.
+        merged={
+            "Considero_que_la_cantidad_de_das_que_m_1__c": r"^Considero que la cantidad de días que mi\(s\) hijo\(s\).*(\.1|\s2)$",
+        },
     ),
     "social_record": LoadSpec(
         dates=("Marca temporal", "Fecha de nacimiento", "Fecha de nacimiento.1"),
@@ -154,6 +159,8 @@ def prepare_load(df: DataFrame, entity: str, spec: LoadSpec | None = None) -> Da
         columns.append(value.alias(c))
     df = df.select(*columns)
     df = rename_synonyms(df, spec.synonyms)
+    matching = {target: [c for c in df.columns if re.search(pattern, c)] for target, pattern in spec.merged.items()}
+    df = rename_synonyms(df, matching)
     if spec.rule_names:
         names = api_names(df.columns, overrides=spec.overrides)
         df = df.toDF(*[names[c] for c in df.columns])

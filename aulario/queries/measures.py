@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from aulario.operators import bitmaps
 from aulario.operators import measures as M
 from aulario.operators.joins import join_lookup
 from aulario.operators.measures import FilterContext
 from aulario.plans import dashboard as D
 from aulario.plans.dashboard import Settings
+from aulario.plans.page import evaluate_page
 from aulario.queries.register import Registry, cte, fact, table
 
 REGISTRY = Registry()
@@ -739,6 +741,93 @@ def dashboard_long(spark, sf):
     return D.evaluate(["1.2", "2.4", "6.1", "7.10"], {"extra": fact(spark, sf, "extra")}, BY_CENTRE, CUTS)
 
 
+def _long_sql(table: str, *lines: tuple[str, str, str]) -> str:
+    """Long form of measures per centre: number, name, expression."""
+    return " UNION ALL ".join(
+        f"""SELECT CENTRO__c, '{number}' AS "number", '{name}' AS measure, cast({value} AS string) AS value FROM {table} GROUP BY 1"""
+        for number, name, value in lines
+    )
+
+
+def _children_sql(status: str, cut: str = "TRUE") -> str:
+    return f"count(DISTINCT CASE WHEN TIPO_ALUMNO__c IN ({status}) AND {cut} THEN DNI__c END)"
+
+
+@query(
+    cte("attendance", "extra")
+    + _long_sql(
+        "attendance",
+        ("1.1", "attendances", "nullif(count(*) FILTER (WHERE ASISTENCIA__c = 'A'), 0)"),
+        ("1.4", "attended_cut2", "nullif(count(*) FILTER (WHERE ASISTENCIA__c = 'A' AND FECHA__c <= DATE '2024-01-20'), 0)"),
+        ("1.11", "class_days", "nullif(count(DISTINCT FECHA__c), 0)"),
+        ("2.1", "children_total", _children_sql("'ACTIVO', 'INACTIVO'")),
+        ("2.3", "inactive_children", f"nullif({_children_sql("'INACTIVO'")}, 0)"),
+        ("7.6", "impacted_cut2", f"nullif({_children_sql("'ACTIVO', 'INACTIVO'", "FECHA__c <= DATE '2024-01-20'")}, 0)"),
+    )
+    + " UNION ALL "
+    + _long_sql(
+        "extra",
+        ("1.2", "extra_attendances", "nullif(count(*) FILTER (WHERE ASISTENCIA__c = 'A'), 0)"),
+        ("2.4", "extra_children_total", _children_sql("'ACTIVO', 'INACTIVO'")),
+        ("6.1", "extra_workshops", "nullif(count(DISTINCT FECHA__c), 0)"),
+        ("7.10", "active_extra_cut4", f"nullif({_children_sql("'ACTIVO'", "FECHA__c <= DATE '1999-06-30'")}, 0)"),
+    )
+)
+def page_long(spark, sf):
+    """A page of ten measures, with one scan of each of its two tables."""
+    numbers = ["1.1", "1.4", "1.11", "2.1", "2.3", "7.6", "1.2", "2.4", "6.1", "7.10"]
+    return evaluate_page(numbers, {t: fact(spark, sf, t) for t in ("attendance", "extra")}, BY_CENTRE, CUTS)
+
+
+def _child_bits(spark, sf, condition: str = "true", numbers=None):
+    """Stored bits of the children per centre, day and status."""
+    df = fact(spark, sf, "attendance").filter(condition)
+    numbers = bitmaps.number_keys(fact(spark, sf, "attendance"), "DNI__c", ["CENTRO__c"]) if numbers is None else numbers
+    dims = {"CENTRO__c": F.col("CENTRO__c"), "dia": F.col("FECHA__c"), "estado": F.col("TIPO_ALUMNO__c")}
+    return bitmaps.key_bitmaps(df, "DNI__c", dims, numbers)
+
+
+@query(
+    cte("attendance")
+    + f"""SELECT CENTRO__c, count(DISTINCT DNI__c) AS todos, {_children_sql("'ACTIVO'")} AS activos,
+      {_children_sql("'ACTIVO', 'INACTIVO'", "FECHA__c <= DATE '2024-01-10'")} AS corte_1,
+      {_children_sql("'ACTIVO', 'INACTIVO'", "FECHA__c <= DATE '2024-01-20'")} AS corte_2 FROM attendance GROUP BY 1"""
+)
+def bitmap_children_to_cuts(spark, sf):
+    """Distinct children per centre, by status and up to two dates, from stored bits."""
+    known = F.col("estado").isin("ACTIVO", "INACTIVO")
+    day = F.col("dia")
+    return bitmaps.count_keys(
+        _child_bits(spark, sf),
+        ["CENTRO__c"],
+        todos=F.lit(True),
+        activos=F.col("estado") == "ACTIVO",
+        corte_1=known & (day <= dt.date(2024, 1, 10)),
+        corte_2=known & (day <= dt.date(2024, 1, 20)),
+    )
+
+
+@query(
+    cte("attendance")
+    + """SELECT date_trunc('month', FECHA__c)::DATE AS mes, TIPO_ALUMNO__c AS estado, count(DISTINCT DNI__c) AS todos
+    FROM attendance GROUP BY 1, 2"""
+)
+def bitmap_children_by_month(spark, sf):
+    """Distinct children per month and status, united from bits stored per day and centre."""
+    store = _child_bits(spark, sf).withColumn("mes", F.trunc("dia", "month").cast("date"))
+    return bitmaps.count_keys(store, ["mes", "estado"], todos=F.lit(True))
+
+
+@query(cte("attendance") + f"""SELECT count(DISTINCT DNI__c) AS todos, {_children_sql("'INACTIVO'")} AS inactivos FROM attendance""")
+def bitmap_two_loads(spark, sf):
+    """Totals over two loads stored apart and united; neither load is read for the counts."""
+    numbers = bitmaps.number_keys(fact(spark, sf, "attendance"), "DNI__c")
+    early = "FECHA__c < date'2024-01-15'"
+    loads = [_child_bits(spark, sf, c, numbers) for c in (early, f"not ({early})")]
+    store = bitmaps.united(loads, ["CENTRO__c", "dia", "estado"])
+    return bitmaps.count_keys(store, todos=F.lit(True), inactivos=F.col("estado") == "INACTIVO")
+
+
 @query(
     cte("attendance", "grades", "skills")
     + """, c AS (SELECT count(DISTINCT CASE WHEN TIPO_ALUMNO__c IN ('ACTIVO', 'INACTIVO') THEN DNI__c END) AS t,
