@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -100,6 +100,14 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+# What empties the other memories that operators keep in a worker between tasks.
+MEMORIES: list[Callable[[], None]] = []
+
+
+def drop_memos() -> None:
+    """Empty what other operators remember in this worker, which may have worked for them before."""
+    for empty in MEMORIES:
+        empty()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

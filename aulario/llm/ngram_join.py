@@ -6,13 +6,12 @@ t (a + b) / (1 + t) n-grams, and then they share one among the first n - ceil(t
 either, in any order of the n-grams that is the same for all sets. So the product is taken
 over those leading columns alone, and full overlaps only for pairs that the bounds let pass.
 
-1. One pass over the texts gives each document's set size, set identity and lowest n-gram
-   hashes (all below ``LOW`` of the hash range, and as many more as its prefix needs). Documents
+1. A first pass counts, in a table of fixed size, how many texts hold an n-gram of each hashed bucket.
+   The order of the columns puts n-grams of light buckets first, then goes by hash. A text that differs much from a large
+   group of near copies so leads with what is its own, and meets none of them.
+2. A second pass gives each document's set size, set identity and leading n-grams. Documents
    with equal sets are one row of the matrix from here on.
-2. Columns are counted. The order puts rare columns with low hashes first, frequent ones with low
-   hashes next, all others last; within each, by hash. A passage that thousands of texts share
-   so leaves the prefixes of all texts that have enough else.
-3. Prefix entries in columns of two or more rows are kept: ``token, sig, n, pos``.
+3. Entries in columns of two or more rows are kept: ``token, sig, n, pos``, with the column's number of rows.
 4. The product of a column runs in blocks of growing size: rows in block order are multiplied with all
    later rows. Pairs are discarded by set sizes and by what is left after ``pos``, and pairs
    already in one component are skipped, so a dense group of m near copies costs about m products
@@ -33,15 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aulario.llm.common import batch, shingles, small_batches, staged, text_bytes
+from aulario.llm.common import batch, drop_memos, shingles, small_batches, staged, text_bytes
 from aulario.llm.components import connected_components
 
-# Share of the hash range in which columns are counted and ordered by frequency.
-LOW = 0.3
-# Columns with more entries than this are frequent.
-FREQUENT = 32
-# Frequent columns, and ids of texts to fetch, that are sent to all executors (8 bytes each);
-# beyond it they are joined.
+# Counters of the order of columns; a task gives a row for each that it uses.
+COUNTERS = 1 << 18
+# Ids of texts to fetch that are sent to all executors (8 bytes each); beyond it they are joined.
 BROADCAST = 1_000_000
 FIRST_BLOCK = 8
 BLOCK_GROWTH = 8
@@ -49,9 +45,8 @@ BLOCK_GROWTH = 8
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("th", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("low", pa.list_(pa.int64()))]
 )
-_PREFIX = pa.schema([("token", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 _FULL = pa.schema([("sig", pa.int64()), ("tokens", pa.list_(pa.int64()))])
-_EDGE = np.uint64(int(LOW * 2**64))
+_COUNTED = pa.schema([("counter", pa.int64()), ("n", pa.int64())])
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -69,10 +64,33 @@ def _signature(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
-def _document_sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """``doc_id, th, sig, n, low``; ``th`` is a hash of the text, ``sig`` is null for texts without words."""
+def column_order(docs: DataFrame, words: int, counters: int = COUNTERS) -> np.ndarray:
+    """How many texts hold an n-gram of each counter; texts repeated within a task count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos()
+        total, seen = np.zeros(counters, np.int64), set()
+        for incoming in batches:
+            for th, data in zip(incoming.column(0).to_pylist(), incoming.column(1).to_pylist()):
+                if th not in seen:
+                    seen.add(th)
+                    total[(shingles(data, words) % np.uint64(counters)).astype(np.int64)] += 1  # once per text
+        used = np.flatnonzero(total)
+        for i in range(0, len(used), 65536):
+            yield batch(_COUNTED, [used[i : i + 65536], total[used[i : i + 65536]]])
+
+    texts = docs.select(F.xxhash64(text_bytes()).alias("th"), text_bytes().alias("text"))
+    found = texts.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(counters, np.int64)  # at most ``counters`` rows reach the driver
+    out[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _document_sets(docs: DataFrame, order: np.ndarray, percent: int, words: int) -> DataFrame:
+    """``doc_id, th, sig, n, low``: ``th`` is a hash of the text, ``sig`` is null for texts without words, ``low`` leads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos()
         for incoming in batches:
             sigs, sizes, lows = [], [], []
             for data in incoming.column(2).to_pylist():
@@ -80,8 +98,9 @@ def _document_sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
                 n = len(tokens)
                 sizes.append(n)
                 sigs.append(_signature(tokens) if n else None)
-                low = max(int(np.searchsorted(tokens, _EDGE)), prefix_length(n, percent)) if n else 0
-                lows.append(tokens[:low])
+                weight = order[(tokens % np.uint64(len(order))).astype(np.int64)]
+                # Tokens are sorted, so a stable sort breaks ties by hash.
+                lows.append(tokens[np.argsort(weight, kind="stable")[: prefix_length(n, percent)]] if n else tokens)
             yield batch(_SETS, [incoming.column(0), incoming.column(1), sigs, sizes, _lists(lows)])
 
     return docs.select(
@@ -89,50 +108,6 @@ def _document_sets(docs: DataFrame, percent: int, words: int) -> DataFrame:
     ).mapInArrow(run, "doc_id long, th long, sig long, n long, low array<long>")
 
 
-def _prefixes(sets: DataFrame, frequent: DataFrame, percent: int, broadcast: int) -> DataFrame:
-    """Leading entries of every row of the matrix: ``token, sig, n, pos``."""
-    if frequent.count() <= broadcast:
-        known = np.sort(np.array([r[0] for r in frequent.collect()], np.int64))
-        source = sets.select("sig", "n", "low", F.lit(None).cast("array<bigint>").alias("freq"))
-    else:
-        known = None
-        marked = sets.select("sig", F.explode("low").alias("token")).distinct().join(frequent, "token")
-        marked = marked.groupBy("sig").agg(F.collect_set("token").alias("freq"))
-        source = sets.select("sig", "n", "low").join(marked, "sig", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # equal sets of this task give their entries once
-        for incoming in batches:
-            sigs, sizes, lows, freqs = (incoming.column(i) for i in range(4))
-            flat = lows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum(np.array(lows.value_lengths().fill_null(0), np.int64))
-            if known is not None:
-                at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
-                rare = known[at] != flat if len(known) else np.ones(len(flat), bool)
-            parts: list[list[np.ndarray]] = [[], [], [], []]
-            for i, (sig, n) in enumerate(zip(sigs.to_pylist(), sizes.to_pylist())):
-                if sig in seen:
-                    continue
-                seen.add(sig)
-                begin = ends[i - 1] if i else 0
-                tokens = flat[begin : ends[i]]
-                if known is not None:
-                    uncommon = rare[begin : ends[i]]
-                else:
-                    uncommon = ~np.isin(tokens, np.array(freqs[i].as_py() or [], np.int64))
-                inside = tokens.view(np.uint64) < _EDGE
-                order = np.argsort(np.where(inside, np.where(uncommon, 0, 1), 2), kind="stable")
-                k = prefix_length(n, percent)
-                parts[0].append(tokens[order[:k]])
-                parts[1].append(np.full(k, sig, np.int64))
-                parts[2].append(np.full(k, n, np.int32))
-                parts[3].append(np.arange(k, dtype=np.int32))
-            if parts[0]:
-                yield batch(_PREFIX, [np.concatenate(p) for p in parts])
-
-    return source.filter("sig is not null").mapInArrow(run, "token long, sig long, n int, pos int")
-
-
 def _full_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, words: int, broadcast: int) -> DataFrame:
     """(sig, tokens) of the wanted sets, from one text each (or more where a ``doc_id`` is repeated)."""
     ids = staged(sets.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "ids")
@@ -201,7 +176,7 @@ def jaccard_components(
     docs: DataFrame,
     percent: int = 80,
     words: int = 5,
-    frequent: int = FREQUENT,
+    counters: int = COUNTERS,
     first_block: int = FIRST_BLOCK,
     broadcast: int = BROADCAST,
 ) -> DataFrame:
@@ -216,15 +191,11 @@ def jaccard_components(
     N-grams are 64-bit hashes and sets are known by a 64-bit hash of theirs.
     """
     small_batches(docs.sparkSession)
-    sets = staged(_document_sets(docs, percent, words), "sets")
-    counts = staged(
-        sets.select(F.explode("low").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"),
-        "columns",
-    )
-    often = counts.filter(F.col("c") > frequent).select("token")
-    entries = _prefixes(sets, often, percent, broadcast).join(counts.select("token"), "token", "left_semi")
-    entries = staged(entries.distinct(), "entries")
-    sizes = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    order = column_order(docs, words, counters)
+    sets = staged(_document_sets(docs, order, percent, words), "sets")
+    matrix = sets.filter("sig is not null").groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("low").alias("low"))
+    entries = staged(matrix, "matrix").select("sig", "n", F.posexplode("low").alias("pos", "token"))
+    sizes = staged(entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "columns")
     unit = F.pmod(F.xxhash64(F.col("sig"), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     rows = staged(
         entries.join(sizes, "token").select("token", "sig", "n", "pos", "m", (unit * F.col("m")).alias("turn")),

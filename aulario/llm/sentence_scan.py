@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aulario.llm.common import MEMO_WORDS, batch, small_batches, staged, text_bytes
+from aulario.llm.common import MEMORIES, MEMO_WORDS, batch, small_batches, staged, text_bytes
 
 SPACE = "▁"
 CHUNK = 16_384
@@ -233,6 +233,7 @@ class Vocabulary:
 
 
 _LOADED: dict[str, Vocabulary] = {}
+MEMORIES.append(_LOADED.clear)
 
 
 def vocabulary(path: str) -> Vocabulary:

@@ -13,6 +13,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from aulario.llm.common import MEMORIES
+
 # Fixed value: strings of the special tokens of the two vocabularies.
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 # What makes a space an unsafe cut for the byte-level vocabulary: white space other than single
@@ -210,6 +212,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
+MEMORIES.append(_ENCODERS.clear)
 
 
 def encoder(path: str, words: bool) -> Encoder:

@@ -229,14 +229,38 @@ def test_jaccard_components(docs, nothing, pairs):
     assert ngram_join.one_of_each(nothing).count() == 0
 
 
-@pytest.mark.parametrize("frequent, block, broadcast", [(2, 2, 1_000_000), (32, 8, 0)])
-def test_jaccard_blocks_and_paths(spark, frequent, block, broadcast):
-    rows = edited_texts(40, frequent)
+@pytest.mark.parametrize("counters, block, broadcast", [(1, 2, 1_000_000), (1 << 18, 8, 0), (64, 8, 1_000_000)])
+def test_jaccard_blocks_and_paths(spark, counters, block, broadcast):
+    rows = edited_texts(40, block)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = ngram_join.jaccard_components(df, frequent=frequent, first_block=block, broadcast=broadcast)
+    found = ngram_join.jaccard_components(df, counters=counters, first_block=block, broadcast=broadcast)
     assert triples(found) == brute_components(rows)
 
 
+def test_jaccard_group_of_which_half_lies_below_the_bound(spark, monkeypatch):
+    """Copies that differ too much from their group to be linked with it are hardly compared with it either."""
+    rng = random.Random(12)
+    base, rows = sentence(rng, 150).split(), []
+    for i in range(300):
+        words = list(base)
+        for at in rng.sample(range(150), 2 if i % 2 else 40):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    made = []
+    candidates = ngram_join._candidates
+
+    def counted(*args):
+        found = candidates(*args)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = ngram_join.jaccard_components(df)
+    assert triples(found) == brute_components(rows)
+    assert sum(made) <= 20 * len(rows)  # all pairs would be 44,850, those of the half that is linked 11,175
+
+
 def test_one_of_each(docs, pairs):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
