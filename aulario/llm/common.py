@@ -34,8 +34,8 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small in this session: texts may be long.
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Keep Arrow batches small in this session, of about ``size`` bytes: texts may be long.
 
     Python workers of a local session also learn where this package lies; on a cluster it is
     deployed with the job.
@@ -47,7 +47,7 @@ def small_batches(spark: SparkSession) -> None:
         if root not in paths:
             context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -100,14 +100,15 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
-# What empties the other memories that operators keep in a worker between tasks.
-MEMORIES: list[Callable[[], None]] = []
+# What operators remember in a worker between tasks, and how it is emptied.
+MEMORIES: dict[str, Callable[[], None]] = {"hashes": _HASHES.clear}
 
 
-def drop_memos() -> None:
+def drop_memos(keep: str = "") -> None:
     """Empty what other operators remember in this worker, which may have worked for them before."""
-    for empty in MEMORIES:
-        empty()
+    for name, empty in MEMORIES.items():
+        if name != keep:
+            empty()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

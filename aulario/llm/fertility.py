@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulario.llm.common import small_batches, text_bytes
+from aulario.llm.common import drop_memos, small_batches, text_bytes
 
 _SYMBOLS = b"#*$%&|<>"
 _OTHERS = bytes(i for i in range(256) if i not in _SYMBOLS)
@@ -146,6 +146,7 @@ def quality_rules(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
+        drop_memos()
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
         for incoming in batches:

@@ -40,6 +40,8 @@ COUNTERS = 1 << 18
 # Ids of texts to fetch that are sent to all executors (8 bytes each); beyond it they are joined.
 BROADCAST = 1_000_000
 FIRST_BLOCK = 8
+# Text handed to a worker at once; its n-grams take some ten times as much.
+_BATCH = 4 << 20
 BLOCK_GROWTH = 8
 
 _SETS = pa.schema(
@@ -68,7 +70,7 @@ def column_order(docs: DataFrame, words: int, counters: int = COUNTERS) -> np.nd
     """How many texts hold an n-gram of each counter; texts repeated within a task count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_memos()
+        drop_memos(keep="hashes")
         total, seen = np.zeros(counters, np.int64), set()
         for incoming in batches:
             for th, data in zip(incoming.column(0).to_pylist(), incoming.column(1).to_pylist()):
@@ -90,7 +92,7 @@ def _document_sets(docs: DataFrame, order: np.ndarray, percent: int, words: int)
     """``doc_id, th, sig, n, low``: ``th`` is a hash of the text, ``sig`` is null for texts without words, ``low`` leads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_memos()
+        drop_memos(keep="hashes")
         for incoming in batches:
             sigs, sizes, lows = [], [], []
             for data in incoming.column(2).to_pylist():
@@ -190,7 +192,7 @@ def jaccard_components(
     component (null for texts without n-grams). Other columns are not read.
     N-grams are 64-bit hashes and sets are known by a 64-bit hash of theirs.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, _BATCH)
     order = column_order(docs, words, counters)
     sets = staged(_document_sets(docs, order, percent, words), "sets")
     matrix = sets.filter("sig is not null").groupBy("sig").agg(F.first("n").cast("int").alias("n"), F.first("low").alias("low"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from aulario.llm.common import batch, small_batches, text_bytes
+from aulario.llm.common import batch, drop_memos, small_batches, text_bytes
 from aulario.llm.tokens import encoder
 
 END_ID = 1
@@ -121,6 +121,7 @@ def pack_documents(
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos(keep="encoders")
         encode = encoder(tokenizer_path, words=True).encode_many
         end = np.array([END_ID], np.uint32)
         task = TaskContext.get().partitionId() << 33

@@ -233,7 +233,7 @@ class Vocabulary:
 
 
 _LOADED: dict[str, Vocabulary] = {}
-MEMORIES.append(_LOADED.clear)
+MEMORIES["vocabularies"] = _LOADED.clear
 
 
 def vocabulary(path: str) -> Vocabulary:

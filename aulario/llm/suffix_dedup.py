@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulario.llm.common import batch, mix, small_batches, staged, text_bytes
+from aulario.llm.common import batch, drop_memos, mix, small_batches, staged, text_bytes
 
 # Runs of a bucket that one task refines together; larger buckets are refined by window.
 LARGE = 4096
@@ -206,6 +206,7 @@ def _packed(keyed: DataFrame) -> DataFrame:
     """The rows with their texts compressed, to be exchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos()
         press = zstandard.ZstdCompressor(level=3)
         for incoming in batches:
             doc, th, data, row = (incoming.column(i) for i in range(4))

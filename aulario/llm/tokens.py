@@ -212,7 +212,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
-MEMORIES.append(_ENCODERS.clear)
+MEMORIES["encoders"] = _ENCODERS.clear
 
 
 def encoder(path: str, words: bool) -> Encoder:
