@@ -18,8 +18,9 @@ from aulario.sources.stages import stage_folder
 
 # Bytes of words; text is split at ASCII white space, the complement of [^\x20\x09-\x0D]+.
 _SPACE = b" \t\n\x0b\x0c\r"
-# Words remembered per Python worker. An entry takes some 200 bytes.
+# Words remembered per Python worker, and word hashes. An entry takes some 200 bytes.
 MEMO_WORDS = 400_000
+MEMO_HASHES = 150_000
 # Rows a Python worker is handed at once, so that a batch of long texts fits its memory.
 BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
@@ -92,7 +93,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= MEMO_HASHES:
             self.clear()
         if len(word) <= 64:
             self[word] = value

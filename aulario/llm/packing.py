@@ -28,6 +28,8 @@ from aulario.llm.common import batch, drop_memos, small_batches, text_bytes
 from aulario.llm.tokens import encoder
 
 END_ID = 1
+# Pieces that the encoder remembers: a stage among others leaves them room in the worker.
+_PIECES = 300_000
 _SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -122,7 +124,7 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_memos(keep="encoders")
-        encode = encoder(tokenizer_path, words=True).encode_many
+        encode = encoder(tokenizer_path, words=True, pieces=_PIECES).encode_many
         end = np.array([END_ID], np.uint32)
         task = TaskContext.get().partitionId() << 33
         made = 0

@@ -66,7 +66,8 @@ class Encoder:
     single line feeds; texts with other white space or special tokens are encoded in one call.
     """
 
-    def __init__(self, path: str, words: bool) -> None:
+    def __init__(self, path: str, words: bool, pieces: int | None = None) -> None:
+        self.pieces = MEMO_PIECES if pieces is None else pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -193,18 +194,18 @@ class Encoder:
             waiting.append(parts)
             for i in range(0, len(units), _SLICE):
                 part = units[i : i + _SLICE]
-                if pieces + len(part) > 4 * _SLICE or len(self.memo) + len(part) > MEMO_PIECES + 4 * _SLICE:
+                if pieces + len(part) > 4 * _SLICE or len(self.memo) + len(part) > self.pieces + 4 * _SLICE:
                     # Settle what is open; the text at hand is carried on afterwards.
                     waiting.pop()
                     yield from flush()
                     parts[:] = [self._gather(p) if p.dtype == np.int64 else p for p in parts]
-                    if len(self.memo) > MEMO_PIECES:
+                    if len(self.memo) > self.pieces:
                         self._empty()
                     waiting.append(parts)
                 parts.append(np.fromiter(map(self.memo.__getitem__, part), np.int64, len(part)))
                 pieces += len(part)
         yield from flush()
-        if len(self.memo) > MEMO_PIECES:
+        if len(self.memo) > self.pieces:
             self._empty()
 
     def encode(self, data: bytes) -> np.ndarray:
@@ -215,9 +216,9 @@ _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 MEMORIES["encoders"] = _ENCODERS.clear
 
 
-def encoder(path: str, words: bool) -> Encoder:
-    """The worker's encoder of a vocabulary file."""
+def encoder(path: str, words: bool, pieces: int | None = None) -> Encoder:
+    """The worker's encoder of a vocabulary file, which remembers ``pieces`` pieces."""
     key = (path, words)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, words)
+        _ENCODERS[key] = Encoder(path, words, pieces)
     return _ENCODERS[key]
