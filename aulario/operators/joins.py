@@ -60,16 +60,23 @@ def join_lookup(
 
 
 def join_null_safe(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", spread: bool = True
 ) -> DataFrame:
     """Equi-join in which a null key matches a null key (``inner`` or ``left``).
 
     SQL equality would drop such rows. The right side's key columns are not repeated.
     Duplicate ids fan out; adaptive skew splitting applies, as the condition stays an
     equi-join. Rows with a null key, which may be a large part of a table, are spread: the
-    right side's are repeated once per salt and each of the left side's takes one.
+    right side's are repeated once per salt and each of the left side's takes one. ``spread=False`` leaves
+    that out, for sides that hold few rows per key or none without one.
     """
     keys = list(keys)
+    if not spread:
+        plain = right.select(*[F.col(f"`{c}`").alias(f"_r_{c}") if c in keys else F.col(f"`{c}`") for c in right.columns])
+        matches = F.lit(True)
+        for key in keys:
+            matches = matches & left[key].eqNullSafe(plain[f"_r_{key}"])
+        return left.join(plain, matches, how).drop(*[f"_r_{k}" for k in keys])
 
     def incomplete(df: DataFrame) -> Column:
         found = F.lit(False)

@@ -176,7 +176,7 @@ def mean_rate_over_keys(
 def _with_whole(part: DataFrame, whole: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Attach a total per group (or the single overall total) to the parts."""
     if by:
-        return join_null_safe(part, whole, by, "left")
+        return join_null_safe(part, whole, by, "left", spread=False)
     return part.withColumn(name, whole.select(name).scalar())
 
 

@@ -119,7 +119,7 @@ def backfill(
     below = blocks.withColumn("_below", F.first("_first", ignorenulls=True).over(following)).drop("_first")
     inside = Window.partitionBy(*partition, "_block").orderBy(order).rowsBetween(0, Window.unboundedFollowing)
     return (
-        join_null_safe(blocked, below, [*partition, "_block"], "left")
+        join_null_safe(blocked, below, [*partition, "_block"], "left", spread=False)
         .withColumn(into, F.coalesce(F.first(F.col(column), ignorenulls=True).over(inside), F.col("_below")))
         .drop("_block", "_below")
     )

@@ -32,7 +32,7 @@ REGULAR_ROLES = {
     "names": r"\bnombres?\b",
     "paternal": r"\bapellido\s*paterno\b|\bap[e\. ]*pat(?:erno)?\b|\bpaterno\b",
     "maternal": r"\bapellido\s*materno\b|\bap[e\. ]*mat(?:erno)?\b|\bmaterno\b",
-    "surnames": r"\bapellidos?\b|\bapellidosy?nombres?\b|\bapellidoynombres?\b",
+    "surnames": r"\bapellidos?\b|\bapellidoynombres?\b|\bapellidosy?nombres?\b",
     "single": (
         r"\bapellidos?\s*y\s*nombres?\b|\bnombres?\s*y\s*apellidos?\b|\bnombre\s*y\s*apellid"
         r"|\bnombre\s*completo\b|\balumno\b|\bnombre\b"

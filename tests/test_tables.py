@@ -213,3 +213,17 @@ def test_api_names_follow_the_field_rule():
         "N_DE_DOC_PRESENTADOS__c",
         "YA__c",
     ]
+
+
+def test_null_safe_join_with_and_without_spread(spark):
+    left = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "k string, x int")
+    right = spark.createDataFrame([(None, 10), ("a", 11), ("a", 12)], "k string, y int")
+    want = {
+        "inner": sorted([(None, 1, 10), (None, 2, 10), ("a", 3, 11), ("a", 3, 12)], key=repr),
+        "left": sorted([(None, 1, 10), (None, 2, 10), ("a", 3, 11), ("a", 3, 12), ("b", 4, None)], key=repr),
+    }
+    for how, expected in want.items():
+        for spread in (True, False):
+            assert rows(joins.join_null_safe(left, right, ["k"], how, spread)) == expected
+    plan = joins.join_null_safe(left, right, ["k"], "left", False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "xxhash64" not in plan
