@@ -549,7 +549,7 @@ SQL = {name: sql for name, (_, sql) in queries.REGISTRY.items() if sql}
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     df = queries.REGISTRY[name][0](spark, SF_DIR)
     columns = sorted(df.columns)
