@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aulario.operators import combine, dedup, joins, profile, reshape, schema
+from aulario.operators import combine, dedup, joins, profile, profiles, reshape, schema
 from aulario.plans.hours import with_yearly_hours
 from aulario.queries.register import Registry, table
 from aulario.sources.sinks import load_summary, top_errors
+from aulario.sources.stages import stage
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -72,7 +73,7 @@ def dup_and_null_counts(spark, sf):
     return profile.duplicate_and_null_counts(rows, ["l_partkey", "l_suppkey"], ["flag", "estado"])
 
 
-def _codebook_sql(source: str, columns: dict[str, tuple[str, str, bool]], key: str) -> str:
+def _codebook_sql(source: str, columns: dict[str, tuple[str, str, bool]], key: str, five: bool = False) -> str:
     """Per-column SELECTs: name -> (expression, type name, numeric)."""
     parts = []
     for name, (expression, kind, numeric) in columns.items():
@@ -85,12 +86,16 @@ def _codebook_sql(source: str, columns: dict[str, tuple[str, str, bool]], key: s
             " THEN 'Sí' ELSE 'No' END"
         )
         values = f"list_sort(list(DISTINCT {name}::VARCHAR) FILTER (WHERE {name} IS NOT NULL))"
+        adaptive = (
+            f"CASE WHEN count(DISTINCT {name}) > 50 THEN '(' || count(DISTINCT {name}) || ' valores) Ej: '"
+            f" || array_to_string({values}[1:5], ', ') ELSE coalesce(array_to_string({values}, ', '), '') END"
+        )
+        few = f"coalesce(array_to_string({values}[1:5], ', '), '')"
         parts.append(
             f"""SELECT '{name}' AS variable, '{kind}' AS type, count(*) - count({name}) AS nulls,
             round((count(*) - count({name})) * 100.0 / count(*), 2)::DOUBLE AS null_percent,
             count(DISTINCT {name}) AS distinct_values, {lo} AS minimum, {hi} AS maximum, {verdict} AS duplicates,
-            CASE WHEN count(DISTINCT {name}) > 50 THEN '(' || count(DISTINCT {name}) || ' valores) Ej: '
-              || array_to_string({values}[1:5], ', ') ELSE coalesce(array_to_string({values}, ', '), '') END AS sample
+            {few if five else adaptive} AS sample
             FROM (SELECT {expression} AS {name} FROM {source})"""
         )
     return " UNION ALL ".join(parts)
@@ -136,6 +141,63 @@ def codebook_repeated_key(spark, sf):
     return profile.codebook(df, key="o_custkey", digits=2)
 
 
+_CUSTOMER = {
+    "c_custkey": ("c_custkey", "bigint", True),
+    "c_nationkey": ("c_nationkey", "int", True),
+    "c_acctbal": ("c_acctbal", "double", True),
+    "c_mktsegment": ("nullif(c_mktsegment, 'BUILDING')", "string", False),
+}
+
+
+def _customers(spark, sf):
+    df = table(spark, sf, "customer").select(*_CUSTOMER)
+    return df.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+
+
+@query(f"SELECT * EXCLUDE (minimum, maximum) FROM ({_codebook_sql('customer', _CUSTOMER, 'c_custkey', five=True)})")
+def codebook_five(spark, sf):
+    """Codebook with five sample values and without ranges."""
+    return profile.codebook(_customers(spark, sf), key="c_custkey", digits=2, min_max=False, sample="five")
+
+
+@query(f"SELECT * EXCLUDE (minimum, maximum, duplicates, sample) FROM ({_codebook_sql('customer', _CUSTOMER, '')})")
+def codebook_simple(spark, sf):
+    """Types, nulls and distinct values only."""
+    return profile.codebook(_customers(spark, sf), digits=2, min_max=False, duplicates=False, sample=None)
+
+
+@query(
+    f"""SELECT * EXCLUDE (distinct_values, duplicates, sample), distinct_values AS exact_distinct, true AS distinct_near,
+      CASE WHEN minimum IS NOT NULL THEN true END AS median_near FROM ({_codebook_sql('customer', _CUSTOMER, '')})"""
+)
+def profile_merged(spark, sf):
+    """A codebook united from stored profiles of four parts; estimates are checked against the whole table."""
+    df = _customers(spark, sf)
+    parts = [stage(profiles.file_profile(df.filter(F.col("c_custkey") % 4 == i), f"part {i}"), "profile") for i in range(4)]
+    found = profiles.merged_codebook(parts, digits=2)
+    numbers = [c for c, (_, _, numeric) in _CUSTOMER.items() if numeric]
+    exact = df.agg(
+        *[F.count_distinct(c).alias(c) for c in _CUSTOMER],
+        *[F.percentile(c, F.array(F.lit(0.44), F.lit(0.56))).alias(f"{c}_mid") for c in numbers],
+    )
+    lines = [
+        F.struct(
+            F.lit(c).alias("variable"),
+            F.col(c).alias("exact_distinct"),
+            (F.col(f"{c}_mid") if c in numbers else F.lit(None).cast("array<double>")).alias("_mid"),
+        )
+        for c in _CUSTOMER
+    ]
+    both = found.join(exact.select(F.inline(F.array(*lines))), "variable")
+    near = F.abs(F.col("distinct_values") - F.col("exact_distinct")) <= 0.08 * F.col("exact_distinct")
+    return both.select(
+        *[c for c in found.columns if c not in ("distinct_values", *profiles.QUANTILES)],
+        "exact_distinct",
+        near.alias("distinct_near"),
+        F.when(F.col("minimum").isNotNull(), F.col("median").between(F.col("_mid")[0], F.col("_mid")[1])).alias("median_near"),
+    )
+
+
 # --- joins -------------------------------------------------------------------------------
 
 
