@@ -240,7 +240,7 @@ def load_results(spark, sf):
     return found.select("key", "success", F.array_join("errors", " | ").alias("errores"))
 
 
-@query(f"""SELECT count_if(len(e) = 0) AS inserted, count_if(len(e) > 0) AS failed, count(*) AS total FROM (SELECT {_RULES} AS e FROM customer)""")
+@query(f"""SELECT count(*) FILTER (WHERE len(e) = 0) AS inserted, count(*) FILTER (WHERE len(e) > 0) AS failed, count(*) AS total FROM (SELECT {_RULES} AS e FROM customer)""")
 def load_results_summary(spark, sf):
     """Inserted and failed records of a load."""
     return sinks.load_summary(_checked_load(spark, sf, folder(spark, "load")))
