@@ -127,8 +127,8 @@ def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents; sums over ids and over the characters decoded from them."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentence_scan.encode(table(spark, sf_dir, "documents"), path)
-    return sentence_scan.digests(sentence_scan.decode(encoded, path))
+    parts = sentence_scan.encode_parts(table(spark, sf_dir, "documents"), path)
+    return sentence_scan.digests(*(part if part is None else sentence_scan.decode(part, path) for part in parts))
 
 
 @REGISTRY.query(None)

@@ -516,29 +516,29 @@ def test_toxicity_of_many_rare_insults(spark):
 # ---- SentencePiece
 
 
-def test_sentence_scan(docs, nothing, pairs, monkeypatch):
-    monkeypatch.setattr(sentence_scan, "FAN", 4)
+@pytest.mark.parametrize("chunk", [17, 500, 16_384])
+def test_sentence_scan(docs, nothing, pairs, monkeypatch, chunk):
+    monkeypatch.setattr(sentence_scan, "FAN", 4 if chunk > 17 else 64)
     v = sentence_scan.vocabulary(PIECE)
-    encoded = sentence_scan.decode(sentence_scan.encode(docs, PIECE, giant=2000, chunk=500), PIECE)
+    parts = sentence_scan.encode_parts(docs, PIECE, chunk)
+    decoded = [sentence_scan.decode(part, PIECE) for part in parts if part is not None]
+    assert len(decoded) == 2
     documents = {}
-    for r in encoded.orderBy("chunk").collect():
-        if r.key is None:
-            documents[(r.doc_id, r.text)] = (r.ids, [r.text])
-            continue
-        ids, text = documents.setdefault((r.doc_id, r.key), ([], []))
-        ids += r.ids
-        text.append(r.text)
-    got = sorted((str(k[0]), "".join(t)) for k, (_, t) in documents.items())
-    assert set(got) == {(str(d), t) for d, t in pairs}
-    for ids, text in documents.values():
-        whole = v.encode(v.normalize("".join(text)))
-        scores = {i: s for s, i in v.pieces.values()}
-        if all(i in scores for i in ids):
-            assert sum(scores[i] for i in ids) == whole[0]
+    for part in decoded:
+        for k, r in enumerate(part.orderBy("chunk").collect()):
+            ids, text = documents.setdefault((r.doc_id, k if r.key is None else f"long {r.key}"), ([], []))
+            ids += r.ids
+            text.append(r.text)
+    got = sorted((str(k[0]), "".join(t), i) for k, (i, t) in documents.items())
+    assert got == sorted((str(d), t, v.encode(v.normalize(t))[1]) for d, t in pairs)
     assert sentence_scan.encode(nothing, PIECE).count() == 0
-    sums = sentence_scan.digests(sentence_scan.decode(sentence_scan.encode(docs, PIECE, giant=2000, chunk=500), PIECE)).collect()
-    expected = sorted((d or -1, len(t), str(sum((i + 1) * ord(c) for i, c in enumerate(t)))) for d, t in pairs)
-    assert sorted((r.doc_id or -1, r.n_chars, r.chars_sum) for r in sums) == expected
+    sums = sentence_scan.digests(*decoded).collect()
+
+    def weighted(values):
+        return str(sum((i + 1) * x for i, x in enumerate(values)))
+
+    expected = sorted((d or -1, len(t), weighted(map(ord, t)), len(i), weighted(i)) for (d, t) in pairs for i in [v.encode(v.normalize(t))[1]])
+    assert sorted((r.doc_id or -1, r.n_chars, r.chars_sum, r.n_tokens, r.ids_sum) for r in sums) == expected
 
 
 # ---- queries and pipeline

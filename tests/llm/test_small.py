@@ -171,34 +171,64 @@ def test_paths_are_best_and_decode(vocabulary):
     for _ in range(400):
         text = odd_text(rng, 20).replace("▁", "")
         s = vocabulary.normalize(text)
+        assert s == vocabulary.model.normalize(text)
         score, ids = vocabulary.encode(s)
         assert score == brute_best(vocabulary, s)
         assert vocabulary.decode(ids) == vocabulary.model.decode(ids)
         assert vocabulary.decode(ids) == text.replace("▁", " ")
 
 
-def test_chunks_reach_the_same_sum(vocabulary):
+def test_ids_are_those_of_the_unigram_library(vocabulary):
+    rng = random.Random(10)
+    for _ in range(400):
+        s = vocabulary.normalize(odd_text(rng, 20))[:160]
+        ids = vocabulary.library.encode(s)
+        assert ids == vocabulary.path(s, 0, len(s)) == vocabulary.encode(s)[1]
+
+
+def test_words_are_forgotten_when_there_are_too_many(vocabulary, monkeypatch):
+    monkeypatch.setattr(sentence_scan, "MEMO_UNITS", 50)
+    rng = random.Random(11)
+    for _ in range(60):
+        s = vocabulary.normalize(odd_text(rng, 30) + "x" * rng.choice([0, 200]))
+        assert vocabulary.encode(s)[1] == vocabulary.path(s, 0, len(s))
+
+
+def test_chunks_reach_the_same_ids(vocabulary):
     rng = random.Random(9)
-    for text in [odd_text(rng, 60) * 3 for _ in range(60)] + ["abcde" * 60, "   " * 50, "interesting" * 30]:
+    odd = [odd_text(rng, 60) * 3 for _ in range(60)]
+    same = ["".join(rng.choice(["a", "aa", "e", "i", "n", "in"]) for _ in range(150)) for _ in range(30)]
+    for text in [*odd, *same, "abcde" * 60, "   " * 50, "interesting" * 30, "a" * 300, "漢字かな" * 80, "0" * 90 + "=" * 90]:
         s = vocabulary.normalize(text)
-        for chunk in (17, 40):
+        whole = vocabulary.path(s, 0, len(s))
+        for chunk in (17, 18, 40, 101):
             if not s:
                 continue
             parts = [(s[a : a + chunk + vocabulary.longest - 1], min(chunk, len(s) - a)) for a in range(0, len(s), chunk)]
             matrices = [vocabulary.transfer(p, n) for p, n in parts]
             between = sentence_scan.states(matrices, 0, 0)
-            total, ids, entry = 0.0, [], 0
+            ids, entry = [], 0
             for (p, n), exit_ in zip(parts, between):
-                score, found = vocabulary.encode(p, entry, n + exit_, n)
-                total, ids, entry = total + score, ids + found, exit_
-            assert total == vocabulary.encode(s)[0]
-            assert vocabulary.decode(ids) == text
+                head, words, tail = vocabulary.trace(p, n, entry, exit_)
+                ids += head + vocabulary.encode(words)[1] + tail
+                entry = exit_
+            assert ids == whole
             left, right = matrices[0], matrices[-1]
             for m in matrices[1:]:
                 left = sentence_scan.times(left, m)
             for m in reversed(matrices[:-1]):
                 right = sentence_scan.times(m, right)
-            assert left[0, 0] == right[0, 0] == total
+            total = brute_best(vocabulary, s)
+            assert sentence_scan.full(left)[0][0, 0] == sentence_scan.full(right)[0][0, 0] == total
+            # Products of neighbours in a tree lead to the same states.
+            pairs = [sentence_scan.times(*matrices[i : i + 2]) if i + 1 < len(matrices) else matrices[i] for i in range(0, len(matrices), 2)]
+            assert sentence_scan.states(pairs, 0, 0)[:-1] == between[1:-1:2][: len(pairs) - 1]
+
+
+def test_matrices_survive_their_bytes(vocabulary):
+    for s in ("interesting words in a row", "a" * 40):
+        m = vocabulary.transfer(vocabulary.normalize(s), 20)
+        assert np.array_equal(sentence_scan._matrix(sentence_scan._bytes(m)), m)
 
 
 def test_scan_runs_cover_every_window_once():
