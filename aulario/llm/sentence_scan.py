@@ -22,6 +22,7 @@ segmentation of a unigram model with that vocabulary; characters without a piece
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aulario.llm.common import MEMORIES, batch, drop_memos, small_batches, staged
+from aulario.llm.common import MEMORIES, batch, drop_memos, new_folder, small_batches, staged
 
 SPACE = "▁"
 CHUNK = 4096
@@ -390,15 +391,27 @@ def _chunks(giants: DataFrame, path: str, chunk: int) -> DataFrame:
     return giants.mapInArrow(run, "key long, doc_id long, node long, length long, part string")
 
 
+def _by_node(chunks: DataFrame) -> DataFrame:
+    """Chunks written in buckets by (key, node): those of one text are spread over tasks, and meet their states without a shuffle."""
+    spark = chunks.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"chunks_{uuid.uuid4().hex}"
+    writer = chunks.repartition(buckets, "key", "node").write.bucketBy(buckets, "key", "node").sortBy("key", "node")
+    writer.options(path=new_folder(spark, "chunks"), compression="zstd").saveAsTable(name)
+    stored = spark.table(name)
+    # Only the name goes; the files stay, as the table lies outside the warehouse.
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def _transfers(chunks: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("m", pa.binary())])
         for incoming in batches:
             lengths, strings = incoming.column(2).to_pylist(), incoming.column(3).to_pylist()
-            places = [v.parting(s, n) for s, n in zip(strings, lengths)]
-            middles = v.encode_all(["" if p is None else s[p[0] : p[1]] for s, p in zip(strings, places)])[2]
-            m = [_bytes(v.transfer(s, n, float(x))) for s, n, x in zip(strings, lengths, middles)]
+            # Whole words in the middle are on every path, so their sum decides nothing and is left out.
+            m = [_bytes(v.transfer(s, n, 0.0)) for s, n in zip(strings, lengths)]
             yield batch(schema, [incoming.column(0), incoming.column(1), m])
 
     return chunks.select("key", "node", "length", "part").mapInArrow(run, "key long, node long, m binary")
@@ -471,8 +484,7 @@ def encode_parts(docs: DataFrame, path: str, chunk: int = CHUNK) -> tuple[DataFr
     )
     whole = _whole(texts.filter(F.length("text") <= chunk), path)
     long = texts.filter(F.length("text") > chunk).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
-    # Chunks of one text are spread over the tasks that work out their matrices.
-    chunks = staged(_chunks(long, path, chunk).repartition("key", "node"), "chunks")
+    chunks = _by_node(_chunks(long, path, chunk))
     last = chunks.agg(F.max("node")).first()[0]
     if last is None:
         return whole, None
