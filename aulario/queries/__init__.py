@@ -15,10 +15,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
-    from aulario.queries import carried, columns, entities, files, grids, measures, tables
+    from aulario.queries import carried, columns, entities, files, grids, matching, measures, tables
 
     out: dict[str, tuple[Query, str | None]] = {}
-    for module in (measures, tables, columns, grids, entities, files, carried):
+    for module in (measures, tables, columns, grids, entities, files, carried, matching):
         for name, pair in module.REGISTRY.items():
             if name in out:
                 raise ValueError(f"query {name} registered twice")
