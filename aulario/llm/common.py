@@ -51,6 +51,17 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def one_text_per_id(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``chosen`` (``doc_id`` and more) with ``data``, the text of that document.
+
+    Of an id that several documents share, only the text that is smallest by its bytes counts, so
+    there are no more rows than in ``chosen``, which is small and broadcast. Ids without a document have no row.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy(*chosen.columns).agg(F.min("data").alias("data"))
+    return staged(found, "labelled")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder of the session."""
     return f"{stage_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aulario.llm.common import MEMO_WORDS, batch, small_batches, staged, text_bytes
+from aulario.llm.common import MEMO_WORDS, batch, one_text_per_id, small_batches, text_bytes
 
 # Bounds of the fit: labelled rows, windows of ordinary text, words peculiar to toxic text.
 SAMPLE = 8_000
@@ -196,7 +196,7 @@ def _table(counts: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` labelled rows (those with the lowest id hash) that are not held out."""
+    """Learn from at most ``sample`` labelled rows (those with the lowest id hash) that are not held out, a text per id."""
     small_batches(docs.sparkSession)
     some = (
         labels.filter("doc_id is not null and toxic is not null")
@@ -206,8 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
         .limit(sample)
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
-    learnt = staged(texts.join(F.broadcast(some), "doc_id").select("data", "toxic"), "toxic-sample")
+    learnt = one_text_per_id(docs, some).select("data", "toxic")
     peculiar = _peculiar(learnt)
     plain, bad = _samples(learnt, peculiar)
     ordinary = train(plain, ORDINARY_BYTES) if plain else b""

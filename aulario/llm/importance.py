@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulario.llm.common import batch, mix, small_batches, staged, text_bytes, word_hashes
+from aulario.llm.common import batch, mix, one_text_per_id, small_batches, staged, text_bytes, word_hashes
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000
@@ -153,7 +153,7 @@ def threshold_of_top(scored: DataFrame, column: str, k: int) -> float | None:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` labelled rows (those with the lowest id hash): ``data, quality, held``."""
+    """At most ``size`` labelled rows (those with the lowest id hash), a text per id: ``data, quality, held``."""
     some = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -162,8 +162,7 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
         .limit(size)
     )
     held = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
-    return texts.join(F.broadcast(some), "doc_id").select("data", "quality", held.alias("held"))
+    return one_text_per_id(docs, some).select("data", "quality", held.alias("held"))
 
 
 def edge_of(good: np.ndarray, bad: np.ndarray, keep_share: float = KEEP_SHARE) -> float | None:
@@ -196,7 +195,8 @@ def resample(
 
     ``labels`` has ``doc_id`` and ``quality`` (1 good); at most ``sample`` labelled rows are used, one half of
     the good ones for the target model and the other half, with the bad ones, to set k. Without good rows
-    every text is kept. Texts without n-grams have log importance 0. Equal texts have equal keys,
+    every text is kept. Of several texts with one labelled id the sample takes one. Texts without n-grams have log importance 0,
+    an empty table gives an empty one. Equal texts have equal keys,
     so ties at the k-th place are all kept. Columns travel as one value.
     """
     small_batches(docs.sparkSession)

@@ -1,14 +1,18 @@
 """Training-data operators on small tables with awkward rows, and their queries against brute force."""
 
 import hashlib
+import math
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -461,6 +465,76 @@ def test_resampling_with_wrong_labels(spark):
     assert np.mean(good >= importance.edge_of(good, good)) >= 0.94  # kinds that are alike
 
 
+def plain_buckets(text):
+    """Buckets of words and pairs by whole numbers, a word at a time."""
+    mask = (1 << 64) - 1
+
+    def finish(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return (x ^ (x >> 31)) % importance.BUCKETS
+
+    words = re.findall(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+", (text or "").encode().lower())
+    hashes = [xxhash.xxh3_64_intdigest(w) for w in words]
+    pairs = [finish((a * 0x9E3779B97F4A7C15 + b) & mask) for a, b in zip(hashes, hashes[1:])]
+    return [finish((h + 1) & mask) for h in hashes] + pairs
+
+
+def test_resampling_by_hand(spark, table_rows):
+    """Models, scores, edge and draw of the query, recomputed in plain Python."""
+    drawn = {r.doc_id: r for r in queries.op10_importance_resampling(spark, SF_DIR).collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality is not null").select("doc_id", "quality")
+    held = {r[0]: r[1] for r in labels.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0).collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    raw, target = Counter(), Counter()
+    for doc_id, text in table_rows:
+        raw.update(plain_buckets(text))
+        if quality.get(doc_id) == 1 and not held[doc_id]:
+            target.update(plain_buckets(text))
+    n, total, good = importance.BUCKETS, sum(raw.values()), sum(target.values())
+    weight = n * good / total
+    score = {}
+    for doc_id, text in table_rows:
+        logs = []
+        for b in plain_buckets(text):
+            p = (raw[b] + 1) / (total + n)
+            logs.append(math.log((target[b] + weight * p) / (good + weight) / p))
+        score[doc_id] = sum(logs) / len(logs) if logs else 0.0
+    assert drawn.keys() == score.keys()
+    assert all(drawn[d].log_importance == pytest.approx(s, abs=1e-9) for d, s in score.items())
+    kinds = [[score[d] for d in quality if d in score and held[d] and quality[d] == q] for q in (1, 0)]
+    ordered = sorted(kinds[0] + kinds[1])
+    places = [ordered[0]] + [(a + b) / 2 for a, b in zip(ordered, ordered[1:]) if a < b]
+    gaps = [round(sum(x >= p for x in kinds[0]) / len(kinds[0]) - sum(x >= p for x in kinds[1]) / len(kinds[1]), 9) for p in places]
+    edge = min(places[gaps.index(max(gaps))], float(np.quantile(kinds[0], 0.05)))
+    k = sum(s >= edge for s in score.values())
+    noise = spark.createDataFrame(table_rows, "doc_id long, text string").select(
+        "doc_id", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), F.lit(11))
+    )
+    key = {}
+    for doc_id, value in noise.collect():
+        unit = (((value & ((1 << 64) - 1)) >> 12) + 0.5) / (1 << 52)
+        key[doc_id] = score[doc_id] / 0.002 - math.log(-math.log(unit))
+    least = sorted(key.values(), reverse=True)[k - 1]
+    assert {d for d, r in drawn.items() if r.kept} == {d for d, x in key.items() if x >= least - 1e-6}
+
+
+def test_samples_are_bounded_under_repeated_ids(spark):
+    rows = [(i % 3, f"text {i} of the row", "en") for i in range(300)] + [(1, None, "en"), (9, "alone", "en"), (None, "none", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    marks = [(0, 0, 0), (1, 1, 1), (2, 0, 0), (2, 0, 0), (9, 1, 1), (50, 0, 0), (None, 1, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = importance._sample(df, labels, 100).collect()
+    assert sorted((bytes(r.data), r.quality) for r in found) == [
+        (b"", 1), (b"alone", 1), (b"text 0 of the row", 0), (b"text 101 of the row", 0)
+    ]
+    assert importance._sample(df, labels, 2).count() <= 2
+    model = compression_toxicity.fit(df, labels)
+    scored = compression_toxicity.score(df, model)
+    assert scored.count() == len(rows) and scored.filter("score < 0 or score > 1").count() == 0
+    assert importance.resample(df, labels).count() == len(rows)
+
+
 def test_threshold_by_histogram(spark):
     rng = np.random.default_rng(3)
     values = [float(x) for x in np.r_[rng.normal(size=3000), [7.5] * 50, rng.normal(size=10) * 1e9]]
