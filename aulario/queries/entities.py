@@ -9,6 +9,7 @@ from aulario.operators.combine import union_aligned, union_years
 from aulario.plans import constants as K
 from aulario.plans.attendance import extracurricular_attendance, regular_attendance
 from aulario.plans.curriculum import curriculum_progress
+from aulario.plans import enrolment as enrolment_plans
 from aulario.plans.enrolment import enrolment
 from aulario.plans.experiential import experiential_attendance
 from aulario.plans.forms import enrolment_request, parent_survey, social_record
@@ -223,17 +224,17 @@ def entity_extracurricular_attendance(spark, sf):
 # --- enrolment ---------------------------------------------------------------------------
 
 
-@query(
-    """SELECT c_custkey::VARCHAR AS "N", (c_custkey + 1)::VARCHAR AS "DNI", c_name AS "APELLIDOS Y NOMBRES",
-      CASE c_mktsegment WHEN 'MACHINERY' THEN NULL WHEN 'BUILDING' THEN 'PRIMERO' ELSE c_mktsegment END AS "GRADO",
-      CASE WHEN c_acctbal > 5000 THEN 'FEMENINO' WHEN c_acctbal > 0 THEN 'MASCULINO' END AS "SEXO", 'CENTRO UNICO' AS "CENTRO",
-      CASE WHEN c_acctbal > 8000 THEN 'ACTIVO' WHEN c_acctbal > 3000 THEN 'INACTIVO' END AS "CONDICION ACTUAL",
-      CASE WHEN c_acctbal > 7000 THEN DATE '2025-08-01' WHEN c_acctbal > 4000 THEN DATE '2025-03-04'
-        WHEN c_acctbal > 2000 THEN DATE '2024-09-01' END AS "FECHA DE REGISTRO",
-      CASE WHEN c_nationkey % 3 = 2 THEN '9' || c_custkey END AS "TELEFONO",
-      ['01 A', '02 B', ' 03 C'][c_nationkey % 3 + 1] AS "HOJA_ORIGEN" FROM customer"""
-)
-def entity_enrolment(spark, sf):
+_ENROLMENT = """SELECT c_custkey::VARCHAR AS "N", (c_custkey + 1)::VARCHAR AS "DNI", c_name AS "APELLIDOS Y NOMBRES",
+  CASE c_mktsegment WHEN 'MACHINERY' THEN NULL WHEN 'BUILDING' THEN 'PRIMERO' ELSE c_mktsegment END AS "GRADO",
+  CASE WHEN c_acctbal > 5000 THEN 'FEMENINO' WHEN c_acctbal > 0 THEN 'MASCULINO' END AS "SEXO", 'CENTRO UNICO' AS "CENTRO",
+  CASE WHEN c_acctbal > 8000 THEN 'ACTIVO' WHEN c_acctbal > 3000 THEN 'INACTIVO' END AS "CONDICION ACTUAL",
+  CASE WHEN c_acctbal > 7000 THEN DATE '2025-08-01' WHEN c_acctbal > 4000 THEN DATE '2025-03-04'
+    WHEN c_acctbal > 2000 THEN DATE '2024-09-01' END AS "FECHA DE REGISTRO",
+  CASE WHEN c_nationkey % 3 = 2 THEN '9' || c_custkey END AS "TELEFONO",
+  ['01 A', '02 B', ' 03 C'][c_nationkey % 3 + 1] AS "HOJA_ORIGEN" FROM customer"""
+
+
+def enrolment_cells(spark, sf):
     """Two sheets of the common width (one wording a heading differently) and a wider one."""
     c = table(spark, sf, "customer").withColumn("i", F.col("c_nationkey") % 3)
     sheet = choose(F.col("i"), ["01 A", "02 B", " 03 C"])
@@ -256,7 +257,7 @@ def entity_enrolment(spark, sf):
         10: F.when(F.col("i") == 2, F.concat(F.lit("9"), "c_custkey")),
     }
     repeated = {k: F.lit(v) for k, v in titles.items()} | {3: F.lit("DNI 1")}
-    cells = workbook(
+    return workbook(
         *[
             title_cells(sheets.filter("i = 0"), 4, titles),
             title_cells(sheets.filter("i = 1"), 4, other),
@@ -268,7 +269,25 @@ def entity_enrolment(spark, sf):
             title_cells(sheets, 4, {12: "VACIA"}),
         ]
     )
-    return enrolment(cells, 2025)
+
+
+@query(_ENROLMENT)
+def entity_enrolment(spark, sf):
+    return enrolment(enrolment_cells(spark, sf), 2025)
+
+
+_FIELDS = ["N", "DNI", "APELLIDOS Y NOMBRES", "GRADO", "SEXO", "CENTRO", "CONDICION ACTUAL", "FECHA DE REGISTRO", "TELEFONO"]
+
+
+@query(
+    f"""WITH e AS ({_ENROLMENT}), t AS (SELECT "HOJA_ORIGEN", {", ".join(f'"{c}"::VARCHAR AS "{c}"' for c in _FIELDS)} FROM e)
+    SELECT trim("HOJA_ORIGEN") AS sheet, ("N"::INTEGER + 6)::INTEGER AS fila, u.header, u.value
+    FROM t, LATERAL (VALUES {", ".join(f"('{c}', {chr(34)}{c}{chr(34)})" for c in _FIELDS)}) u(header, value) WHERE u.value IS NOT NULL"""
+)
+def enrolment_records(spark, sf):
+    """The same rows by heading, without a list of headings."""
+    _, records = enrolment_plans.enrolment_records(enrolment_cells(spark, sf), 2025)
+    return records.select(F.trim("sheet").alias("sheet"), F.col("row").alias("fila"), F.explode("fields").alias("header", "value"))
 
 
 # --- grades ------------------------------------------------------------------------------

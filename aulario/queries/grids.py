@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aulario.operators import combine, grid
+from aulario.operators import combine, grid, named
 from aulario.queries.cells import row_cells, single_cells, title_cells
 from aulario.queries.register import Registry, table
 from aulario.sources.readers import sheet_in, sheet_like, sheet_numbered
+from aulario.sources.stages import stage
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -137,6 +138,12 @@ _LAYOUT = """WITH h AS (SELECT DISTINCT lpad(o_custkey::VARCHAR, 9, '0') || o_or
   """
 
 
+def _priority_titles(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
+    sheet = F.concat(F.lpad(F.col("o_custkey").cast("string"), 9, "0"), "o_orderstatus")
+    return single_cells(o, "f", sheet, 4, F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority"))
+
+
 @query(
     _LAYOUT
     + """SELECT 'base' AS grupo, pos, header FROM base
@@ -144,14 +151,29 @@ _LAYOUT = """WITH h AS (SELECT DISTINCT lpad(o_custkey::VARCHAR, 9, '0') || o_or
 )
 def common_layout(spark, sf):
     """One sheet per customer and status; its headings are the priorities of those orders."""
-    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
-    sheet = F.concat(F.lpad(F.col("o_custkey").cast("string"), 9, "0"), "o_orderstatus")
-    cells = single_cells(o, "f", sheet, 4, F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority"))
-    base, extra = grid.common_layout(grid.fixed_header_cells(cells, 4))
+    base, extra = grid.common_layout(grid.fixed_header_cells(_priority_titles(spark, sf), 4))
     rows = [("base", i, h) for i, h in enumerate(base)] + [("extra", i, h) for i, h in enumerate(extra)]
     return spark.createDataFrame(rows, "grupo string, pos bigint, header string")
 
 
+@query(
+    _LAYOUT
+    + """, n AS (SELECT pos, header, true AS base FROM base UNION ALL SELECT (SELECT count(*) FROM base) + row_number() OVER (ORDER BY seen) - 1,
+      header, false FROM x)
+    SELECT pos::BIGINT AS position, header, base, (SELECT count(*) FROM (SELECT h.sheet, coalesce(b.header, h.header) AS header,
+        row_number() OVER (PARTITION BY h.sheet, coalesce(b.header, h.header) ORDER BY h.col) AS n
+      FROM (SELECT h.*, s.width, row_number() OVER (PARTITION BY sheet ORDER BY col) - 1 AS pos FROM h JOIN s USING (sheet)) h
+      LEFT JOIN base b ON h.width = (SELECT width FROM b) AND b.pos = h.pos) r WHERE r.header = n.header AND r.n = 1)::BIGINT AS sheets FROM n"""
+)
+def layout_as_table(spark, sf):
+    """The common layout as a table, and the number of sheets that have each heading under the common names."""
+    names, headers = named.named_layout(stage(grid.fixed_header_cells(_priority_titles(spark, sf), 4), "titles"))
+    counts = headers.groupBy("header").agg(F.count(F.lit(1)).alias("sheets"))
+    return names.join(counts, "header", "left").select(
+        "position", "header", "base", F.coalesce("sheets", F.lit(0)).alias("sheets")
+    )
+
+
 @query(
     """SELECT 'N' || c_nationkey AS sheet, c_custkey::VARCHAR AS "CLAVE", c_name AS "NOMBRE",
       CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS "SEGMENTO", NULL::VARCHAR AS "AUSENTE" FROM customer"""
