@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -117,10 +118,23 @@ MEMORIES: dict[str, Callable[[], None]] = {"hashes": _HASHES.clear}
 
 
 def drop_memos(keep: str = "") -> None:
-    """Empty what other operators remember in this worker, which may have worked for them before."""
+    """Empty what other operators remember in this worker, which may have worked for them before.
+
+    The memory that this and earlier tasks freed goes back to the system: allocators keep it otherwise, and the
+    next stage's JVM work finds it taken.
+    """
     for name, empty in MEMORIES.items():
         if name != keep:
             empty()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aulario.llm.common import batch, mix, one_text_per_id, small_batches, staged, text_bytes, word_hashes
+from aulario.llm.common import batch, drop_memos, mix, one_text_per_id, small_batches, staged, text_bytes, word_hashes
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000
@@ -69,6 +69,7 @@ def _counts(texts: DataFrame) -> np.ndarray:
     """Bucket counts over all texts: a row per task and bucket, summed; the result has a fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos(keep="hashes")
         total = np.zeros(BUCKETS, np.int64)
         for incoming in batches:
             for data in incoming.column(0).to_pylist():
@@ -105,6 +106,7 @@ def with_log_importance(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_memos(keep="hashes")
         for incoming in batches:
             sizes, scores = [], []
             for data in incoming.column(1).to_pylist():

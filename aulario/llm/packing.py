@@ -29,7 +29,7 @@ from aulario.llm.tokens import encoder
 
 END_ID = 1
 # Pieces that the encoder remembers: a stage among others leaves them room in the worker.
-_PIECES = 300_000
+_PIECES = 150_000
 _SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()),
