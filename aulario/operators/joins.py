@@ -42,7 +42,9 @@ def join_lookup(
     Broadcast when the size check passes. Beyond it, both sides are shuffled on the keys plus
     a salt: each lookup row is repeated once per salt and each large row takes one salt, so a
     key holding a large part of the table is spread over that many tasks. A very large lookup
-    is joined on the keys alone, which leaves hot keys to adaptive skew splitting. The lookup
+    is joined on the keys alone, which leaves hot keys to adaptive skew splitting. Both ask for a
+    merge join: Spark guesses the size of the repeated rows from the file, and would broadcast
+    tens of millions of them through the driver where the file is compact. The lookup
     is computed for the check and again for the join, so one that costs more than a scan is
     better written first (see ``stage``).
     """
@@ -51,12 +53,12 @@ def join_lookup(
     if fits_broadcast(small, rows, entries) if count is None else count <= rows:
         return big.join(F.broadcast(small), keys, how)
     if (small.count() if count is None else count) > SALTED_ROWS:
-        return big.join(small, keys, how)
+        return big.join(small.hint("merge"), keys, how)
     # Maps cannot be hashed; any other column that tells rows of one key apart will do.
     others = [c for c, kind in big.dtypes if c not in keys and "map<" not in kind]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*(others or keys)), F.lit(SALTS)))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(spread.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def join_null_safe(

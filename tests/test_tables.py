@@ -122,6 +122,18 @@ def test_lookup_join_same_rows_with_and_without_broadcast(spark, how):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+@pytest.mark.parametrize("salted_rows", [100, 0])
+def test_lookup_beyond_the_bound_is_never_broadcast(spark, monkeypatch, tmp_path, salted_rows):
+    # The file is far below Spark's own threshold, as a compact lookup of a million rows is.
+    monkeypatch.setattr(joins, "SALTED_ROWS", salted_rows)
+    spark.range(40).selectExpr("id as k", "id * 2 as twice").write.parquet(str(tmp_path / "lookup"))
+    big = spark.range(3000).selectExpr("id % 50 as k", "id")
+    out = joins.join_lookup(big, spark.read.parquet(str(tmp_path / "lookup")), ["k"], rows=10)
+    assert out.count() == 2400
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_equivalence_and_value_transfer(spark):
     df = spark.createDataFrame([("M", "C1"), ("M", "C9")], "a string, c string")
     table = spark.createDataFrame([(" M ", "C1 ", "texto "), (None, "C9", "x")], "a string, c string, t string")
