@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Unicode white space plus the four ASCII separators Python also treats as space.
 SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
+_SPACE_OR_SEPARATOR = r"[\p{IsWhite_Space}\x1c-\x1f;]+"
 _SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 _NON_ASCII = r"[^\x00-\x7F]"
 # No character in these common ranges unfolds to several letters: a quick way out.
@@ -105,7 +106,7 @@ def clean_header(c: Column) -> Column:
 def clean_cell(c: Column, separators: bool = True) -> Column:
     """Cell text: control characters (and ``;``) to space, collapsed and trimmed."""
     if separators:
-        c = F.translate(c, "\n\r\t;", "    ")
+        return F.trim(F.regexp_replace(c, _SPACE_OR_SEPARATOR, " "))
     return collapse(c)
 
 

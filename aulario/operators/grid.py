@@ -72,16 +72,15 @@ def header_cells(
 ) -> DataFrame:
     """Heading cells of each sheet: (file, sheet, header_row, col, header).
 
-    Joined on (file, sheet, row), so a sheet with many rows is no hot key. ``max_rows`` repeats
+    The header rows, one per sheet, are written first and their size checked, so that cells of other
+    rows drop out where they lie and are not shuffled. ``max_rows`` repeats
     the bound of the header search, which then reaches the scan of the cells as well.
     """
     if max_rows is not None:
         cells = cells.filter(F.col("row") < max_rows)
-    at = header_rows.select(*SHEET, F.col("header_row").alias("row"))
+    at = stage(header_rows.select(*SHEET, F.col("header_row").alias("row")), "header-rows")
     return (
-        filled(cells)
-        .filter(F.col("col") >= first_col)
-        .join(at, [*SHEET, "row"])
+        join_lookup(filled(cells).filter(F.col("col") >= first_col), at, [*SHEET, "row"])
         .select(*SHEET, F.col("row").alias("header_row"), "col", F.col("value").alias("header"))
     )
 
@@ -312,13 +311,15 @@ def records(cells: DataFrame) -> DataFrame:
 
     The only shuffle of the cells; a row's cells lie together in the input, so most of the
     grouping happens before it. Empty cells are left out while grouping, not by a filter: a
-    filter on a cleaned value would be moved below the cleaning and run it twice.
+    filter on a cleaned value would be moved below the cleaning and run it twice. Spark sorts the
+    cells by the grouping columns; the row number comes first, as it settles most comparisons and file names do not.
     """
     entry = F.when(F.trim("value") != "", F.struct("col", "value"))
     return (
-        cells.groupBy(*SHEET, "row")
+        cells.groupBy("row", *SHEET)
         .agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
         .filter(F.size("cells") > 0)
+        .select(*SHEET, "row", "cells")
     )
 
 

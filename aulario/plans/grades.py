@@ -47,18 +47,22 @@ def equivalences(cells: DataFrame, sheet: str = "Equivalencias Competencias", he
     )
 
 
+def _cleaned(value: Column) -> Column:
+    return null_tokens(clean_cell(value), K.GRADES_NULLS)
+
+
 def _years(cells: DataFrame, titles: DataFrame) -> DataFrame:
     """Programme year per sheet: that of the last LB sheet read, in sheet-list order.
 
     A baseline sheet with the year column sets the year (possibly to nothing); every other
-    sheet inherits it.
+    sheet inherits it. ``cells`` are as read: only those of the year columns are cleaned.
     """
     source = titles.filter((F.col("MOMENTO") == "LB") & (F.col("header") == K.YEAR_HEADING))
     found = (
         join_lookup(cells, source.select(*grid.SHEET, "col", "header_row"), [*grid.SHEET, "col"], "inner")
         .filter(F.col("row") > F.col("header_row"))
         .groupBy(*grid.SHEET)
-        .agg(F.max(largest_year(F.col("value"))).alias("year"))
+        .agg(F.max(largest_year(_cleaned(F.col("value")))).alias("year"))
     )
     sheets = titles.groupBy(*grid.SHEET).agg(
         F.min("position").alias("position"),
@@ -107,7 +111,7 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
     # Several small tables are derived from the headings: they are read from the grid once.
     titles = stage(titles, "titles")
     code = capture_code(F.col("header"))
-    pairs = (
+    columns = (
         titles.withColumn("code", code)
         .filter(F.col("code").isNotNull())
         .groupBy(*grid.SHEET, "code")
@@ -116,9 +120,13 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
             F.sort_array(F.collect_list(F.when(F.col("header").rlike(K.LEVEL_HEADING), F.col("col")))).alias("levels"),
         )
         .filter((F.size("scores") > 0) & (F.size("levels") > 0))
-        .groupBy(*grid.SHEET)
-        .agg(F.sort_array(F.collect_list(F.struct("code", "scores", "levels"))).alias("codes"))
     )
+    # Every score column of a competence meets every level column of it; a sheet's list has an entry at least.
+    def pair(s: Column, v: Column) -> Column:
+        return F.struct(F.col("code").alias("COMPETENCIA"), s.alias("score_col"), v.alias("level_col"))
+
+    of_code = F.flatten(F.transform("scores", lambda s: F.transform("levels", lambda v: pair(s, v))))
+    pairs = columns.groupBy(*grid.SHEET).agg(F.flatten(F.collect_list(of_code)).alias("pairs"))
     percent = F.min(F.when(F.col("header").contains("PORCENTAJE DE PROMEDIO"), F.col("col")))
     shared = titles.groupBy(*grid.SHEET).agg(
         percent.alias("percent_col"),
@@ -130,69 +138,41 @@ def grades(cells: DataFrame, year: int, equivalence: DataFrame | None = None, ma
         .filter(F.col("columns")["DNI"].isNotNull())
         .join(pairs, grid.SHEET)
         .join(shared, grid.SHEET)
-        .join(_years(cells, titles), grid.SHEET, "left")
+        .join(_years(raw, titles), grid.SHEET, "left")
     )
     data = grid.with_layout(cells, layout)
+    first_term = (F.col("ANIO") == year) & (F.col("MOMENTO") == "LB")
+    # What a row has once is read once, before the row becomes one per competence.
     per_row = data.select(
         *grid.SHEET,
-        *[grid.cell(t).alias(t) for t in META],
-        F.col("cells")[F.col("percent_col")].alias("PORCENTAJE_PROMEDIO"),
+        *[grid.cell(t).alias(t) for t in META if t != "TOTAL PREGUNTAS ACERTADAS"],
+        to_number(grid.cell("TOTAL PREGUNTAS ACERTADAS")).alias("TOTAL PREGUNTAS ACERTADAS"),
+        percent_to_double(F.col("cells")[F.col("percent_col")]).alias("PORCENTAJE_PROMEDIO"),
         grid.cell("NIVEL DE LOGRO").alias("NIVEL_LOGRO_GENERAL"),
         "MOMENTO",
         "AREA_EVALUACION",
-        "ANIO",
-        "codes",
-        "cells",
+        F.col("ANIO").cast("double").alias("ANIO"),
+        F.when(first_term, f"{year}-I").otherwise(f"{year}-II").alias("EVALUACION"),
+        "pairs",
+        "row",
+        F.col("cells").alias("scores"),
+        F.col("cells").alias("levels"),
     )
-    def values(name: str, columns: str) -> Column:
-        """One entry per column of a kind and competence."""
-        return F.flatten(
-            F.transform(
-                "codes",
-                lambda p: F.transform(
-                    p[columns], lambda c: F.struct(p["code"].alias("COMPETENCIA"), F.col("cells")[c].alias(name))
-                ),
-            )
-        )
-
-    if match == "row":
-        # Every score column of a competence meets every level column of it.
-        pairs_of_row = F.flatten(
-            F.transform(
-                "codes",
-                lambda p: F.flatten(
-                    F.transform(
-                        p["scores"],
-                        lambda s: F.transform(
-                            p["levels"],
-                            lambda v: F.struct(
-                                p["code"].alias("COMPETENCIA"),
-                                F.col("cells")[s].alias("VALOR_PROMEDIO"),
-                                F.col("cells")[v].alias("VALOR_LOGRO"),
-                            ),
-                        ),
-                    )
-                ),
-            )
-        )
-        meta = [c for c in per_row.columns if c not in ("codes", "cells")]
-        once = per_row.select(*meta, pairs_of_row.alias("_pairs"))
-        long = once.select(*[F.col(f"`{c}`") for c in meta], F.inline("_pairs"))
-    else:
+    meta = [c for c in per_row.columns if c not in ("pairs", "row", "scores", "levels")]
+    if match == "id":
+        # Whole records are matched, before they become a row per competence: the same rows from a fraction of the shuffle.
         keys = [*grid.SHEET, "DNI"]
-        scores = per_row.select(*keys, F.inline(values("VALOR_PROMEDIO", "scores")))
-        levels = per_row.select(*keys, F.inline(values("VALOR_LOGRO", "levels")))
-        both = join_null_safe(scores, levels, [*keys, "COMPETENCIA"], "inner")
-        long = join_null_safe(both, per_row.drop("codes", "cells"), keys, "left")
+        written = stage(per_row, "grade-records")
+        both = join_null_safe(written.select(*keys, "row", "scores"), written.select(*keys, "levels"), keys, "inner")
+        per_row = join_null_safe(both, written.drop("row", "scores", "levels"), keys, "left")
+    # The cells are read after a row's pairs are unrolled: an array of them would be computed by interpreted lambdas, and
+    # the inner form of inline would compute it again to test its size.
+    long = per_row.select(*[F.col(f"`{c}`") for c in meta], "scores", "levels", F.inline_outer("pairs")).select(
+        *[F.col(f"`{c}`") for c in meta],
+        "COMPETENCIA",
+        F.col("scores")[F.col("score_col")].alias("VALOR_PROMEDIO"),
+        F.col("levels")[F.col("level_col")].alias("VALOR_LOGRO"),
+    )
 
     long = with_equivalence(long, equivalence, ["AREA_EVALUACION", "COMPETENCIA"])
-    first_term = (F.col("ANIO") == year) & (F.col("MOMENTO") == "LB")
-    long = long.withColumn("EVALUACION", F.when(first_term, f"{year}-I").otherwise(f"{year}-II")).withColumns(
-        {
-            "VALOR_PROMEDIO": to_number(F.col("VALOR_PROMEDIO")),
-            "TOTAL PREGUNTAS ACERTADAS": to_number(F.col("TOTAL PREGUNTAS ACERTADAS")),
-            "PORCENTAJE_PROMEDIO": percent_to_double(F.col("PORCENTAJE_PROMEDIO")),
-            "ANIO": F.col("ANIO").cast("double"),
-        }
-    )
-    return project(long, LAYOUT)
+    return project(long.withColumn("VALOR_PROMEDIO", to_number(F.col("VALOR_PROMEDIO"))), LAYOUT)

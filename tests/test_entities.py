@@ -123,6 +123,20 @@ def test_every_score_and_level_column_of_a_competence(spark, match):
     )
 
 
+@pytest.mark.parametrize("match", ["row", "id"])
+def test_grades_read_a_cell_once_and_match_whole_records(spark, tmp_path, match):
+    head = ["DNI", "PERMANENCIA", *[t for c in range(1, 8) for t in (f"PROMEDIO C{c}", f"NIVEL DE LOGRO C{c}")]]
+    lines = [[str(i), "2025", *(["10", "A;  B"] * 7)] for i in range(30)]
+    sheet(spark, [head, *lines], "LB_Matemática").write.parquet(str(tmp_path / "cells"))
+    texts = spark.createDataFrame([("Matemática", "C1", "t")], "AREA_EVALUACION string, COMPETENCIA string, COMPETENCIA_TEXTO string")
+    got = grades(spark.read.parquet(str(tmp_path / "cells")), 2025, texts, match=match)
+    assert got.count() == 210 and rows(got.select("Valor_alcanzado__c").distinct()) == [("A B",)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # No array of cells, nor a filter on its size; joins by id lie below the one step that unrolls.
+    assert "transform(" not in plan and plan.count("Generate inline") == 1
+    assert "_l_salt" not in plan.split("Generate inline")[0]
+
+
 def test_regular_attendance_drops_unused_columns_of_the_range(spark):
     head = ["DNI", "NOMBRES", "2025-03-03", "2025-03-04", "2025-12-01", "E", "", "R", "%"]
     lines = [[None]] * 6 + [head, ["1", "Ana", None, "A", None, "2", None, "1"], ["2", "Leo", None, "F", None, "3", None, "2"]]

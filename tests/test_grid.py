@@ -34,6 +34,19 @@ def test_header_row_containing_and_fixed(spark):
     assert grid.header_row_fixed(cells, 9).count() == 0
 
 
+def test_header_cells_leave_the_cells_unshuffled(spark, tmp_path):
+    sheet(spark, [["t"], ["DNI", "x"], ["1", "2"]]).write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = grid.header_cells(cells, grid.header_row_containing(cells, "DNI"))
+        assert rows(found, "col", "header") == [(0, "DNI"), (1, "x")]
+        assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_dates_range_and_tail(spark):
     head = ["DNI", "mar", "2025-03-04", "45000", "5/3/2025", "E", "R", "P", "fuera"]
     headers = grid.within_date_range(grid.with_dates(grid.fixed_header_cells(sheet(spark, [head]), 0)))
