@@ -365,12 +365,15 @@ def wide(data: DataFrame, titles: Sequence[str], carry: Sequence[str] = ("file",
 
 def dated_marks(data: DataFrame, ids: Mapping[str, Column]) -> DataFrame:
     """One row per record and date column: ids, ``fecha`` and the mark, null when empty."""
-    marks = F.transform(
-        F.col("dates"), lambda d: F.struct(d["date"].alias("fecha"), F.col("cells")[d["col"]].alias("asistencia"))
-    )
-    # A layout has at least one date, so the outer form adds no row; the inner form would make
-    # Spark compute the array a second time to test its size.
-    return unroll(data, ids, marks, F.inline_outer)
+    # A step with a lambda is compiled apart from the ones after it. In one piece with them, the ids' cleaning makes a
+    # method so large (over 8,000 bytes) that the JVM only interprets it.
+    dates = F.transform("dates", lambda d: F.struct(d["col"].alias("_col"), d["date"].alias("_date")))
+    once = data.select(*[c.alias(n) for n, c in ids.items()], F.col("cells").alias("_cells"), dates.alias("_dates"))
+    names = [F.col(f"`{n}`") for n in ids]
+    # The cells are read after the dates are unrolled: an array of marks would be computed by interpreted lambdas.
+    # A layout has at least one date, so the outer form adds no row.
+    long = once.select(*names, "_cells", F.inline_outer("_dates"))
+    return long.select(*names, F.col("_date").alias("fecha"), F.col("_cells")[F.col("_col")].alias("asistencia"))
 
 
 def unroll(

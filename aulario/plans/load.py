@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aulario.functions.dates import iso_text, parse_date
+from aulario.functions.dates import parse_date
 from aulario.functions.numbers import to_number
 from aulario.functions.text import centre_from_file, null_tokens
 from aulario.operators.schema import add_suffix, api_names, drop_if_present, rename_synonyms
@@ -147,9 +147,11 @@ def prepare_load(df: DataFrame, entity: str, spec: LoadSpec | None = None) -> Da
     for c in df.columns:
         value = F.col(f"`{c}`")
         if c in spec.dates:
-            value = iso_text(parse_date(value) if types[c] == "string" else value.cast("date"))
+            # A date's own text is the ISO form; only its formatter would go through a timestamp of the session's zone.
+            value = (parse_date(value) if types[c] == "string" else value.cast("date")).cast("string")
         elif c in spec.numbers or (spec.number_pattern and re.search(spec.number_pattern, c)):
-            value = to_number(value)
+            # What is a double already need not be written out and read again.
+            value = value if types[c] == "double" else to_number(value)
         elif spec.all_text:
             value = null_tokens(value.cast("string"), LOAD_NULLS)
         elif spec.clean_centre and c == "CENTRO":

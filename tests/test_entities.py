@@ -137,6 +137,16 @@ def test_grades_read_a_cell_once_and_match_whole_records(spark, tmp_path, match)
     assert "_l_salt" not in plan.split("Generate inline")[0]
 
 
+def test_marks_are_read_after_the_dates_are_unrolled(spark):
+    lines = [["título"], ["DNI", "GRADO", "APELLIDOS Y NOMBRES", "SEXO", "45000", "abr"], ["7", "2DO", "Paz,  Leo", "M", "A", "1"]]
+    cells = sheet(spark, lines, "lista asist", "TALLERES_SEDE UNO REGISTRO DE ASISTENCIA 2026.xlsx")
+    loaded = prepare_load(extracurricular_attendance(cells, 2026), "extracurricular_attendance")
+    assert rows(loaded, "DNI__c", "FECHA__c", "ASISTENCIA__c", "A_ESPERADAS__c") == [("7", "2023-03-15", "A", 1.0)]
+    after = loaded._jdf.queryExecution().optimizedPlan().toString().split("Generate inline")[0]
+    # Dates and doubles are not written out through a zone's timestamp or read again for each mark.
+    assert "_cells" in after and "date_format" not in after and "try_cast" not in after
+
+
 def test_regular_attendance_drops_unused_columns_of_the_range(spark):
     head = ["DNI", "NOMBRES", "2025-03-03", "2025-03-04", "2025-12-01", "E", "", "R", "%"]
     lines = [[None]] * 6 + [head, ["1", "Ana", None, "A", None, "2", None, "1"], ["2", "Leo", None, "F", None, "3", None, "2"]]
