@@ -16,6 +16,9 @@ that are refined level by level, down to ``length`` bytes, and a bucket leaves a
   nearly all, are sorted by bucket and document and refined in one sweep over the runs' bytes,
   without a row per window.
 
+Texts are scanned for the counts, for the runs and for the cuts. In between a run travels with its place in
+the text, so its bytes are found without a scan, and a run that an earlier ``doc_id`` has is cut by its place.
+
 Other buckets are exchanged as identifiers with a minimum of ``doc_id``, never as lists of their
 members, so a passage that a third of all documents hold is a partial minimum per task.
 """
@@ -38,7 +41,7 @@ from aulario.llm.common import batch, drop_memos, mix, small_batches, staged, te
 LARGE = 4096
 
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id: after all others
-_GROUP = 1 << 19
+_GROUP = 1 << 17  # bytes scanned or refined together, whose arrays fit a core's cache
 _POSITION = np.uint64((1 << 21) - 1)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _U = np.uint64
@@ -59,6 +62,33 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _U(0x9E3779B97F4A7C15) + (b ^ (b >> _U(29))))
 
 
+def _grams(data: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of the bytes' values and an identifier per q-gram, of less than ``_SIZE`` bytes."""
+    n = len(data)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _DOWN[:n], out=sums[1:])
+    return sums, mix((sums[q:] - sums[: n + 1 - q]) * _UP[: n + 1 - q]) if n >= q else np.zeros(0, _U)
+
+
+def _identifiers(grams: np.ndarray, starts: np.ndarray, length: int, q: int) -> np.ndarray:
+    """Identifiers of the strings of ``length`` bytes at some starts, from those of their q-grams.
+
+    Pairs of identifiers at later offsets: q, 2q, 4q, ... bytes deep, then up to the length.
+    """
+
+    def at(offset: int, level: int) -> np.ndarray:
+        if level == q:
+            return grams[starts + offset]
+        return pair(at(offset, level // 2), at(offset + level // 2, level // 2))
+
+    level = q
+    while 2 * level <= length:
+        level *= 2
+    ids = at(0, level)
+    # The last identifier overlaps what is covered.
+    return pair(ids, at(length - level, level)) if length > level else ids
+
+
 class Scan:
     """Runs of the windows of some pieces of text (together below the group size)."""
 
@@ -66,28 +96,28 @@ class Scan:
         self.length, self.q = length, q
         sizes = np.array([len(p) for p in pieces])
         self.ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        n = len(data)
-        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * _DOWN[:n], dtype=np.uint64)]
-        self.grams = mix((self.sums[q:] - self.sums[: n + 1 - q]) * _UP[: n + 1 - q]) if n >= q else np.zeros(0, _U)
+        self.sums, self.grams = _grams(np.frombuffer(b"".join(pieces), np.uint8), q)
         empty = np.zeros(0, np.int64)
         self.piece = self.first = self.last = empty
         self.gram = self.run = np.zeros(0, np.uint64)
-        if n < length:
+        keys = self.grams & ~_POSITION
+        keys |= np.arange(len(keys), dtype=np.uint64)
+        lows = self._sliding(keys, length - q + 1)
+        whole = sizes >= length
+        if not whole.any():
             return
-        span = length - q + 1
-        keys = (self.grams & ~_POSITION) | np.arange(len(self.grams), dtype=np.uint64)
-        lows = self._sliding(keys, span)
-        at = (lows & _POSITION).astype(np.int64)
-        piece = np.searchsorted(self.ends, np.arange(len(at)), side="right")
-        inside = np.arange(len(at)) + length <= self.ends[piece]
-        change = np.r_[True, (at[1:] != at[:-1]) | (piece[1:] != piece[:-1]) | (inside[1:] != inside[:-1])]
-        starts = np.flatnonzero(change)
-        stops = np.r_[starts[1:], len(at)] - 1
-        keep = inside[starts]
-        self.first, self.last = starts[keep], stops[keep]
-        self.piece = piece[self.first]
-        anchor = at[self.first]
+        # A run ends where the smallest q-gram changes and where windows no longer fit the piece.
+        change = np.zeros(len(lows) + 1, bool)
+        change[1:-1] = lows[1:] != lows[:-1]
+        change[(self.ends - sizes)[whole]] = True
+        change[self.ends[whole] - length + 1] = True
+        bounds = np.flatnonzero(change)
+        bounds = bounds if bounds[-1] == len(lows) else np.r_[bounds, len(lows)]
+        starts, stops = bounds[:-1], bounds[1:] - 1
+        piece = np.searchsorted(self.ends, starts, side="right")
+        keep = starts + length <= self.ends[piece]
+        self.first, self.last, self.piece = starts[keep], stops[keep], piece[keep]
+        anchor = (lows[self.first] & _POSITION).astype(np.int64)
         self.gram = self.grams[anchor]
         content = (self.sums[self.last + length] - self.sums[self.first]) * _UP[self.first]
         shape = ((self.last - self.first) * 1024 + (anchor - self.first)).astype(np.uint64)
@@ -95,42 +125,19 @@ class Scan:
 
     @staticmethod
     def _sliding(keys: np.ndarray, span: int) -> np.ndarray:
-        """Minimum of every ``span`` neighbours, from block-wise running minima."""
-        n = len(keys)
-        blocks = np.full(-(-n // span) * span, np.iinfo(np.uint64).max, np.uint64)
-        blocks[:n] = keys
-        blocks = blocks.reshape(-1, span)
-        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-        back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        return np.minimum(back[: n - span + 1], ahead[span - 1 : n])
+        """Minimum of every ``span`` neighbours, from minima of 2, 4, 8, ... of them."""
+        low, width = keys, 1
+        while 2 * width <= span:
+            low = np.minimum(low[:-width], low[width:])
+            width *= 2
+        return np.minimum(low[: width - span], low[span - width :]) if width < span else low
 
     def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(run index, start, bucket, identifier) of all windows of some runs."""
         counts = self.last[runs] - self.first[runs] + 1
         number = np.repeat(runs, counts)
         starts = np.repeat(self.first[runs] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        q, level, ids = self.q, self.q, self.grams[starts]
-        # Pairs of identifiers at later offsets: q, 2q, 4q, ... bytes deep, then up to the length.
-        parts = {0: ids}
-        while 2 * level <= self.length:
-            here = {}
-            for o in range(0, self.length - 2 * level + 1, 2 * level):
-                a = parts[o] if o in parts else self.grams[starts + o]
-                b = parts[o + level] if o + level in parts else self._at(starts, o + level, level)
-                here[o] = pair(a, b)
-            parts, level = here, 2 * level
-        ids = parts[0]
-        rest = self.length - level
-        if rest:  # the last identifier overlaps what is covered
-            ids = pair(ids, self._at(starts, rest, level))
-        return number, starts, self.gram[number], ids
-
-    def _at(self, starts: np.ndarray, offset: int, level: int) -> np.ndarray:
-        """Identifiers of the strings of ``level`` bytes at an offset."""
-        if level == self.q:
-            return self.grams[starts + offset]
-        half = level // 2
-        return pair(self._at(starts, offset, half), self._at(starts, offset + half, half))
+        return number, starts, self.gram[number], _identifiers(self.grams, starts, self.length, self.q)
 
 
 def groups(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -164,18 +171,26 @@ def _of_row(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return pair(values, rows.astype(np.uint64) + _U(1))
 
 
-def _listed(lists: list[list | None]) -> np.ndarray:
+def _flat(lists: pa.Array | list[list | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and values of a list per row."""
+    if not isinstance(lists, pa.Array):
+        lists = pa.array(lists, pa.list_(pa.int64()))
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), counts), lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _listed(lists: pa.Array | list[list | None]) -> np.ndarray:
     """Identifiers of (row, run) for a list of runs per row."""
-    counts = [len(x) if x else 0 for x in lists]
-    runs = np.array([r for x in lists if x for r in x], np.int64).view(np.uint64)
-    return _of_row(runs, np.repeat(np.arange(len(lists)), counts))
+    rows, runs = _flat(lists)
+    return _of_row(runs.view(np.uint64), rows)
 
 
-_RUNS = pa.schema([("g", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("th", pa.int64())])
+# A place in a text (``at``): the start of a first window, times the length, and how many windows follow it.
+_RUNS = pa.schema([("g", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64())])
 _CONTENT = pa.schema(
     [("g", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64()), ("content", pa.binary())]
 )
-_HITS = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+_HITS = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64())])
 _WINDOWS = pa.schema(
     [("g", pa.int64()), ("h", pa.int64()), ("doc", pa.int64()), ("th", pa.int64()), ("at", pa.int64())]
 )
@@ -185,21 +200,22 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     """Rows with their place in the order (``doc``), what tells rows of one ``doc`` apart (``th``), text and other columns.
 
-    Where every row has a ``doc_id`` of its own, as usual, ``th`` is 0 and costs no room.
+    Also, whether every row has a ``doc_id`` of its own, as usual; then ``th`` is 0 and costs no room.
     """
     data = text_bytes()
     ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"))
     unique = ids.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
     others = [c for c in docs.columns if c != "text"]
-    return docs.select(
+    keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
         (F.lit(0).cast("long") if unique else F.xxhash64(data)).alias("th"),
         data.alias("data"),
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
     )
+    return keyed, unique
 
 
 def _packed(keyed: DataFrame) -> DataFrame:
@@ -222,12 +238,22 @@ def _unpack(column: pa.Array) -> list[bytes]:
     return [press.decompress(z) for z in column.to_pylist()]
 
 
+def _first_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first entry with each key, in the order of keys, and for every entry that of the first one like it."""
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(key)
+    ordered = key[order]
+    begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    firsts = np.minimum.reduceat(order, begins)
+    like = np.empty(len(key), np.int64)
+    like[order] = np.repeat(firsts, np.diff(np.r_[begins, len(key)]))
+    return firsts, like
+
+
 def _distinct_runs(scan: Scan, rows: np.ndarray) -> np.ndarray:
     """Indexes of the first run of each (row, run)."""
-    order = np.lexsort((scan.first, scan.run, rows))
-    r, k = rows[order], scan.run[order]
-    new = np.r_[True, (r[1:] != r[:-1]) | (k[1:] != k[:-1])] if len(order) else np.zeros(0, bool)
-    return order[new]
+    return np.sort(_first_of(_of_row(scan.run, rows))[0])
 
 
 def _emit_runs(docs: DataFrame, length: int, q: int, only_bucket: bool) -> DataFrame:
@@ -235,9 +261,7 @@ def _emit_runs(docs: DataFrame, length: int, q: int, only_bucket: bool) -> DataF
         for incoming in batches:
             doc = incoming.column(0).to_numpy(zero_copy_only=False)
             th = incoming.column(1).to_numpy(zero_copy_only=False)
-            for group in groups(incoming.column(2).to_pylist(), length):
-                scan = Scan([p for _, _, p in group], length, q)
-                rows = np.array([r for r, _, _ in group])[scan.piece]
+            for scan, rows, shifts in scans(incoming.column(2).to_pylist(), length, q):
                 keep = _distinct_runs(scan, rows)
                 if not len(keep):
                     continue
@@ -245,9 +269,10 @@ def _emit_runs(docs: DataFrame, length: int, q: int, only_bucket: bool) -> DataF
                 if only_bucket:
                     yield batch(pa.schema([("g", pa.int64())]), [g])
                 else:
-                    yield batch(_RUNS, [g, _signed(scan.run[keep]), doc[rows[keep]], th[rows[keep]]])
+                    at = (scan.first[keep] + shifts[keep]) * length + scan.last[keep] - scan.first[keep]
+                    yield batch(_RUNS, [g, _signed(scan.run[keep]), doc[rows[keep]], th[rows[keep]], at])
 
-    schema = "g long" if only_bucket else "g long, run long, doc long, th long"
+    schema = "g long" if only_bucket else "g long, run long, doc long, th long, at long"
     return docs.select("doc", "th", "data").mapInArrow(run, schema)
 
 
@@ -258,7 +283,7 @@ def _emit_windows(joined: DataFrame, length: int, q: int) -> DataFrame:
         for incoming in batches:
             doc = incoming.column(0).to_numpy(zero_copy_only=False)
             th = incoming.column(1).to_numpy(zero_copy_only=False)
-            rows, g, h, at = _windows(_unpack(incoming.column(2)), incoming.column(3).to_pylist(), length, q)
+            rows, g, h, at = _windows(_unpack(incoming.column(2)), _listed(incoming.column(3)), length, q)
             first = ~_seen_before(at, rows, g, h)
             if first.any():
                 r = rows[first]
@@ -267,9 +292,8 @@ def _emit_windows(joined: DataFrame, length: int, q: int) -> DataFrame:
     return joined.select("doc", "th", "z", "wide").mapInArrow(run, "g long, h long, doc long, th long, at long")
 
 
-def _windows(texts: list[bytes], lists: list[list | None], length: int, q: int) -> tuple[np.ndarray, ...]:
-    """(row, bucket, identifier, start) of the windows of the runs listed for each row."""
-    keys = _listed(lists)
+def _windows(texts: list[bytes], keys: np.ndarray, length: int, q: int) -> tuple[np.ndarray, ...]:
+    """(row, bucket, identifier, start) of the windows of the runs with some identifiers of (row, run)."""
     parts = []
     for scan, rows, shifts in scans(texts, length, q) if len(keys) else ():
         runs = np.flatnonzero(np.isin(_of_row(scan.run, rows), keys))
@@ -292,7 +316,7 @@ def _seen_before(at: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _open_runs(joined: DataFrame, length: int, q: int) -> DataFrame:
+def _open_runs(joined: DataFrame, length: int) -> DataFrame:
     """Bytes of the runs listed in ``open``: ``g, doc, th, at, content``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,49 +324,88 @@ def _open_runs(joined: DataFrame, length: int, q: int) -> DataFrame:
             doc = incoming.column(0).to_numpy(zero_copy_only=False)
             th = incoming.column(1).to_numpy(zero_copy_only=False)
             texts = _unpack(incoming.column(2))
-            keys = _listed(incoming.column(3).to_pylist())
-            for scan, rows, shifts in scans(texts, length, q):
-                found = np.flatnonzero(np.isin(_of_row(scan.run, rows), keys))
-                if len(found):
-                    r, first, last = rows[found], scan.first[found] + shifts[found], scan.last[found] + shifts[found]
-                    content = [texts[i][a : b + length] for i, a, b in zip(r.tolist(), first.tolist(), last.tolist())]
-                    yield batch(_CONTENT, [_signed(scan.gram[found]), doc[r], th[r], first, content])
+            rows, g = _flat(incoming.column(3))
+            _, at = _flat(incoming.column(4))
+            first, more = np.divmod(at, length)
+            content = [texts[i][a:b] for i, a, b in zip(rows.tolist(), first.tolist(), (first + more + length).tolist())]
+            yield batch(_CONTENT, [g, doc[rows], th[rows], at, content])
 
-    return joined.select("doc", "th", "z", "open").mapInArrow(run, "g long, doc long, th long, at long, content binary")
+    columns = joined.select("doc", "th", "z", F.col("open.g").alias("g"), F.col("open.at").alias("at"))
+    return columns.mapInArrow(run, "g long, doc long, th long, at long, content binary")
 
 
-def _refine(runs: DataFrame, length: int) -> DataFrame:
-    """Windows of open runs that a smaller ``doc`` of the bucket also has: ``doc, th, lo, hi``."""
+class Sweep:
+    """Refinement of runs that come by bucket and ``doc``; a bucket may go on from one call to the next."""
+
+    def __init__(self, length: int, q: int) -> None:
+        self.length, self.q = length, q
+        # Of the last bucket: its identifier, those of its windows and the ``doc`` that had each first.
+        self.bucket, self.known, self.docs = None, np.zeros(0, _U), np.zeros(0, np.int64)
+
+    def late(self, g: np.ndarray, doc: np.ndarray, content: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stretches of windows that a smaller ``doc`` of the bucket has: run, first and last window."""
+        sizes = np.array([len(c) for c in content])
+        counts = sizes - self.length + 1
+        run = np.repeat(np.arange(len(content)), counts)
+        begins = np.cumsum(counts) - counts
+        offset = np.arange(len(run)) - begins[run]
+        grams = _grams(np.frombuffer(b"".join(content), np.uint8), self.q)[1]
+        ids = _identifiers(grams, (np.cumsum(sizes) - sizes)[run] + offset, self.length, self.q)
+        # What is known of the bucket that goes on stands before its new windows.
+        before = len(self.known) if self.bucket == g[0] else 0
+        number = np.cumsum(np.r_[False, g[1:] != g[:-1]])
+        numbers = np.r_[np.zeros(before, np.int64), number[run]]
+        ids, docs = np.r_[self.known[:before], ids], np.r_[self.docs[:before], doc[run]]
+        firsts, like = _first_of(_of_row(ids, numbers))
+        last = firsts[numbers[firsts] == number[-1]]
+        self.bucket, self.known, self.docs = g[-1], ids[last], docs[last]
+        gone = (docs > docs[like])[before:]
+        edge = np.r_[True, (run[1:] != run[:-1])]
+        opens = np.flatnonzero(gone & (edge | ~np.r_[False, gone[:-1]]))
+        ends = np.flatnonzero(gone & (np.r_[edge[1:], True] | ~np.r_[gone[1:], False]))
+        return run[opens], offset[opens], offset[ends]
+
+
+def _refine(runs: DataFrame, length: int, q: int) -> DataFrame:
+    """Windows of open runs that a smaller ``doc`` of the bucket also has: ``doc, th, at``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, seen = None, {}
-        for incoming in batches:
-            out: list[tuple] = []
-            for g, doc, th, at, content in zip(*(incoming.column(i).to_pylist() for i in range(5))):
-                if g != bucket:
-                    bucket, seen = g, {}
-                start = None
-                n = len(content) - length + 1
-                for o in range(n):
-                    late = seen.setdefault(content[o : o + length], doc) < doc
-                    if late and start is None:
-                        start = o
-                    elif not late and start is not None:
-                        out.append((doc, th, at + start, at + o - 1))
-                        start = None
-                if start is not None:
-                    out.append((doc, th, at + start, at + n - 1))
-            if out:
-                yield batch(_HITS, [*map(list, zip(*out))])
+        sweep = Sweep(length, q)
+        for held in _gathered(batches):
+            g, doc, th, at = (held.column(i).to_numpy() for i in range(4))
+            number, lo, hi = sweep.late(g, doc, held.column(4).to_pylist())
+            if len(number):
+                start = at[number] // length + lo
+                yield batch(_HITS, [doc[number], th[number], start * length + hi - lo])
 
     ordered = runs.repartition("g").sortWithinPartitions("g", "doc", "th", "at")
-    return ordered.select("g", "doc", "th", "at", "content").mapInArrow(run, "doc long, th long, lo long, hi long")
+    return ordered.select("g", "doc", "th", "at", "content").mapInArrow(run, "doc long, th long, at long")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together, or cut, to less than ``_GROUP`` bytes of runs, which differ in size by less than half."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for incoming in batches:
+        rows = max(incoming.num_rows * _GROUP // 2 // max(incoming.nbytes, 1), 1)
+        for a in range(0, incoming.num_rows, rows):
+            part = incoming.slice(a, rows)
+            if held and size + part.nbytes > _GROUP:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def repeated(
-    texts: list[bytes], dup: list[list | None], opened: list[list | None], hits: list[list | None], length: int, q: int
+    texts: list[bytes], dup: pa.Array | list, opened: pa.Array | list, hits: pa.Array | list, length: int, q: int
 ) -> list[np.ndarray]:
-    """Per text, flags of the bytes that repeat an earlier string."""
+    """Per text, flags of the bytes that repeat an earlier string.
+
+    ``dup`` and ``hits`` list places that repeat another document, ``opened`` the runs whose bucket holds different ones.
+    """
     begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
     marks = np.zeros(begins[-1], np.int32)  # +1 where a repeated stretch begins, -1 behind its end
 
@@ -350,21 +413,24 @@ def repeated(
         np.add.at(marks, begins[rows] + first, 1)
         np.add.at(marks, begins[rows] + last + length, -1)
 
-    keys = _listed(dup)
-    found = []
-    for scan, rows, shifts in scans(texts, length, q):
-        known = np.isin(_of_row(scan.run, rows), keys)
-        found.append((rows, scan.run, scan.first + shifts, scan.last + shifts, known))
+    for places in (dup, hits):
+        rows, at = _flat(places)
+        mark(rows, at // length, at // length + at % length)
+    found = [(r, s.run, s.gram, s.first + shifts, s.last + shifts) for s, r, shifts in scans(texts, length, q)]
     if found:
-        rows, runs, first, last, gone = (np.concatenate(x) for x in zip(*found))
-        gone |= _seen_before(first, rows, runs)
+        rows, runs, grams, first, last = (np.concatenate(x) for x in zip(*found))
+        keys = _of_row(runs, rows)
+        gone = _first_of(keys)[1] != np.arange(len(keys))
         mark(rows[gone], first[gone], last[gone])
-    rows, g, h, at = _windows(texts, opened, length, q)
-    late = _seen_before(at, rows, g, h)
-    mark(rows[late], at[late], at[late])
-    pairs = [(i, x["lo"], x["hi"]) for i, some in enumerate(hits) if some for x in some]
-    if pairs:
-        mark(*np.array(pairs, np.int64).T)
+        # Different runs of a bucket within a text: only they can share windows, and only such texts are scanned again.
+        distinct = np.flatnonzero(~gone)
+        like = _first_of(_of_row(grams[distinct], rows[distinct]))[1]
+        several = distinct[np.bincount(like, minlength=len(like))[like] > 1]
+        several = several[np.isin(keys[several], _listed(opened))]
+        some = set(rows[several].tolist())
+        row, g, h, at = _windows([t if i in some else b"" for i, t in enumerate(texts)], keys[several], length, q)
+        late = _seen_before(at, row, g, h)
+        mark(row[late], at[late], at[late])
     covered = np.cumsum(marks, dtype=np.int32) > 0
     return [covered[a : a + len(t)] for a, t in zip(begins.tolist(), texts)]
 
@@ -377,7 +443,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25, large: int =
     others. Column names do not matter, since a row travels as one value.
     """
     small_batches(docs.sparkSession)
-    keyed = _keyed(docs)
+    keyed, unique = _keyed(docs)
     shared = _emit_runs(keyed, length, q, True).groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g")
     runs = staged(_emit_runs(keyed, length, q, False).join(shared, "g", "left_semi"), "runs")
     firsts = staged(
@@ -388,24 +454,26 @@ def remove_repeats(docs: DataFrame, length: int = 100, q: int = 25, large: int =
     flagged = runs.join(firsts, ["g", "run"])
     later = F.col("doc") > F.col("first")
     small = F.col("kinds") <= large
+    marked = flagged.filter(later | F.col("kinds").isNotNull())
+    texts = _packed(keyed.withColumn("row", F.struct(F.lit(0))))
+    if not unique:  # equal rows have equal runs: once is enough
+        marked, texts = marked.dropDuplicates(["doc", "th", "run"]), texts.dropDuplicates(["doc", "th"])
     lists = staged(
-        flagged.filter(later | F.col("kinds").isNotNull())
-        .groupBy("doc", "th")
-        .agg(
-            F.collect_list(F.when(later, F.col("run"))).alias("dup"),
-            F.collect_list(F.when(~later & small, F.col("run"))).alias("open"),
+        marked.groupBy("doc", "th").agg(
+            F.collect_list(F.when(later, F.col("at"))).alias("dup"),
+            F.collect_list(F.when(~later & small, F.struct("g", "run", "at"))).alias("open"),
             F.collect_list(F.when(~later & ~small, F.col("run"))).alias("wide"),
         ),
         "lists",
     )
-    opened = _packed(keyed.withColumn("row", F.struct(F.lit(0)))).join(
+    opened = texts.join(
         lists.filter((F.size("open") > 0) | (F.size("wide") > 0)).select("doc", "th", "open", "wide"), ["doc", "th"]
     )
-    hits = _refine(_open_runs(opened.filter(F.size("open") > 0), length, q), length)
+    hits = _refine(_open_runs(opened.filter(F.size("open") > 0), length), length, q)
     if not lists.filter(F.size("wide") > 0).isEmpty():
         hits = hits.unionByName(_late_windows(opened.filter(F.size("wide") > 0), length, q))
-    hits = staged(hits.groupBy("doc", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("hits")), "hits")
-    marks = lists.withColumn("open", F.concat("open", "wide")).drop("wide").join(hits, ["doc", "th"], "left")
+    hits = staged(hits.groupBy("doc", "th").agg(F.collect_list("at").alias("hits")), "hits")
+    marks = lists.withColumn("open", F.concat("open.run", "wide")).drop("wide").join(hits, ["doc", "th"], "left")
     return _cut(_packed(keyed).join(marks, ["doc", "th"], "left"), length, q)
 
 
@@ -414,7 +482,7 @@ def _late_windows(opened: DataFrame, length: int, q: int) -> DataFrame:
     windows = staged(_emit_windows(opened, length, q), "windows")
     earliest = windows.groupBy("g", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("latest")).filter("first < latest")
     late = windows.join(earliest, ["g", "h"]).filter("doc > first")
-    return late.select("doc", "th", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    return late.select("doc", "th", (F.col("at") * length).alias("at"))
 
 
 def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
@@ -430,7 +498,7 @@ def _cut(joined: DataFrame, length: int, q: int) -> DataFrame:
             row, data, dup, opened, hits = (incoming.column(i) for i in range(5))
             out: list[list] = [[], [], [], [], []]
             texts = _unpack(data)
-            flags = repeated(texts, dup.to_pylist(), opened.to_pylist(), hits.to_pylist(), length, q)
+            flags = repeated(texts, dup, opened, hits, length, q)
             for text, gone in zip(texts, flags):
                 kept, spans = text, 0
                 if gone.any():

@@ -321,6 +321,26 @@ def test_repeats_query(spark, table_rows):
     assert found == brute_repeats(table_rows)
 
 
+@pytest.mark.parametrize("large", [suffix_dedup.LARGE, 1])
+def test_repeats_in_equal_rows(spark, monkeypatch, large):
+    rng = random.Random(14)
+    text = sentence(rng, 60)
+    words = text.split()
+    edited = " ".join(words[:25] + ["otherwise"] + words[26:])
+    rows = [(1, text)] * 20 + [(1, edited), (2, edited), (2, text + " " + edited), (None, edited), (None, edited), (None, None)]
+    opened = []
+
+    def counted(joined, *args):
+        opened.append(found(joined, *args).count())
+        return found(joined, *args)
+
+    found = suffix_dedup._open_runs
+    monkeypatch.setattr(suffix_dedup, "_open_runs", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert repeats(suffix_dedup.remove_repeats(df, large=large)) == brute_repeats(rows)
+    assert sum(opened) <= 20  # equal rows bring their open runs once, not each (65)
+
+
 def test_repeats_in_texts_longer_than_a_group(monkeypatch):
     rng = random.Random(13)
     text = (sentence(rng, 400) * 3).encode()

@@ -238,3 +238,42 @@ def test_scan_runs_cover_every_window_once():
     starts = np.r_[0, scan.ends[:-1]]
     covered = sorted((int(p), int(i - starts[p])) for p, a, b in zip(scan.piece, scan.first, scan.last) for i in range(a, b + 1))
     assert covered == [(k, i) for k, p in enumerate(pieces) for i in range(len(p) - 99)]
+
+
+def test_cut_scans_texts_once(monkeypatch):
+    rng = random.Random(11)
+    texts = [bytes(rng.choices(range(97, 123), k=n)) for n in (0, 90, 700, 3000)]
+    scanned = []
+
+    class Counted(suffix_dedup.Scan):
+        def __init__(self, pieces, length, q):
+            scanned.extend(map(len, pieces))
+            super().__init__(pieces, length, q)
+
+    runs = [suffix_dedup.Scan([t], 100, 25).run.view(np.int64).tolist() for t in texts]
+    nothing = [None] * len(texts)
+    monkeypatch.setattr(suffix_dedup, "Scan", Counted)
+    # All runs are listed for refinement, but no text has two of one bucket.
+    assert not any(gone.any() for gone in suffix_dedup.repeated(texts, nothing, runs, nothing, 100, 25))
+    assert sum(scanned) == sum(map(len, texts))
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_sweep_goes_on_over_calls(size):
+    rng = random.Random(12)
+    passage = bytes(rng.choices(range(97, 123), k=160))
+    runs = sorted((g, rng.randint(1, 9), i) for g in (-5, 3, 8) for i in range(40))
+    content = {i: passage[(a := rng.randint(0, 60)) : a + rng.randint(100, 160)] for i in range(40)}
+    content |= {i: content[i][:50] + b"!" + content[i][51:] for i in range(0, 40, 3)}
+    expected, first = set(), {}
+    for n, (g, doc, i) in enumerate(runs):
+        for o in range(len(content[i]) - 99):
+            if first.setdefault((g, content[i][o : o + 100]), doc) < doc:
+                expected.add((n, o))
+    sweep, found = suffix_dedup.Sweep(100, 25), set()
+    for a in range(0, len(runs), size):
+        part = runs[a : a + size]
+        g, doc = (np.array([r[k] for r in part], np.int64) for k in (0, 1))
+        for n, lo, hi in zip(*sweep.late(g, doc, [content[r[2]] for r in part])):
+            found |= {(a + int(n), o) for o in range(lo, hi + 1)}
+    assert found == expected and expected
